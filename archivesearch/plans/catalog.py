@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from archivesearch.config import SearchParams
 from archivesearch.operators import vector
+from archivesearch.session import spread
 from archivesearch.sources import tables
 
 P = SearchParams()
@@ -64,3 +65,114 @@ def knn_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query ``entry()`` runs: hybrid search once registered."""
     return REGISTRY.get("search_hybrid", REGISTRY["knn_exact"])(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ text
+
+from archivesearch.config import KeywordParams  # noqa: E402
+from archivesearch.functions import text as tx  # noqa: E402
+from archivesearch.operators import keywords as kw  # noqa: E402
+
+KP = KeywordParams()
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(tables.documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@register("sentences")
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tx.sentences(_docs(spark, sf_dir))
+    return s.select("doc_id", F.col("sent").cast("bigint").alias("sent"), "sentence")
+
+
+@register("tokens")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tx.context_tokens(_docs(spark, sf_dir))
+    return t.select("doc_id", F.col("sent").cast("bigint").alias("sent"),
+                    F.col("pos").cast("bigint").alias("pos"), "term", "lft", "rgt")
+
+
+@register("plain_tokens")
+def plain_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tx.plain_tokens(_docs(spark, sf_dir))
+    return t.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
+
+
+@register("stopword_filter")
+def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _docs(spark, sf_dir)
+    kept = tx.remove_stop_words(tx.plain_token_array(F.col("text")))
+    return d.select("doc_id", F.posexplode(kept).alias("pos", "token")) \
+            .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
+
+
+@register("ngrams")
+def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tx.context_tokens(_docs(spark, sf_dir))
+    occ = kw.candidate_occurrences(t, KP)
+    return occ.groupBy("doc_id", F.col("kw").alias("result")).agg(
+        F.first("n").cast("bigint").alias("n"),
+        F.count(F.lit(1)).alias("tf_kw"),
+        F.min("sent").cast("bigint").alias("sentence"))
+
+
+@register("yake_terms")
+def yake_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _docs(spark, sf_dir)
+    n_sent = d.select("doc_id", F.size(tx.sentence_array(F.col("text"))).alias("n_sent"))
+    terms = kw.term_features(tx.context_tokens(d), n_sent)
+    return terms.select("doc_id", "term", "tf",
+                        _r6(F.ln("s_term")).alias("ln_s"))
+
+
+@register("yake_keywords")
+def yake_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = kw.extract_keywords(_docs(spark, sf_dir), KP)
+    return k.select("doc_id", "result", _r6(F.col("ln_score")).alias("ln_score"),
+                    F.col("sentence").cast("bigint").alias("sentence"), "kw_rank")
+
+
+@register("keywords_nested")
+def keywords_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _docs(spark, sf_dir)
+    nested = kw.nest_keywords(d.select("doc_id"), kw.extract_keywords(d, KP))
+    return nested.select("doc_id", F.posexplode_outer("keywords").alias("kpos", "k")) \
+                 .select("doc_id", F.col("kpos").cast("bigint").alias("kpos"),
+                         F.col("k.result").alias("result"))
+
+
+@register("query_keywords")
+def query_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kw.query_keywords(tables.query_texts(spark, sf_dir), KP)
+
+
+@register("clean_query")
+def clean_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = tables.query_texts(spark, sf_dir)
+    return q.select("query_id", tx.clean_query(F.col("text")).alias("cleaned"))
+
+
+@register("clean_text")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
+
+
+def _title_regex_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document cleaned (P2) with a match regex made from its own title
+    words (P1 + P3): exercises highlighting on every document."""
+    d = _docs(spark, sf_dir)
+    return d.select("doc_id", tx.clean_text(F.col("text")).alias("ctext"),
+                    tx.query_regex(tx.clean_query(F.substring("text", 1, 40))).alias("re"))
+
+
+@register("highlight")
+def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _title_regex_docs(spark, sf_dir)
+    return d.select("doc_id", "re", tx.highlight(F.col("ctext"), F.col("re")).alias("highlighted"))
+
+
+@register("snippet")
+def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _title_regex_docs(spark, sf_dir)
+    return d.select("doc_id", "re", tx.snippet(F.col("ctext"), F.col("re")).alias("snippet"))

@@ -48,3 +48,195 @@ p AS (SELECT probe.query_id, idx.doc_id, list_distance(q.qv, idx.emb) AS dist
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), doc_id) AS rk FROM p)
 SELECT query_id, doc_id, round(dist, 6) AS distance, CAST(rk AS BIGINT) AS rank FROM r WHERE rk <= 5
 """
+
+
+# ------------------------------------------------------------------ text
+
+from archivesearch.functions.stopwords import sql_list  # noqa: E402
+from archivesearch.functions.text import HIGHLIGHT_CLOSE, HIGHLIGHT_OPEN  # noqa: E402
+
+STOP = f"({sql_list()})"
+CTX = "[()?!.,]"
+
+
+def _sentence_list(text: str) -> str:
+    return (f"list_filter(string_split_regex(regexp_replace({text}, '([.!?])\\s+', '\\1' || chr(1), 'g'),"
+            f" '[' || chr(1) || '\\n]'), lambda s: regexp_matches(s, '\\S'))")
+
+
+def _clean_query(q: str) -> str:
+    return (f"array_to_string(list_filter(string_split(trim(regexp_replace(lower({q}), '[^a-z]+', ' ', 'g')), ' '),"
+            f" lambda w: w <> '' AND NOT list_contains([{sql_list()}], w)), ' ')")
+
+
+def _clean_text(t: str) -> str:
+    return f"trim(regexp_replace({t}, '[^0-9a-zA-Z]+', ' ', 'g'))"
+
+
+def yake_ctes(src: str, p: str) -> str:
+    """CTEs ``{p}sent, {p}tok, {p}terms, {p}cand, {p}score, {p}top`` over
+    ``src`` (a SELECT yielding id, text)."""
+    elig = "(length({0}) > 1 AND NOT regexp_full_match({0}, '[0-9]+'))"
+    return f"""
+{p}src AS ({src}),
+{p}sa AS (SELECT id, {_sentence_list('text')} AS arr FROM {p}src WHERE text IS NOT NULL),
+{p}nsent AS (SELECT id, len(arr) AS n_sent FROM {p}sa),
+{p}sent AS (SELECT id, unnest(arr) AS s, unnest(range(len(arr))) AS sent FROM {p}sa),
+{p}raw AS (SELECT id, sent, unnest(tl) AS raw, unnest(range(len(tl))) AS pos
+           FROM (SELECT id, sent, list_filter(string_split_regex(s, '\\s+'), lambda t: t <> '') AS tl FROM {p}sent)),
+{p}t0 AS (SELECT id, sent, pos,
+                 regexp_replace(regexp_replace(raw, '^{CTX}+', ''), '{CTX}+$', '') AS word,
+                 regexp_matches(raw, '^{CTX}') AS lb, regexp_matches(raw, '{CTX}$') AS tb FROM {p}raw),
+{p}t1 AS (SELECT *, lower(word) AS term,
+                 (word <> '' AND lead(word) OVER w <> '' AND NOT tb AND NOT lead(lb) OVER w) AS conn
+          FROM {p}t0 WINDOW w AS (PARTITION BY id, sent ORDER BY pos)),
+{p}t2 AS (SELECT id, sent, pos, word, term,
+                 CASE WHEN lag(conn) OVER w THEN lag(term) OVER w END AS lft,
+                 CASE WHEN conn THEN lead(term) OVER w END AS rgt,
+                 CASE WHEN conn AND lead(conn) OVER w THEN lead(term, 2) OVER w END AS rgt2
+          FROM {p}t1 WINDOW w AS (PARTITION BY id, sent ORDER BY pos)),
+{p}tok AS (SELECT *,
+                  (length(word) > 1 AND regexp_matches(word, '\\p{{Lu}}') AND NOT regexp_matches(word, '\\p{{Ll}}')) AS acr
+           FROM {p}t2 WHERE word <> ''),
+{p}terms0 AS (SELECT id, term, count(*) AS tf,
+                     count(*) FILTER (WHERE acr) AS tf_acr,
+                     count(*) FILTER (WHERE pos > 0 AND regexp_matches(word, '^\\p{{Lu}}') AND NOT acr) AS tf_cap,
+                     quantile_cont(sent, 0.5) AS med,
+                     count(DISTINCT sent) AS nst, count(DISTINCT lft) AS dln, count(lft) AS dld,
+                     count(DISTINCT rgt) AS drn, count(rgt) AS drd
+              FROM {p}tok GROUP BY id, term),
+{p}terms1 AS (SELECT t.*, n.n_sent,
+                     avg(CASE WHEN t.term NOT IN {STOP} THEN tf END) OVER (PARTITION BY t.id) AS mean_tf,
+                     stddev_pop(CASE WHEN t.term NOT IN {STOP} THEN tf END) OVER (PARTITION BY t.id) AS std_tf,
+                     max(tf) OVER (PARTITION BY t.id) AS max_tf
+              FROM {p}terms0 t JOIN {p}nsent n ON n.id = t.id),
+{p}terms2 AS (SELECT *,
+                     greatest(tf_acr, tf_cap) / (1.0 + ln(tf)) AS f_case,
+                     ln(ln(3.0 + med)) AS f_pos,
+                     tf / nullif(mean_tf + coalesce(std_tf, 0.0), 0.0) AS f_freq,
+                     1.0 + (coalesce(dln / nullif(dld, 0), 0.0) + coalesce(drn / nullif(drd, 0), 0.0)) * tf / max_tf AS f_rel,
+                     nst / n_sent AS f_spread
+              FROM {p}terms1),
+{p}terms AS (SELECT id, term, tf,
+                    f_rel * f_pos / (f_case + coalesce(f_freq, 0.0) / f_rel + f_spread / f_rel) AS s_term
+             FROM {p}terms2),
+{p}occ AS (
+  SELECT id, sent, 1 AS n, term AS kw, term AS t1, NULL::VARCHAR AS t2, NULL::VARCHAR AS t3 FROM {p}tok
+    WHERE {elig.format('term')} AND term NOT IN {STOP}
+  UNION ALL
+  SELECT id, sent, 2, term || ' ' || rgt, term, rgt, NULL FROM {p}tok
+    WHERE {elig.format('term')} AND term NOT IN {STOP} AND rgt IS NOT NULL AND {elig.format('rgt')} AND rgt NOT IN {STOP}
+  UNION ALL
+  SELECT id, sent, 3, term || ' ' || rgt || ' ' || rgt2, term, rgt, rgt2 FROM {p}tok
+    WHERE {elig.format('term')} AND term NOT IN {STOP} AND rgt IS NOT NULL AND rgt2 IS NOT NULL
+      AND {elig.format('rgt')} AND {elig.format('rgt2')} AND rgt2 NOT IN {STOP}),
+{p}cand AS (SELECT id, kw, count(*) AS tf_kw, min(sent) AS sentence, any_value(n) AS n,
+                   any_value(t1) AS t1, any_value(t2) AS t2, any_value(t3) AS t3
+            FROM {p}occ GROUP BY id, kw),
+{p}comp AS (SELECT id, kw, t1 AS term FROM {p}cand
+            UNION ALL SELECT id, kw, t2 FROM {p}cand WHERE t2 IS NOT NULL AND NOT (n = 3 AND t2 IN {STOP})
+            UNION ALL SELECT id, kw, t3 FROM {p}cand WHERE t3 IS NOT NULL),
+{p}aggs AS (SELECT c.id, c.kw, sum(ln(s.s_term)) AS lp, sum(s.s_term) AS ss
+            FROM {p}comp c JOIN {p}terms s ON s.id = c.id AND s.term = c.term GROUP BY c.id, c.kw),
+{p}bi AS (SELECT id, term AS a, rgt AS b, count(*) AS n_ab FROM {p}tok WHERE rgt IS NOT NULL GROUP BY id, term, rgt),
+{p}f AS (SELECT bi.id, bi.a, bi.b, bi.n_ab / t.tf AS f FROM {p}bi bi JOIN {p}terms0 t ON t.id = bi.id AND t.term = bi.a),
+{p}mid AS (SELECT c.id, c.kw, 1.0 - f1.f * f2.f AS q FROM {p}cand c
+           JOIN {p}f f1 ON f1.id = c.id AND f1.a = c.t1 AND f1.b = c.t2
+           JOIN {p}f f2 ON f2.id = c.id AND f2.a = c.t2 AND f2.b = c.t3
+           WHERE c.n = 3 AND c.t2 IN {STOP}),
+{p}score AS (SELECT c.id, c.kw AS result, c.n, c.tf_kw, c.sentence,
+                    a.lp + ln(1.0 + coalesce(m.q, 0.0)) - ln(c.tf_kw) - ln(1.0 + a.ss - coalesce(m.q, 0.0)) AS ln_score
+             FROM {p}cand c JOIN {p}aggs a ON a.id = c.id AND a.kw = c.kw
+             LEFT JOIN {p}mid m ON m.id = c.id AND m.kw = c.kw),
+{p}top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(ln_score, 9), result) AS kw_rank
+                          FROM {p}score) WHERE kw_rank <= 20)
+"""
+
+
+_DOCS = "SELECT doc_id AS id, text FROM documents"
+_QUERIES = "SELECT item_id AS id, text FROM benchmark"
+
+ORACLE["sentences"] = f"""
+WITH {yake_ctes(_DOCS, 'd_').split(',' + chr(10) + 'd_raw')[0]}
+SELECT id AS doc_id, CAST(sent AS BIGINT) AS sent, s AS sentence FROM d_sent
+"""
+
+ORACLE["tokens"] = f"""
+WITH {yake_ctes(_DOCS, 'd_')}
+SELECT id AS doc_id, CAST(sent AS BIGINT) AS sent, CAST(pos AS BIGINT) AS pos, term, lft, rgt FROM d_tok
+"""
+
+_PLAIN = "list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')"
+
+ORACLE["plain_tokens"] = f"""
+WITH a AS (SELECT doc_id, {_PLAIN} AS arr FROM documents)
+SELECT doc_id, CAST(unnest(range(len(arr))) AS BIGINT) AS pos, unnest(arr) AS token FROM a
+"""
+
+ORACLE["stopword_filter"] = f"""
+WITH a AS (SELECT doc_id, list_filter({_PLAIN}, lambda w: NOT list_contains([{sql_list()}], w)) AS arr FROM documents)
+SELECT doc_id, CAST(unnest(range(len(arr))) AS BIGINT) AS pos, unnest(arr) AS token FROM a
+"""
+
+ORACLE["ngrams"] = f"""
+WITH {yake_ctes(_DOCS, 'd_')}
+SELECT id AS doc_id, kw AS result, CAST(n AS BIGINT) AS n, tf_kw, CAST(sentence AS BIGINT) AS sentence FROM d_cand
+"""
+
+ORACLE["yake_terms"] = f"""
+WITH {yake_ctes(_DOCS, 'd_')}
+SELECT id AS doc_id, term, tf, round(ln(s_term), 6) AS ln_s FROM d_terms
+"""
+
+ORACLE["yake_keywords"] = f"""
+WITH {yake_ctes(_DOCS, 'd_')}
+SELECT id AS doc_id, result, round(ln_score, 6) AS ln_score, CAST(sentence AS BIGINT) AS sentence,
+       CAST(kw_rank AS BIGINT) AS kw_rank FROM d_top
+"""
+
+ORACLE["keywords_nested"] = f"""
+WITH {yake_ctes(_DOCS, 'd_')}
+SELECT d.doc_id, CAST(t.kw_rank - 1 AS BIGINT) AS kpos, t.result
+FROM documents d LEFT JOIN d_top t ON t.id = d.doc_id
+"""
+
+ORACLE["query_keywords"] = f"""
+WITH {yake_ctes(_QUERIES, 'q_')}
+SELECT id AS query_id, result, CAST(kw_rank AS BIGINT) AS kw_rank FROM q_top
+"""
+
+ORACLE["clean_query"] = f"""
+SELECT item_id AS query_id, {_clean_query('text')} AS cleaned FROM benchmark
+"""
+
+ORACLE["clean_text"] = f"""
+SELECT doc_id, {_clean_text('text')} AS cleaned FROM documents
+"""
+
+_TITLE_RE = f"""
+SELECT doc_id, {_clean_text('text')} AS ctext,
+       replace({_clean_query('substring(text, 1, 40)')}, ' ', '|') AS re FROM documents
+"""
+
+
+def _hl_sql(block: str, re: str) -> str:
+    return (f"CASE WHEN coalesce({re}, '') = '' THEN {block} ELSE regexp_replace({block}, '(?i)(' || {re} || ')', "
+            f"'{HIGHLIGHT_OPEN.replace(chr(39), chr(39) * 2)}\\1{HIGHLIGHT_CLOSE}', 'g') END")
+
+
+ORACLE["highlight"] = f"""
+WITH d AS ({_TITLE_RE})
+SELECT doc_id, re, {_hl_sql('ctext', 're')} AS highlighted FROM d
+"""
+
+ORACLE["snippet"] = f"""
+WITH d AS ({_TITLE_RE}),
+m AS (SELECT *, re <> '' AND regexp_matches(ctext, '(?i)(' || re || ')') AS has,
+             length(regexp_extract(ctext, '(?is)^(.*?)(' || re || ')', 1)) AS st,
+             length(regexp_extract(ctext, '(?i)(' || re || ')', 1)) AS ml FROM d),
+c AS (SELECT *, greatest(st - 200, 0) AS cs, least(st + ml + 200, length(ctext)) AS ce FROM m)
+SELECT doc_id, re,
+       CASE WHEN has THEN {_hl_sql('substring(ctext, cs + 1, ce - cs)', 're')}
+            ELSE substring(ctext, 1, 200) END AS snippet
+FROM c
+"""

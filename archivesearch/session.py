@@ -59,3 +59,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give text-heavy work at least the cluster's parallelism.
+
+    A scan of one large file yields a single task; then (and only then) a
+    round-robin repartition spreads the rows. A many-file scan already has
+    more partitions than cores and is returned untouched (no extra shuffle).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
