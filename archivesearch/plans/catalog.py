@@ -176,3 +176,212 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _title_regex_docs(spark, sf_dir)
     return d.select("doc_id", "re", tx.snippet(F.col("ctext"), F.col("re")).alias("snippet"))
+
+
+# ------------------------------------------------------------------ search
+
+from archivesearch.operators import embeddings as emb  # noqa: E402
+from archivesearch.operators import fusion, lexical  # noqa: E402
+from archivesearch.session import materialize  # noqa: E402
+
+WV_DIM = 16
+
+
+def _kw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword table of pre-filtered articles (what ingest persists)."""
+    docs = spread(tables.article_texts(spark, sf_dir))
+    return materialize(kw.extract_keywords(docs, KP))
+
+
+def _query_ngrams(spark: SparkSession, sf_dir: str, cleaned: bool = False) -> DataFrame:
+    return kw.query_keywords(_queries(spark, sf_dir, cleaned), KP).select("query_id", "result")
+
+
+def _queries(spark: SparkSession, sf_dir: str, cleaned: bool = False) -> DataFrame:
+    q = tables.query_texts(spark, sf_dir)
+    if cleaned:
+        q = q.select("query_id", tx.clean_query(F.col("text")).alias("text"))
+    return q
+
+
+def _word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = (tables.documents(spark, sf_dir).select("text")
+             .unionByName(tables.table(spark, sf_dir, "benchmark").select("text"))
+             .select(F.explode(tx.plain_token_array(F.col("text"))).alias("word"))
+             .distinct())
+    return emb.hashed_word_vectors(words, WV_DIM)
+
+
+def _doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(tables.article_texts(spark, sf_dir))
+    v = emb.embed_from_table(docs, _word_vectors(spark, sf_dir))
+    return materialize(v.where(F.col("embedding").isNotNull()))
+
+
+def _query_text_vectors(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
+    q = _queries(spark, sf_dir, cleaned)
+    v = emb.embed_from_table(q, _word_vectors(spark, sf_dir), id_col="query_id")
+    return materialize(v.where(F.col("embedding").isNotNull()))
+
+
+def _vector_arm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector.knn_exact(_doc_vectors(spark, sf_dir), _query_text_vectors(spark, sf_dir), k=P.k)
+
+
+def _keyword_arm(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
+    return lexical.search_phrase_bm25(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir, cleaned), P)
+
+
+def _hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.hybrid(_vector_arm(spark, sf_dir), _keyword_arm(spark, sf_dir), P)
+
+
+def _emit_fused(df: DataFrame) -> DataFrame:
+    return df.select("query_id", "doc_id", _r6(F.col("vs_score")).alias("vs_score"),
+                     _r6(F.col("kw_score")).alias("kw_score"), _r6(F.col("score")).alias("score"), "rank")
+
+
+@register("filter_object_type")
+def filter_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tables.articles(spark, sf_dir, prefilter=False)
+    return lexical.prefilter_object_type(a).select("doc_id", "record_title")
+
+
+@register("project_nested")
+def project_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(tables.article_texts(spark, sf_dir))
+    nested = kw.nest_keywords(docs.select("doc_id"), kw.extract_keywords(docs, KP))
+    p = lexical.project_nested(nested)
+    return p.select("doc_id", F.array_join("results", "|").alias("results"),
+                    F.size("scores").cast("bigint").alias("n_scores"))
+
+
+@register("unnest_keywords")
+def unnest_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(tables.article_texts(spark, sf_dir))
+    nested = kw.nest_keywords(docs.select("doc_id"), kw.extract_keywords(docs, KP))
+    u = lexical.unnest_keywords(nested)
+    return u.select("doc_id", "result", _r6(F.ln("score")).alias("ln_score"))
+
+
+@register("match_ngrams")
+def match_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = lexical.match_ngrams(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir))
+    return m.select("query_id", "doc_id", "result")
+
+
+@register("distinct_matches")
+def distinct_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = lexical.distinct_matches(lexical.match_ngrams(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir)))
+    return m.select("query_id", "doc_id", "result", _r6(F.col("ln_score")).alias("ln_score"))
+
+
+@register("matched_set")
+def matched_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = lexical.match_ngrams(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir))
+    return m.groupBy("query_id", "doc_id").agg(
+        F.array_join(F.sort_array(F.collect_set("result")), "|").alias("keywords"))
+
+
+@register("reciprocal_score")
+def reciprocal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _kw_store(spark, sf_dir)
+    return s.select("doc_id", "result",
+                    _r6(F.ln(lexical.tolerant_reciprocal(F.col("score")))).alias("ln_recip"))
+
+
+@register("search_keyword")
+def search_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    return r.select("query_id", "doc_id", _r6(F.col("ln_score")).alias("ln_score"),
+                    F.array_join("keywords", "|").alias("keywords"), "rank")
+
+
+@register("topk_per_query")
+def topk_per_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    return r.select("query_id", "doc_id", "rank")
+
+
+@register("topk_global")
+def topk_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best (lowest-score) keywords of the whole store: one ordered top-k."""
+    s = _kw_store(spark, sf_dir)
+    return (s.orderBy(F.round("ln_score", 9).asc(), F.col("doc_id").asc(), F.col("result").asc())
+            .limit(P.k).select("doc_id", "result", _r6(F.col("ln_score")).alias("ln_score")))
+
+
+@register("search_phrase_bm25")
+def search_phrase_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = lexical.search_phrase_bm25(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    return r.select("query_id", "doc_id", _r6(F.col("score")).alias("score"), "rank")
+
+
+@register("embed_from_table")
+def embed_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = emb.embed_from_table(_docs(spark, sf_dir), _word_vectors(spark, sf_dir))
+    return v.select("doc_id", F.posexplode_outer("embedding").alias("dim", "value")) \
+            .select("doc_id", F.col("dim").cast("bigint").alias("dim"), _r6(F.col("value")).alias("value"))
+
+
+@register("embed_trained")
+def embed_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = emb.embed_trained(_docs(spark, sf_dir), vector_size=WV_DIM)
+    return v.select("doc_id", F.size("embedding").cast("bigint").alias("dims"))
+
+
+@register("embed_finish")
+def embed_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = emb.embed_from_table(_docs(spark, sf_dir), _word_vectors(spark, sf_dir))
+    wrapped = v.select("doc_id", F.when(F.col("embedding").isNotNull(), F.array("embedding")).alias("ann"))
+    fin = wrapped.select("doc_id", emb.finish(F.col("ann")).alias("finished"))
+    return fin.select("doc_id", F.posexplode("finished").alias("dim", "value")) \
+              .select("doc_id", F.col("dim").cast("bigint").alias("dim"),
+                      _r6(F.col("value").cast("double")).alias("value"))
+
+
+@register("arm_rank")
+def arm_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.arm_rank(_vector_arm(spark, sf_dir)).select("query_id", "doc_id", "arm_rank")
+
+
+@register("rrf_contribution")
+def rrf_contribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = fusion.scored_arm(_vector_arm(spark, sf_dir), "contribution", P.vector_penalty) \
+        .withColumn("arm", F.lit("vector"))
+    k = fusion.scored_arm(_keyword_arm(spark, sf_dir), "contribution", P.keyword_penalty) \
+        .withColumn("arm", F.lit("keyword"))
+    return v.unionByName(k).select("query_id", "doc_id", "arm", _r6(F.col("contribution")).alias("contribution"))
+
+
+@register("union_arms")
+def union_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = fusion.union_arms([fusion.scored_arm(_vector_arm(spark, sf_dir), "vs_score", P.vector_penalty),
+                           fusion.scored_arm(_keyword_arm(spark, sf_dir), "kw_score", P.keyword_penalty)])
+    return u.select("query_id", "doc_id", _r6(F.col("vs_score")).alias("vs_score"),
+                    _r6(F.col("kw_score")).alias("kw_score"))
+
+
+@register("merge_arms")
+def merge_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = fusion.union_arms([fusion.scored_arm(_vector_arm(spark, sf_dir), "vs_score", P.vector_penalty),
+                           fusion.scored_arm(_keyword_arm(spark, sf_dir), "kw_score", P.keyword_penalty)])
+    m = fusion.merge_arms(u, ["vs_score", "kw_score"])
+    return m.select("query_id", "doc_id", _r6(F.col("vs_score")).alias("vs_score"),
+                    _r6(F.col("kw_score")).alias("kw_score"))
+
+
+@register("search_hybrid")
+def search_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _emit_fused(_hybrid(spark, sf_dir))
+
+
+@register("rrf_three_arms")
+def rrf_three_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kw_l1 = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir, True), P)
+    r = fusion.rrf([(_vector_arm(spark, sf_dir), "vs_score", P.vector_penalty),
+                    (_keyword_arm(spark, sf_dir), "kw_score", P.keyword_penalty),
+                    (kw_l1, "l1_score", P.keyword_penalty)], P.k)
+    return r.select("query_id", "doc_id", _r6(F.col("vs_score")).alias("vs_score"),
+                    _r6(F.col("kw_score")).alias("kw_score"), _r6(F.col("l1_score")).alias("l1_score"),
+                    _r6(F.col("score")).alias("score"), "rank")

@@ -240,3 +240,203 @@ SELECT doc_id, re,
             ELSE substring(ctext, 1, 200) END AS snippet
 FROM c
 """
+
+
+# ------------------------------------------------------------------ search
+
+_ARTICLE_TEXTS = "SELECT doc_id AS id, text FROM documents WHERE lang = 'en'"
+_CLEAN_QUERIES = f"SELECT item_id AS id, {_clean_query('text')} AS text FROM benchmark"
+
+ORACLE["filter_object_type"] = """
+SELECT doc_id, substring(text, 1, 40) AS record_title FROM documents WHERE lang = 'en'
+"""
+
+_KS = yake_ctes(_ARTICLE_TEXTS, "k_")
+_QS = yake_ctes(_QUERIES, "q_")
+_QC = yake_ctes(_CLEAN_QUERIES, "c_")
+
+ORACLE["project_nested"] = f"""
+WITH {_KS}
+SELECT d.doc_id, string_agg(t.result, '|' ORDER BY t.kw_rank) AS results, CAST(count(t.result) AS BIGINT) AS n_scores
+FROM documents d LEFT JOIN k_top t ON t.id = d.doc_id WHERE d.lang = 'en' GROUP BY d.doc_id
+"""
+ORACLE["project_nested"] = ORACLE["project_nested"].replace(
+    "CAST(count(t.result) AS BIGINT) AS n_scores",
+    "CASE WHEN count(t.result) = 0 THEN NULL ELSE CAST(count(t.result) AS BIGINT) END AS n_scores")
+
+ORACLE["unnest_keywords"] = f"""
+WITH {_KS}
+SELECT id AS doc_id, result, round(ln_score, 6) AS ln_score FROM k_top
+"""
+
+_QN = "qn AS (SELECT DISTINCT id AS query_id, result FROM q_top)"
+_QNC = "qn AS (SELECT DISTINCT id AS query_id, result FROM c_top)"
+
+ORACLE["match_ngrams"] = f"""
+WITH {_KS}, {_QS}, {_QN}
+SELECT qn.query_id, k.id AS doc_id, k.result FROM k_top k JOIN qn ON qn.result = k.result
+"""
+
+ORACLE["distinct_matches"] = f"""
+WITH {_KS}, {_QS}, {_QN}
+SELECT DISTINCT qn.query_id, k.id AS doc_id, k.result, round(k.ln_score, 6) AS ln_score
+FROM k_top k JOIN qn ON qn.result = k.result
+"""
+
+ORACLE["matched_set"] = f"""
+WITH {_KS}, {_QS}, {_QN}
+SELECT qn.query_id, k.id AS doc_id, array_to_string(list_sort(list(DISTINCT k.result)), '|') AS keywords
+FROM k_top k JOIN qn ON qn.result = k.result GROUP BY qn.query_id, k.id
+"""
+
+ORACLE["reciprocal_score"] = f"""
+WITH {_KS}
+SELECT id AS doc_id, result,
+       round(ln(1.0 / coalesce(nullif(TRY_CAST(CAST(exp(ln_score) AS VARCHAR) AS DOUBLE), 0.0), 1e7)), 6) AS ln_recip
+FROM k_top
+"""
+
+
+def _l1_sql(qn: str) -> str:
+    return f"""{qn},
+l1m AS (SELECT DISTINCT qn.query_id, k.id AS doc_id, k.result, exp(k.ln_score) AS score
+        FROM k_top k JOIN qn ON qn.result = k.result),
+l1a AS (SELECT query_id, doc_id, sum(1.0 / coalesce(nullif(score, 0.0), 1e7)) AS s,
+               array_to_string(list_sort(list(DISTINCT result)), '|') AS keywords
+        FROM l1m GROUP BY query_id, doc_id),
+l1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(ln(s), 9) DESC, doc_id) AS rk
+                      FROM l1a) WHERE rk <= 5)"""
+
+
+ORACLE["search_keyword"] = f"""
+WITH {_KS}, {_QS}, {_l1_sql(_QN)}
+SELECT query_id, doc_id, round(ln(s), 6) AS ln_score, keywords, CAST(rk AS BIGINT) AS rank FROM l1
+"""
+
+ORACLE["topk_per_query"] = f"""
+WITH {_KS}, {_QS}, {_l1_sql(_QN)}
+SELECT query_id, doc_id, CAST(rk AS BIGINT) AS rank FROM l1
+"""
+
+ORACLE["topk_global"] = f"""
+WITH {_KS}
+SELECT id AS doc_id, result, round(ln_score, 6) AS ln_score FROM k_top
+ORDER BY round(ln_score, 9), id, result LIMIT 5
+"""
+
+
+def _bm25_sql(qn: str) -> str:
+    return f"""{qn},
+bkw AS (SELECT id AS doc_id, result, string_split(result, ' ') AS w FROM k_top),
+bdl AS (SELECT doc_id, sum(len(w)) AS dl FROM bkw GROUP BY doc_id),
+bst AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs, avg(dl) AS avgdl FROM bdl),
+bsp AS (SELECT doc_id, w[1] AS phrase FROM bkw
+        UNION ALL SELECT doc_id, w[2] FROM bkw WHERE len(w) >= 2
+        UNION ALL SELECT doc_id, w[3] FROM bkw WHERE len(w) >= 3
+        UNION ALL SELECT doc_id, w[1] || ' ' || w[2] FROM bkw WHERE len(w) >= 2
+        UNION ALL SELECT doc_id, w[2] || ' ' || w[3] FROM bkw WHERE len(w) >= 3
+        UNION ALL SELECT doc_id, w[1] || ' ' || w[2] || ' ' || w[3] FROM bkw WHERE len(w) >= 3),
+btf AS (SELECT qn.query_id, bsp.phrase, bsp.doc_id, count(*) AS tf
+        FROM bsp JOIN qn ON qn.result = bsp.phrase GROUP BY qn.query_id, bsp.phrase, bsp.doc_id),
+bdf AS (SELECT query_id, phrase, count(*) AS df FROM btf GROUP BY query_id, phrase),
+bpart AS (SELECT btf.query_id, btf.doc_id,
+                 ln(1.0 + (bst.n_docs - bdf.df + 0.5) / (bdf.df + 0.5)) * btf.tf * 2.2
+                 / (btf.tf + 1.2 * (0.25 + 0.75 * bdl.dl / bst.avgdl)) AS s
+          FROM btf JOIN bdf ON bdf.query_id = btf.query_id AND bdf.phrase = btf.phrase
+          JOIN bdl ON bdl.doc_id = btf.doc_id, bst),
+bsum AS (SELECT query_id, doc_id, sum(s) AS score FROM bpart GROUP BY query_id, doc_id),
+bm25 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rk
+                        FROM bsum) WHERE rk <= 5)"""
+
+
+ORACLE["search_phrase_bm25"] = f"""
+WITH {_KS}, {_QS}, {_bm25_sql(_QN)}
+SELECT query_id, doc_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM bm25
+"""
+
+_HEXV = "(instr('0123456789abcdef', substr(md5(word), {0}, 1)) - 1)"
+_WV = f"""
+wv AS (SELECT word, list_transform(range(16), lambda i: sqrt(({_HEXV.format('2 * i + 1')} * 16 + {_HEXV.format('2 * i + 2')}) / 255.0) - 0.5) AS vec
+       FROM (SELECT DISTINCT unnest({_PLAIN}) AS word FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark)))
+"""
+
+
+def _embed_sql(name: str, src: str) -> str:
+    """{name}: (id, dim, val) weighted mean of word vectors; {name}_v: (id, vec list)."""
+    return f"""
+{name}_tc AS (SELECT id, word, count(*) AS cnt FROM (SELECT id, unnest({_PLAIN}) AS word FROM ({src})) GROUP BY id, word),
+{name}_ev AS (SELECT t.id, t.cnt, unnest(wv.vec) AS v, unnest(range(16)) AS dim FROM {name}_tc t JOIN wv ON wv.word = t.word),
+{name} AS (SELECT id, dim, sum(cnt * v) / sum(cnt) AS val FROM {name}_ev GROUP BY id, dim),
+{name}_v AS (SELECT id, list(val ORDER BY dim) AS vec FROM {name} GROUP BY id)"""
+
+
+ORACLE["embed_from_table"] = f"""
+WITH {_WV}, {_embed_sql('e', 'SELECT doc_id AS id, text FROM documents')}
+SELECT d.doc_id, CAST(e.dim AS BIGINT) AS dim, round(e.val, 6) + 0.0 AS value
+FROM documents d LEFT JOIN e ON e.id = d.doc_id
+"""
+
+ORACLE["embed_finish"] = f"""
+WITH {_WV}, {_embed_sql('e', 'SELECT doc_id AS id, text FROM documents')}
+SELECT id AS doc_id, CAST(dim AS BIGINT) AS dim, round(CAST(CAST(val AS FLOAT) AS DOUBLE), 6) + 0.0 AS value FROM e
+"""
+
+_VARM = f"""
+{_WV}, {_embed_sql('de', _ARTICLE_TEXTS)}, {_embed_sql('qe', _CLEAN_QUERIES)},
+vp AS (SELECT q.id AS query_id, d.id AS doc_id, list_distance(q.vec, d.vec) AS dist FROM qe_v q, de_v d),
+varm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), doc_id) AS rk
+                        FROM vp) WHERE rk <= 5)
+"""
+_KARM = f"{_KS}, {_QC}, {_bm25_sql(_QNC)}"
+_ARMS = f"""{_VARM}, {_KARM},
+va AS (SELECT query_id, doc_id, 1.0 / (rk - 1 + 61 + 1) AS vs_score FROM varm),
+ka AS (SELECT query_id, doc_id, 1.0 / (rk - 1 + 60 + 1) AS kw_score FROM bm25),
+un AS (SELECT query_id, doc_id, vs_score, NULL::DOUBLE AS kw_score FROM va
+       UNION ALL SELECT query_id, doc_id, NULL, kw_score FROM ka),
+mg AS (SELECT query_id, doc_id, coalesce(max(vs_score), 0.0) AS vs_score, coalesce(max(kw_score), 0.0) AS kw_score
+       FROM un GROUP BY query_id, doc_id),
+fu AS (SELECT * FROM (SELECT *, vs_score + kw_score AS score,
+                             row_number() OVER (PARTITION BY query_id ORDER BY round(vs_score + kw_score, 9) DESC, doc_id) AS rk
+                      FROM mg) WHERE rk <= 5)"""
+
+ORACLE["arm_rank"] = f"""
+WITH {_VARM}
+SELECT query_id, doc_id, CAST(rk - 1 AS BIGINT) AS arm_rank FROM varm
+"""
+
+ORACLE["rrf_contribution"] = f"""
+WITH {_ARMS}
+SELECT query_id, doc_id, 'vector' AS arm, round(vs_score, 6) AS contribution FROM va
+UNION ALL SELECT query_id, doc_id, 'keyword', round(kw_score, 6) FROM ka
+"""
+
+ORACLE["union_arms"] = f"""
+WITH {_ARMS}
+SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS kw_score FROM un
+"""
+
+ORACLE["merge_arms"] = f"""
+WITH {_ARMS}
+SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS kw_score FROM mg
+"""
+
+ORACLE["search_hybrid"] = f"""
+WITH {_ARMS}
+SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS kw_score,
+       round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM fu
+"""
+
+ORACLE["rrf_three_arms"] = f"""
+WITH {_ARMS}, {_l1_sql(_QNC.replace('qn AS', 'qn2 AS')).replace('JOIN qn ON qn.', 'JOIN qn2 ON qn2.').replace('qn.query_id', 'qn2.query_id')},
+la AS (SELECT query_id, doc_id, 1.0 / (rk - 1 + 60 + 1) AS l1_score FROM l1),
+un3 AS (SELECT query_id, doc_id, vs_score, NULL::DOUBLE AS kw_score, NULL::DOUBLE AS l1_score FROM va
+        UNION ALL SELECT query_id, doc_id, NULL, kw_score, NULL FROM ka
+        UNION ALL SELECT query_id, doc_id, NULL, NULL, l1_score FROM la),
+mg3 AS (SELECT query_id, doc_id, coalesce(max(vs_score), 0.0) AS vs_score, coalesce(max(kw_score), 0.0) AS kw_score,
+               coalesce(max(l1_score), 0.0) AS l1_score FROM un3 GROUP BY query_id, doc_id),
+fu3 AS (SELECT * FROM (SELECT *, vs_score + kw_score + l1_score AS score,
+                              row_number() OVER (PARTITION BY query_id ORDER BY round(vs_score + kw_score + l1_score, 9) DESC, doc_id) AS rk
+                       FROM mg3) WHERE rk <= 5)
+SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS kw_score, round(l1_score, 6) AS l1_score,
+       round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM fu3
+"""

@@ -73,3 +73,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it
+    back (reliable checkpoint; survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
