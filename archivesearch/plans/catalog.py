@@ -385,3 +385,41 @@ def rrf_three_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("query_id", "doc_id", _r6(F.col("vs_score")).alias("vs_score"),
                     _r6(F.col("kw_score")).alias("kw_score"), _r6(F.col("l1_score")).alias("l1_score"),
                     _r6(F.col("score")).alias("score"), "rank")
+
+
+# ------------------------------------------------------------------ results
+
+from archivesearch.operators import annotate as ann  # noqa: E402
+from archivesearch.operators import results as res  # noqa: E402
+
+
+@register("fetch_ranked")
+def fetch_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = res.fetch_ranked(tables.articles(spark, sf_dir), _hybrid(spark, sf_dir))
+    return f.select("query_id", "rank", "doc_id", "record_title", "publisher")
+
+
+@register("fusion_share")
+def fusion_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _hybrid(spark, sf_dir)
+    vec, kwp = res.fusion_share(F.col("vs_score"), F.col("kw_score"), F.col("score"))
+    return h.select("query_id", "doc_id", vec.alias("vec_pct"), kwp.alias("kw_pct"))
+
+
+@register("search_results")
+def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return res.search_results(tables.articles(spark, sf_dir), _hybrid(spark, sf_dir),
+                              tables.query_texts(spark, sf_dir))
+
+
+@register("query_status")
+def query_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return res.query_status(tables.query_texts(spark, sf_dir), _hybrid(spark, sf_dir))
+
+
+@register("annotate_articles")
+def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = spread(tables.articles(spark, sf_dir).select("doc_id", "full_text"))
+    out = ann.annotate(a, _word_vectors(spark, sf_dir), KP)
+    return out.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
+                      F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))

@@ -440,3 +440,57 @@ fu3 AS (SELECT * FROM (SELECT *, vs_score + kw_score + l1_score AS score,
 SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS kw_score, round(l1_score, 6) AS l1_score,
        round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM fu3
 """
+
+
+# ------------------------------------------------------------------ results
+
+ORACLE["fetch_ranked"] = f"""
+WITH {_ARMS}
+SELECT fu.query_id, CAST(fu.rk AS BIGINT) AS rank, fu.doc_id, substring(d.text, 1, 40) AS record_title,
+       d.source AS publisher
+FROM fu JOIN documents d ON d.doc_id = fu.doc_id
+"""
+
+_SHARE = """CAST(CASE WHEN vs_score = 0 THEN 0 WHEN kw_score = 0 THEN 100
+                 ELSE round_even(100.0 * vs_score / score, 0) END AS BIGINT) AS vec_pct,
+            CAST(CASE WHEN vs_score = 0 THEN 100 WHEN kw_score = 0 THEN 0
+                 ELSE 100 - round_even(100.0 * vs_score / score, 0) END AS BIGINT) AS kw_pct"""
+
+ORACLE["fusion_share"] = f"""
+WITH {_ARMS}
+SELECT query_id, doc_id, {_SHARE} FROM fu
+"""
+
+ORACLE["search_results"] = f"""
+WITH {_ARMS},
+qr AS (SELECT item_id AS query_id, replace({_clean_query('text')}, ' ', '|') AS re FROM benchmark),
+j AS (SELECT fu.*, qr.re, substring(d.text, 1, 40) AS record_title, d.source AS publisher,
+             {_clean_text('d.text')} AS ctext
+      FROM fu JOIN qr ON qr.query_id = fu.query_id JOIN documents d ON d.doc_id = fu.doc_id),
+m AS (SELECT *, re <> '' AND regexp_matches(ctext, '(?i)(' || re || ')') AS has,
+             length(regexp_extract(ctext, '(?is)^(.*?)(' || re || ')', 1)) AS st,
+             length(regexp_extract(ctext, '(?i)(' || re || ')', 1)) AS ml FROM j),
+c AS (SELECT *, greatest(st - 200, 0) AS cs, least(st + ml + 200, length(ctext)) AS ce FROM m)
+SELECT query_id, CAST(rk AS BIGINT) AS rank, doc_id, record_title,
+       CASE WHEN has THEN {_hl_sql('substring(ctext, cs + 1, ce - cs)', 're')} ELSE substring(ctext, 1, 200) END AS snippet,
+       publisher, '1970-01-01' AS alpha_pub_date, {_SHARE},
+       {_hl_sql('ctext', 're')} AS highlighted
+FROM c
+"""
+
+ORACLE["query_status"] = f"""
+WITH {_ARMS},
+h AS (SELECT query_id, count(*) AS n FROM fu GROUP BY query_id),
+q AS (SELECT item_id AS query_id, {_clean_query('text')} AS cleaned FROM benchmark)
+SELECT q.query_id, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hits,
+       CASE WHEN q.cleaned = '' THEN 'EMPTY_QUERY' WHEN coalesce(h.n, 0) = 0 THEN 'NO_RESULTS' ELSE 'OK' END AS status
+FROM q LEFT JOIN h ON h.query_id = q.query_id
+"""
+
+ORACLE["annotate_articles"] = f"""
+WITH {_KS}, {_WV}, {_embed_sql('de', _ARTICLE_TEXTS)},
+nk AS (SELECT id, count(*) AS n FROM k_top GROUP BY id),
+nd AS (SELECT id, count(*) AS n FROM de GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(nk.n, 0) AS BIGINT) AS n_keywords, CAST(coalesce(nd.n, 0) AS BIGINT) AS dims
+FROM documents d LEFT JOIN nk ON nk.id = d.doc_id LEFT JOIN nd ON nd.id = d.doc_id WHERE d.lang = 'en'
+"""
