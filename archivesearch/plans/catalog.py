@@ -423,3 +423,154 @@ def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ann.annotate(a, _word_vectors(spark, sf_dir), KP)
     return out.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
                       F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))
+
+
+# ------------------------------------------------------------------ ingest
+
+from archivesearch.config import IngestParams  # noqa: E402
+from archivesearch.operators import sampling  # noqa: E402
+from archivesearch.session import scratch_path  # noqa: E402
+from archivesearch.sources import archives as arc  # noqa: E402
+from archivesearch.sources import sinks  # noqa: E402
+from archivesearch.sources import xml as xmlsrc  # noqa: E402
+from archivesearch.streaming import ingest as stream_ingest  # noqa: E402
+
+# sampling is the feature here: a sample smaller than the archive set and
+# batches smaller than the sample, so quotas and batch edges are exercised
+SAMPLE = IngestParams(batchsize=100, samplesize=500)
+ALL = IngestParams(batchsize=100)
+
+
+def _records(spark: SparkSession, sf_dir: str, truncate_mod: int = 0, repeat_mod: int = 0,
+             publisher_en_only: bool = False) -> DataFrame:
+    """Documents as one ``<Record>`` XML member each (FIXTURES.md section 4)."""
+    d = tables.documents(spark, sf_dir)
+    base = F.when(F.col("lang") == tables.ARTICLE_LANG, F.lit("Article")).otherwise(F.col("lang"))
+    ot = F.array(base)
+    if repeat_mod:
+        ot = F.when(F.col("doc_id") % repeat_mod == 0, F.array(base, F.lit("Archive"))).otherwise(ot)
+    pub = F.col("source")
+    if publisher_en_only:
+        pub = F.when(F.col("lang") == tables.ARTICLE_LANG, pub)
+    xml = xmlsrc.to_record_xml(F.col("doc_id"), F.substring("text", 1, 40), pub,
+                               F.lit(tables.PUB_DATE), ot, F.col("text"))
+    if truncate_mod:
+        xml = F.when(F.col("doc_id") % truncate_mod == 0,
+                     F.substring(xml, 1, (F.length(xml) / 2).cast("int"))).otherwise(xml)
+    return d.select("doc_id", F.col("source").alias("archive"),
+                    F.concat(F.col("doc_id").cast("string"), F.lit(".xml")).alias("member"),
+                    xml.alias("xml"))
+
+
+def _archives(spark: SparkSession, sf_dir: str, **kw_) -> DataFrame:
+    return arc.build_archives(_records(spark, sf_dir, **kw_))
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.list_members(_archives(spark, sf_dir))
+
+
+def _batched(spark: SparkSession, sf_dir: str, params: IngestParams) -> DataFrame:
+    s = sampling.stratified_sample(_members(spark, sf_dir), params)
+    return sampling.assign_batches(s, params.batchsize)
+
+
+def _parsed_batches(spark: SparkSession, sf_dir: str, params: IngestParams, **kw_) -> DataFrame:
+    archives = materialize(_archives(spark, sf_dir, **kw_))
+    members = arc.list_members(archives)
+    s = sampling.assign_batches(sampling.stratified_sample(members, params), params.batchsize)
+    ex = arc.extract_members(archives, s.select("zip_file", "member"))
+    ex = ex.join(s.select("zip_file", "member", "batch_no"), ["zip_file", "member"])
+    return xmlsrc.parse_records(ex)
+
+
+@register("archive_members")
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members(spark, sf_dir)
+
+
+@register("stratified_sample")
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = sampling.stratified_sample(_members(spark, sf_dir), SAMPLE)
+    return s.select("zip_file", "member", "in_zip_rank")
+
+
+@register("batch_assign")
+def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batched(spark, sf_dir, SAMPLE).select("zip_file", "member", "rn", "batch_no")
+
+
+@register("first_batch")
+def first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.first_batch(_batched(spark, sf_dir, SAMPLE)).select("zip_file", "member")
+
+
+@register("archive_extract")
+def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = _archives(spark, sf_dir)
+    s = sampling.stratified_sample(arc.list_members(archives), SAMPLE)
+    ex = arc.extract_members(archives, s.select("zip_file", "member"))
+    return ex.select("zip_file", "member",
+                     F.regexp_extract("xml", r"<RecordID>(\d+)</RecordID>", 1).cast("bigint").alias("doc_id"))
+
+
+@register("xml_records")
+def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = _archives(spark, sf_dir)
+    ex = arc.extract_members(archives, arc.list_members(archives))
+    good, _ = xmlsrc.split_rejects(xmlsrc.parse_records(ex))
+    return good.select("zip_file", "member", "doc_id", "record_title", "publisher", "alpha_pub_date",
+                       F.array_join("object_type", "|").alias("object_type"),
+                       F.md5("full_text").alias("text_md5"))
+
+
+@register("xml_rejects")
+def xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = _records(spark, sf_dir, truncate_mod=10).select("member", "xml")
+    _, bad = xmlsrc.split_rejects(xmlsrc.parse_records(recs))
+    return bad.select("member", "reason")
+
+
+@register("schema_union")
+def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = _records(spark, sf_dir, repeat_mod=7, publisher_en_only=True).select("member", "xml")
+    good, _ = xmlsrc.split_rejects(xmlsrc.parse_records(recs))
+    return good.select("doc_id", "publisher", F.size("object_type").cast("bigint").alias("n_types"))
+
+
+@register("cache_roundtrip")
+def cache_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir, ALL))
+    back = sinks.cache_batch(good.select("doc_id", "zip_file", "member", "full_text", "batch_no"),
+                             scratch_path(spark, "cache"))
+    return back.select("doc_id", F.col("batch_no").cast("bigint").alias("batch_no"))
+
+
+@register("append_idempotent")
+def append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir, ALL))
+    good = materialize(good.select("doc_id", "zip_file", "member", "publisher", "batch_no"))
+    path = scratch_path(spark, "collection")
+    sinks.append_batch(good, path)
+    sinks.append_batch(good, path)  # a re-run of the same batches must not duplicate
+    back = sinks.read_collection(spark, path)
+    return back.groupBy(F.col("batch_no").cast("bigint").alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("batch_status")
+def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = sinks.batch_status(_parsed_batches(spark, sf_dir, ALL, truncate_mod=10))
+    return st.select("batch_no", "stage", "n_rows", "n_rejects")
+
+
+@register("incremental_ingest")
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = scratch_path(spark, "landing")
+    _archives(spark, sf_dir).write.parquet(landing)
+    out = scratch_path(spark, "ingested")
+    stream_ingest.run_ingest(spark, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet",
+                             files_per_trigger=2)
+    arts = sinks.read_collection(spark, out + "/articles")
+    return arts.select("doc_id", F.col("batch_no").cast("bigint").alias("batch_no"),
+                       F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"))

@@ -494,3 +494,70 @@ nd AS (SELECT id, count(*) AS n FROM de GROUP BY id)
 SELECT d.doc_id, CAST(coalesce(nk.n, 0) AS BIGINT) AS n_keywords, CAST(coalesce(nd.n, 0) AS BIGINT) AS dims
 FROM documents d LEFT JOIN nk ON nk.id = d.doc_id LEFT JOIN nd ON nd.id = d.doc_id WHERE d.lang = 'en'
 """
+
+
+# ------------------------------------------------------------------ ingest
+
+_MEMBERS = """
+mc AS (SELECT source, CAST(ceil(count(*) / 10000.0) AS BIGINT) AS np FROM documents GROUP BY source),
+mem AS (SELECT d.doc_id, d.source || '-' || CAST(d.doc_id % mc.np AS VARCHAR) || '.zip' AS zip_file,
+               CAST(d.doc_id AS VARCHAR) || '.xml' AS member
+        FROM documents d JOIN mc ON mc.source = d.source)
+"""
+
+
+def _sample_sql(samplesize: int, batchsize: int) -> str:
+    return f"""{_MEMBERS},
+na AS (SELECT count(DISTINCT zip_file) AS na FROM mem),
+hm AS (SELECT doc_id, zip_file, member, md5(concat_ws('|', '42', zip_file, member)) AS h FROM mem),
+rk AS (SELECT *, row_number() OVER (PARTITION BY zip_file ORDER BY h, member) - 1 AS in_zip_rank FROM hm),
+smp AS (SELECT rk.* FROM rk, na WHERE in_zip_rank < floor({samplesize} / na.na)),
+zc AS (SELECT zip_file, count(*) AS n FROM smp GROUP BY zip_file),
+zo AS (SELECT zip_file, coalesce(sum(n) OVER (ORDER BY zip_file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM zc),
+bat AS (SELECT smp.*, CAST(zo.off + smp.in_zip_rank AS BIGINT) AS rn,
+               CAST(floor((zo.off + smp.in_zip_rank) / {batchsize}) AS BIGINT) AS batch_no
+        FROM smp JOIN zo ON zo.zip_file = smp.zip_file)"""
+
+
+ORACLE["archive_members"] = f"WITH {_MEMBERS} SELECT zip_file, member FROM mem"
+
+ORACLE["stratified_sample"] = f"""
+WITH {_sample_sql(500, 100)}
+SELECT zip_file, member, CAST(in_zip_rank AS BIGINT) AS in_zip_rank FROM smp
+"""
+
+ORACLE["batch_assign"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member, rn, batch_no FROM bat"
+
+ORACLE["first_batch"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member FROM bat WHERE batch_no = 0"
+
+ORACLE["archive_extract"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member, doc_id FROM smp"
+
+ORACLE["xml_records"] = f"""
+WITH {_MEMBERS}
+SELECT mem.zip_file, mem.member, d.doc_id, substring(d.text, 1, 40) AS record_title, d.source AS publisher,
+       '1970-01-01' AS alpha_pub_date, CASE WHEN d.lang = 'en' THEN 'Article' ELSE d.lang END AS object_type,
+       md5(d.text) AS text_md5
+FROM documents d JOIN mem ON mem.doc_id = d.doc_id
+"""
+
+ORACLE["xml_rejects"] = """
+SELECT CAST(doc_id AS VARCHAR) || '.xml' AS member, 'malformed' AS reason FROM documents WHERE doc_id % 10 = 0
+"""
+
+ORACLE["schema_union"] = """
+SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS publisher,
+       CAST(CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_types
+FROM documents
+"""
+
+ORACLE["cache_roundtrip"] = f"WITH {_sample_sql(50000, 100)} SELECT doc_id, batch_no FROM bat"
+
+ORACLE["append_idempotent"] = f"""
+WITH {_sample_sql(50000, 100)} SELECT batch_no, count(*) AS n_rows FROM bat GROUP BY batch_no
+"""
+
+ORACLE["batch_status"] = f"""
+WITH {_sample_sql(50000, 100)}
+SELECT batch_no, 'PROCESSED' AS stage, count(*) AS n_rows, count(*) FILTER (WHERE doc_id % 10 = 0) AS n_rejects
+FROM bat GROUP BY batch_no
+"""
