@@ -43,14 +43,7 @@ def sentences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 # ------------------------------------------------------------ T3 tokens
 
-def _token_struct(tok: Column, ctx: str) -> Column:
-    word = F.regexp_replace(F.regexp_replace(tok, "^" + ctx + "+", ""), ctx + "+$", "")
-    return F.struct(
-        tok.alias("raw"),
-        word.alias("word"),
-        tok.rlike("^" + ctx).alias("lb"),
-        tok.rlike(ctx + "$").alias("tb"),
-    )
+CHUNK_MARK = "\u0002"
 
 
 def context_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -58,45 +51,38 @@ def context_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Keyword tokeniser: one row per token with its in-chunk neighbours.
 
     Tokens are whitespace-separated inside each sentence; context characters
-    are stripped from token edges. A stripped leading edge breaks before the
-    token, a trailing edge breaks after it, and a token made only of context
-    characters is a break and emits no row. ``lft``/``rgt``/``rgt2`` are
-    the lower-case neighbour terms within the same unbroken chunk (NULL if
-    none). Columns: id, sent, pos, word, term, lft, rgt, rgt2.
+    are stripped from token edges. A context character at a token edge
+    breaks the sentence there, so each sentence is split into unbroken
+    *chunks* (a token made only of context characters is its own, empty,
+    chunk and emits no row). ``lft``/``rgt``/``rgt2`` are the lower-case
+    neighbour terms within the chunk (NULL at its ends).
+
+    Columns: id, n_sent, sent, chunk, idx (position in chunk), word
+    (original case), term (lower case), lft, rgt, rgt2. A token is
+    sentence-initial iff chunk = 0 and idx = 0.
+
+    Built from whole-string regexes, ``split`` and ``arrays_zip`` of shifted
+    arrays: no per-element lambdas, no window, no shuffle.
     """
     ctx = _ctx_class(context_chars)
-    s = sentences(df, id_col, text_col)
-    toks = F.transform(F.filter(F.split(F.col("sentence"), r"\s+"), lambda t: t != ""),
-                       lambda t: _token_struct(t, ctx))
-
-    def at(arr, i):
-        return F.when(i >= 0, F.try_element_at(arr, i + 1))
-
-    def conn(arr, i):
-        # token i joins token i+1 (both non-empty, no context char between)
-        a, b = at(arr, i), at(arr, i + 1)
-        return (F.coalesce(a["word"] != "", F.lit(False)) & F.coalesce(b["word"] != "", F.lit(False))
-                & ~F.coalesce(a["tb"], F.lit(True)) & ~F.coalesce(b["lb"], F.lit(True)))
-
-    def per_index(arr):
-        def build(i):
-            cur = at(arr, i)
-            return F.struct(
-                i.alias("pos"),
-                cur["word"].alias("word"),
-                F.when((i > 0) & conn(arr, i - 1), F.lower(at(arr, i - 1)["word"])).alias("lft"),
-                F.when(conn(arr, i), F.lower(at(arr, i + 1)["word"])).alias("rgt"),
-                F.when(conn(arr, i) & conn(arr, i + 1), F.lower(at(arr, i + 2)["word"])).alias("rgt2"),
-            )
-        return F.transform(F.sequence(F.lit(0), F.size(arr) - 1), build)
-
-    # materialise the token array once; the lambdas below index into it
-    out = (s.select(id_col, "sent", toks.alias("toks"))
-           .select(id_col, "sent", F.explode(per_index(F.col("toks"))).alias("t"))
-           .select(id_col, "sent", "t.pos", "t.word", "t.lft", "t.rgt", "t.rgt2")
-           .where(F.col("word") != "")
-           .withColumn("term", F.lower("word")))
-    return out.select(id_col, "sent", "pos", "word", "term", "lft", "rgt", "rgt2")
+    sents = df.select(id_col, sentence_array(F.col(text_col)).alias("_sa"))
+    s = sents.select(id_col, F.size("_sa").alias("n_sent"),
+                     F.posexplode("_sa").alias("sent", "sentence"))
+    norm = F.regexp_replace(F.regexp_replace(F.col("sentence"), r"^\s+|\s+$", ""), r"\s+", " ")
+    marked = F.regexp_replace(norm, f"(?<={ctx}) | (?={ctx})", CHUNK_MARK)
+    c = s.select(id_col, "n_sent", "sent", F.posexplode(F.split(marked, CHUNK_MARK)).alias("chunk", "ctext"))
+    words = F.regexp_replace(F.col("ctext"), f"^{ctx}+|{ctx}+$", "")
+    c = c.select(id_col, "n_sent", "sent", "chunk", F.split(words, " ").alias("w"),
+                 F.split(F.lower(words), " ").alias("lw"))
+    n = F.size("w")
+    z = F.arrays_zip(F.col("w").alias("word"), F.col("lw").alias("term"),
+                     F.slice("lw", 2, n).alias("rgt"), F.slice("lw", 3, n).alias("rgt2"),
+                     F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("lw")), 1, n).alias("lft"),
+                     F.sequence(F.lit(0), n - 1).alias("idx"))
+    out = (c.select(id_col, "n_sent", "sent", "chunk", F.explode(z).alias("t"))
+           .select(id_col, "n_sent", "sent", "chunk", "t.idx", "t.word", "t.term", "t.lft", "t.rgt", "t.rgt2")
+           .where(F.col("word") != ""))
+    return out
 
 
 # ------------------------------------------------------------ T4 tokens

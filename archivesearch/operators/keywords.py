@@ -21,10 +21,13 @@ word contributes ``1 + (1 - p)`` to the product and ``-(1 - p)`` to the sum,
 Everything is computed in log space (``ln S(kw)``) because scores span many
 orders of magnitude; ranking uses ``round(ln S, 9)`` then the keyword text.
 
-Plan shape: tokens are exploded from each document row (no shuffle), term
-and bigram statistics are partial/final hash aggregates keyed by
-``(id, term)``, the candidate table joins the term table once (components
-exploded), and the per-document top-N is a ``WindowGroupLimit``.
+Plan shape: tokens are exploded from each document row (no shuffle); every
+count (term x sentence, term x neighbour, candidate) comes from ONE partial +
+final hash aggregate over a keyed event stream, then a second aggregate per
+(id, term); candidate components (terms, and bigrams around an interior stop
+word) are scored by ONE join to a lookup table; the per-document top-N is a
+``WindowGroupLimit``. Every shuffle is keyed by (id, something), so a long
+document spreads over many partitions.
 """
 
 from __future__ import annotations
@@ -47,33 +50,75 @@ def _acronym(word: Column) -> Column:
     return (F.length(word) > 1) & word.rlike(r"\p{Lu}") & ~word.rlike(r"\p{Ll}")
 
 
-def _capitalised(word: Column, pos: Column) -> Column:
-    return (pos > 0) & word.rlike(r"^\p{Lu}") & ~_acronym(word)
+def _capitalised(word: Column, initial: Column) -> Column:
+    return ~initial & word.rlike(r"^\p{Lu}") & ~_acronym(word)
 
 
-def term_features(tokens: DataFrame, n_sent: DataFrame, id_col: str = "doc_id",
-                  stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+def _event(kind: str, key: Column, sub: Column, si: Column, acr: Column, cap: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), key.alias("key"), sub.alias("sub"),
+                    si.alias("si"), acr.alias("acr"), cap.alias("cap"))
+
+
+def keyword_events(tokens: DataFrame, params: KeywordParams, id_col: str = "doc_id",
+                   stop_words=ENGLISH_STOP_WORDS, with_candidates: bool = True) -> DataFrame:
+    """All per-document counts in ONE partial + final hash aggregate.
+
+    Every token emits keyed events, aggregated by (id, kind, key, sub, si):
+    ``S`` (term, sentence) with casing counts, ``L``/``R`` (term, left/right
+    neighbour) — which are also the bigram counts — and ``C`` (candidate
+    n-gram). Columns: id, kind, key, sub, si, cnt, acr, cap, first_sent, n_sent.
+    """
+    t1, r1, r2 = F.col("term"), F.col("rgt"), F.col("rgt2")
+    sent = F.col("sent")
+    zero, empty = F.lit(0), F.lit("")
+    initial = (F.col("chunk") == 0) & (F.col("idx") == 0)
+    acr = _acronym(F.col("word"))
+    cap = _capitalised(F.col("word"), initial)
+    ev = [
+        _event("S", t1, empty, sent, acr.cast("int"), cap.cast("int")),
+        F.when(F.col("lft").isNotNull(), _event("L", t1, F.col("lft"), zero, zero, zero)),
+        F.when(r1.isNotNull(), _event("R", t1, r1, zero, zero, zero)),
+    ]
+    if with_candidates:
+        ok1 = _eligible(t1) & ~is_stop(t1, stop_words)
+        if params.min_ngrams <= 1 <= params.max_ngrams:
+            ev.append(F.when(ok1, _event("C", t1, empty, zero, zero, zero)))
+        if params.min_ngrams <= 2 <= params.max_ngrams:
+            ok2 = ok1 & r1.isNotNull() & _eligible(r1) & ~is_stop(r1, stop_words)
+            ev.append(F.when(ok2, _event("C", F.concat_ws(" ", t1, r1), empty, zero, zero, zero)))
+        if params.min_ngrams <= 3 <= params.max_ngrams:
+            ok3 = (ok1 & r1.isNotNull() & r2.isNotNull() & _eligible(r1) & _eligible(r2)
+                   & ~is_stop(r2, stop_words))
+            ev.append(F.when(ok3, _event("C", F.concat_ws(" ", t1, r1, r2), empty, zero, zero, zero)))
+    events = (tokens.select(id_col, "n_sent", "sent",
+                            F.explode(F.filter(F.array(*ev), lambda e: e.isNotNull())).alias("e"))
+              .select(id_col, "n_sent", "sent", "e.*"))
+    return events.groupBy(id_col, "kind", "key", "sub", "si").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum("acr").alias("acr"), F.sum("cap").alias("cap"),
+        F.min("sent").alias("first_sent"), F.max("n_sent").alias("n_sent"))
+
+
+def term_table(events: DataFrame, id_col: str = "doc_id", stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """One row per (id, term) with TF, features and S(t)."""
-    t = tokens.withColumn("acr", _acronym(F.col("word"))) \
-              .withColumn("cap", _capitalised(F.col("word"), F.col("pos")))
-    terms = t.groupBy(id_col, "term").agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.count_if("acr").alias("tf_acr"),
-        F.count_if("cap").alias("tf_cap"),
-        F.percentile("sent", 0.5).alias("med_sent"),
-        F.size(F.collect_set("sent")).alias("n_sent_t"),
-        F.size(F.collect_set("lft")).alias("dl_n"),
-        F.count("lft").alias("dl_d"),
-        F.size(F.collect_set("rgt")).alias("dr_n"),
-        F.count("rgt").alias("dr_d"),
-    ).withColumn("is_stop", is_stop(F.col("term"), stop_words))
+    k = F.col("kind")
+    is_s, is_l, is_r = k == "S", k == "L", k == "R"
+    terms = (events.where(k.isin("S", "L", "R"))
+             .groupBy(id_col, F.col("key").alias("term")).agg(
+                 F.sum(F.when(is_s, F.col("cnt"))).alias("tf"),
+                 F.sum(F.when(is_s, F.col("acr"))).alias("tf_acr"),
+                 F.sum(F.when(is_s, F.col("cap"))).alias("tf_cap"),
+                 F.percentile(F.when(is_s, F.col("si")), F.lit(0.5), F.col("cnt")).alias("med_sent"),
+                 F.count_if(is_s).alias("n_sent_t"),
+                 F.count_if(is_l).alias("dl_n"), F.sum(F.when(is_l, F.col("cnt"))).alias("dl_d"),
+                 F.count_if(is_r).alias("dr_n"), F.sum(F.when(is_r, F.col("cnt"))).alias("dr_d"),
+                 F.max("n_sent").alias("n_sent"))
+             .withColumn("is_stop", is_stop(F.col("term"), stop_words)))
     w = Window.partitionBy(id_col)
     content_tf = F.when(~F.col("is_stop"), F.col("tf"))
     terms = (terms
              .withColumn("mean_tf", F.avg(content_tf).over(w))
              .withColumn("std_tf", F.stddev_pop(content_tf).over(w))
-             .withColumn("max_tf", F.max("tf").over(w))
-             .join(n_sent, id_col))
+             .withColumn("max_tf", F.max("tf").over(w)))
     tf = F.col("tf").cast("double")
     case_ = F.greatest("tf_acr", "tf_cap") / (F.lit(1.0) + F.ln(tf))
     pos_ = F.ln(F.ln(F.lit(3.0) + F.col("med_sent")))
@@ -89,37 +134,28 @@ def term_features(tokens: DataFrame, n_sent: DataFrame, id_col: str = "doc_id",
         rel.alias("f_rel"), spread.alias("f_spread"), s.alias("s_term"))
 
 
-def candidate_occurrences(tokens: DataFrame, params: KeywordParams, id_col: str = "doc_id",
-                          stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """One row per candidate occurrence (id, kw, n, t1, t2, t3, sent)."""
-    t1, r1, r2 = F.col("term"), F.col("rgt"), F.col("rgt2")
-    ok1 = _eligible(t1) & ~is_stop(t1, stop_words)
-    grams = []
-    if params.min_ngrams <= 1 <= params.max_ngrams:
-        grams.append(F.when(ok1, F.struct(F.lit(1).alias("n"), t1.alias("kw"), t1.alias("t1"),
-                                          F.lit(None).cast("string").alias("t2"),
-                                          F.lit(None).cast("string").alias("t3"))))
-    if params.min_ngrams <= 2 <= params.max_ngrams:
-        ok2 = ok1 & r1.isNotNull() & _eligible(r1) & ~is_stop(r1, stop_words)
-        grams.append(F.when(ok2, F.struct(F.lit(2).alias("n"), F.concat_ws(" ", t1, r1).alias("kw"),
-                                          t1.alias("t1"), r1.alias("t2"),
-                                          F.lit(None).cast("string").alias("t3"))))
-    if params.min_ngrams <= 3 <= params.max_ngrams:
-        ok3 = (ok1 & r1.isNotNull() & r2.isNotNull() & _eligible(r1) & _eligible(r2)
-               & ~is_stop(r2, stop_words))
-        grams.append(F.when(ok3, F.struct(F.lit(3).alias("n"), F.concat_ws(" ", t1, r1, r2).alias("kw"),
-                                          t1.alias("t1"), r1.alias("t2"), r2.alias("t3"))))
-    return (tokens.select(id_col, "sent", F.explode(F.filter(F.array(*grams), lambda g: g.isNotNull())).alias("g"))
-            .select(id_col, "g.kw", "g.n", "g.t1", "g.t2", "g.t3", "sent"))
-
-
-def bigram_follow(tokens: DataFrame, terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """f(a, b) = count(a followed by b) / TF(a), per (id, a, b)."""
-    bi = (tokens.where(F.col("rgt").isNotNull())
-          .groupBy(id_col, F.col("term").alias("a"), F.col("rgt").alias("b"))
-          .agg(F.count(F.lit(1)).alias("n_ab")))
-    tfa = terms.select(id_col, F.col("term").alias("a"), F.col("tf").alias("tf_a"))
-    return bi.join(tfa, [id_col, "a"]).select(id_col, "a", "b", (F.col("n_ab") / F.col("tf_a")).alias("f"))
+def term_features(tokens: DataFrame, id_col: str = "doc_id", stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+    ev = keyword_events(tokens, KeywordParams(), id_col, stop_words, with_candidates=False)
+    return term_table(ev, id_col, stop_words)
+
+
+def candidate_table(events: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per (id, candidate) with its count and first sentence."""
+    c = events.where(F.col("kind") == "C")
+    return c.select(id_col, F.col("key").alias("kw"), F.size(F.split("key", " ")).alias("n"),
+                    F.col("cnt").alias("tf_kw"), F.col("first_sent").alias("sentence"))
+
+
+def follow_table(events: DataFrame, terms: DataFrame, id_col: str = "doc_id",
+                 stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+    """f(a, b) = count(a b) / TF(a) for bigrams touching a stop word (the
+    only ones an interior stop word needs). Key ``a b``."""
+    r = events.where((F.col("kind") == "R")
+                     & (is_stop(F.col("key"), stop_words) | is_stop(F.col("sub"), stop_words)))
+    tfa = terms.select(id_col, F.col("term").alias("key"), F.col("tf").alias("tf_a"))
+    return (r.select(id_col, "key", F.col("sub"), F.col("cnt")).join(tfa, [id_col, "key"])
+            .select(id_col, F.concat_ws(" ", "key", "sub").alias("key"),
+                    (F.col("cnt") / F.col("tf_a")).alias("val"), F.lit("f").alias("typ")))
 
 
 def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
@@ -127,39 +163,46 @@ def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
                    stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """T8 before the cut: every candidate of every document with
     (id, result, n, tf_kw, sentence, ln_score, score)."""
-    base = df.select(id_col, text_col).where(F.col(text_col).isNotNull())
-    n_sent = base.select(id_col, F.size(tx.sentence_array(F.col(text_col))).alias("n_sent"))
+    # one shuffle of the text by id; with spark.sql.requireAllClusterKeysForCoPartition
+    # = false every later aggregate, window and join keyed by (id, ...) reuses it
+    base = df.select(id_col, text_col).where(F.col(text_col).isNotNull()).repartition(id_col)
     tokens = tx.context_tokens(base, id_col, text_col, params.context_chars)
-    terms = term_features(tokens, n_sent, id_col, stop_words)
-    occ = candidate_occurrences(tokens, params, id_col, stop_words)
-    cands = occ.groupBy(id_col, "kw").agg(
-        F.count(F.lit(1)).alias("tf_kw"), F.min("sent").alias("sentence"),
-        F.first("n").alias("n"), F.first("t1").alias("t1"),
-        F.first("t2").alias("t2"), F.first("t3").alias("t3"))
-    stop_mid = (F.col("n") == 3) & is_stop(F.col("t2"), stop_words)
-    # components scored by S(t): every term except an interior stop word
-    comps = cands.select(id_col, "kw", F.explode(F.filter(
-        F.array(F.col("t1"), F.when(~stop_mid, F.col("t2")), F.col("t3")),
-        lambda x: x.isNotNull())).alias("term"))
-    sterm = terms.select(id_col, "term", "s_term")
-    agg_s = (comps.join(sterm, [id_col, "term"])
-             .groupBy(id_col, "kw")
-             .agg(F.sum(F.ln("s_term")).alias("ln_prod"), F.sum("s_term").alias("sum_s")))
-    # interior stop words: 1 - p with p = f(t1, t2) * f(t2, t3)
-    f = bigram_follow(tokens, terms, id_col)
-    mids = (cands.where(stop_mid).select(id_col, "kw", "t1", "t2", "t3")
-            .join(f.select(id_col, F.col("a").alias("t1"), F.col("b").alias("t2"), F.col("f").alias("f12")),
-                  [id_col, "t1", "t2"])
-            .join(f.select(id_col, F.col("a").alias("t2"), F.col("b").alias("t3"), F.col("f").alias("f23")),
-                  [id_col, "t2", "t3"])
-            .select(id_col, "kw", (F.lit(1.0) - F.col("f12") * F.col("f23")).alias("q")))
-    scored = (cands.join(agg_s, [id_col, "kw"])
-              .join(mids, [id_col, "kw"], "left"))
-    q = F.coalesce(F.col("q"), F.lit(0.0))
+    events = keyword_events(tokens, params, id_col, stop_words)
+    terms = term_table(events, id_col, stop_words)
+    cands = candidate_table(events, id_col)
+    lookup = terms.select(id_col, F.col("term").alias("key"), F.col("s_term").alias("val"),
+                          F.lit("s").alias("typ")) \
+                  .unionByName(follow_table(events, terms, id_col, stop_words))
+    parts = F.split("kw", " ")
+    t1, t2, t3 = parts.getItem(0), F.element_at(parts, 2), F.element_at(parts, 3)
+    n = F.col("n")
+    mid_stop = (n == 3) & is_stop(t2, stop_words)
+
+    def comp(key, typ):
+        return F.struct(key.alias("key"), F.lit(typ).alias("typ"))
+
+    comps = F.array(
+        comp(t1, "s"),
+        F.when((n >= 2) & ~mid_stop, comp(t2, "s")),
+        F.when(n == 3, comp(t3, "s")),
+        F.when(mid_stop, comp(F.concat_ws(" ", t1, t2), "f")),
+        F.when(mid_stop, comp(F.concat_ws(" ", t2, t3), "f")),
+    )
+    exploded = (cands.select(id_col, "kw", "n", "tf_kw", "sentence",
+                             F.explode(F.filter(comps, lambda c: c.isNotNull())).alias("c"))
+                .select(id_col, "kw", "n", "tf_kw", "sentence", "c.key", "c.typ"))
+    is_s, is_f = F.col("typ") == "s", F.col("typ") == "f"
+    agg = (exploded.join(lookup, [id_col, "key", "typ"])
+           .groupBy(id_col, "kw", "n", "tf_kw", "sentence")
+           .agg(F.sum(F.when(is_s, F.ln("val"))).alias("ln_prod"),
+                F.sum(F.when(is_s, F.col("val"))).alias("sum_s"),
+                F.sum(F.when(is_f, F.ln("val"))).alias("ln_f"),
+                F.count_if(is_f).alias("n_f")))
+    q = F.when(F.col("n_f") == 2, F.lit(1.0) - F.exp("ln_f")).otherwise(F.lit(0.0))
     ln_score = (F.col("ln_prod") + F.ln(F.lit(1.0) + q) - F.ln(F.col("tf_kw").cast("double"))
                 - F.ln(F.lit(1.0) + F.col("sum_s") - q))
-    return scored.select(id_col, F.col("kw").alias("result"), "n", "tf_kw", "sentence",
-                         ln_score.alias("ln_score"), F.exp(ln_score).alias("score"))
+    return agg.select(id_col, F.col("kw").alias("result"), "n", "tf_kw", "sentence",
+                      ln_score.alias("ln_score"), F.exp(ln_score).alias("score"))
 
 
 def top_keywords(scores: DataFrame, num_keywords: int, id_col: str = "doc_id") -> DataFrame:

@@ -90,7 +90,8 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tx.context_tokens(_docs(spark, sf_dir))
     return t.select("doc_id", F.col("sent").cast("bigint").alias("sent"),
-                    F.col("pos").cast("bigint").alias("pos"), "term", "lft", "rgt")
+                    F.col("chunk").cast("bigint").alias("chunk"), F.col("idx").cast("bigint").alias("idx"),
+                    "term", "lft", "rgt")
 
 
 @register("plain_tokens")
@@ -109,19 +110,15 @@ def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ngrams")
 def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = tx.context_tokens(_docs(spark, sf_dir))
-    occ = kw.candidate_occurrences(t, KP)
-    return occ.groupBy("doc_id", F.col("kw").alias("result")).agg(
-        F.first("n").cast("bigint").alias("n"),
-        F.count(F.lit(1)).alias("tf_kw"),
-        F.min("sent").cast("bigint").alias("sentence"))
+    ev = kw.keyword_events(tx.context_tokens(_docs(spark, sf_dir)), KP)
+    c = kw.candidate_table(ev)
+    return c.select("doc_id", F.col("kw").alias("result"), F.col("n").cast("bigint").alias("n"),
+                    "tf_kw", F.col("sentence").cast("bigint").alias("sentence"))
 
 
 @register("yake_terms")
 def yake_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _docs(spark, sf_dir)
-    n_sent = d.select("doc_id", F.size(tx.sentence_array(F.col("text"))).alias("n_sent"))
-    terms = kw.term_features(tx.context_tokens(d), n_sent)
+    terms = kw.term_features(tx.context_tokens(_docs(spark, sf_dir)))
     return terms.select("doc_id", "term", "tf",
                         _r6(F.ln("s_term")).alias("ln_s"))
 

@@ -162,8 +162,16 @@ SELECT id AS doc_id, CAST(sent AS BIGINT) AS sent, s AS sentence FROM d_sent
 """
 
 ORACLE["tokens"] = f"""
-WITH {yake_ctes(_DOCS, 'd_')}
-SELECT id AS doc_id, CAST(sent AS BIGINT) AS sent, CAST(pos AS BIGINT) AS pos, term, lft, rgt FROM d_tok
+WITH {yake_ctes(_DOCS, 'd_')},
+ch AS (SELECT id, sent, pos, word, term, lft, rgt,
+              sum(CASE WHEN pos > 0 AND NOT coalesce(pconn, false) THEN 1 ELSE 0 END)
+                OVER (PARTITION BY id, sent ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chunk
+       FROM (SELECT *, lag(NOT tb AND NOT nlb) OVER (PARTITION BY id, sent ORDER BY pos) AS pconn
+             FROM (SELECT t0.*, lead(lb) OVER (PARTITION BY id, sent ORDER BY pos) AS nlb, t2.lft, t2.rgt, t2.term
+                   FROM d_t0 t0 JOIN d_t2 t2 USING (id, sent, pos))))
+SELECT id AS doc_id, CAST(sent AS BIGINT) AS sent, CAST(chunk AS BIGINT) AS chunk,
+       CAST(pos - min(pos) OVER (PARTITION BY id, sent, chunk) AS BIGINT) AS idx, term, lft, rgt
+FROM ch WHERE word <> ''
 """
 
 _PLAIN = "list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')"
