@@ -24,8 +24,8 @@ orders of magnitude; ranking uses ``round(ln S, 9)`` then the keyword text.
 Plan shape: tokens are exploded from each document row (no shuffle); every
 count (term x sentence, term x neighbour, candidate) comes from ONE partial +
 final hash aggregate over a keyed event stream, then a second aggregate per
-(id, term); candidate components (terms, and bigrams around an interior stop
-word) are scored by ONE join to a lookup table; the per-document top-N is a
+(id, term); candidate components are scored by one join to the term table (bigrams
+around an interior stop word by a join to the follow table); the per-document top-N is a
 ``WindowGroupLimit``. Every shuffle is keyed by (id, something), so a long
 document spreads over many partitions.
 """
@@ -155,7 +155,7 @@ def follow_table(events: DataFrame, terms: DataFrame, id_col: str = "doc_id",
     tfa = terms.select(id_col, F.col("term").alias("key"), F.col("tf").alias("tf_a"))
     return (r.select(id_col, "key", F.col("sub"), F.col("cnt")).join(tfa, [id_col, "key"])
             .select(id_col, F.concat_ws(" ", "key", "sub").alias("key"),
-                    (F.col("cnt") / F.col("tf_a")).alias("val"), F.lit("f").alias("typ")))
+                    (F.col("cnt") / F.col("tf_a")).alias("val")))
 
 
 def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
@@ -170,39 +170,29 @@ def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
     events = keyword_events(tokens, params, id_col, stop_words)
     terms = term_table(events, id_col, stop_words)
     cands = candidate_table(events, id_col)
-    lookup = terms.select(id_col, F.col("term").alias("key"), F.col("s_term").alias("val"),
-                          F.lit("s").alias("typ")) \
-                  .unionByName(follow_table(events, terms, id_col, stop_words))
     parts = F.split("kw", " ")
     t1, t2, t3 = parts.getItem(0), F.element_at(parts, 2), F.element_at(parts, 3)
     n = F.col("n")
     mid_stop = (n == 3) & is_stop(t2, stop_words)
-
-    def comp(key, typ):
-        return F.struct(key.alias("key"), F.lit(typ).alias("typ"))
-
-    comps = F.array(
-        comp(t1, "s"),
-        F.when((n >= 2) & ~mid_stop, comp(t2, "s")),
-        F.when(n == 3, comp(t3, "s")),
-        F.when(mid_stop, comp(F.concat_ws(" ", t1, t2), "f")),
-        F.when(mid_stop, comp(F.concat_ws(" ", t2, t3), "f")),
-    )
-    exploded = (cands.select(id_col, "kw", "n", "tf_kw", "sentence",
-                             F.explode(F.filter(comps, lambda c: c.isNotNull())).alias("c"))
-                .select(id_col, "kw", "n", "tf_kw", "sentence", "c.key", "c.typ"))
-    is_s, is_f = F.col("typ") == "s", F.col("typ") == "f"
-    agg = (exploded.join(lookup, [id_col, "key", "typ"])
-           .groupBy(id_col, "kw", "n", "tf_kw", "sentence")
-           .agg(F.sum(F.when(is_s, F.ln("val"))).alias("ln_prod"),
-                F.sum(F.when(is_s, F.col("val"))).alias("sum_s"),
-                F.sum(F.when(is_f, F.ln("val"))).alias("ln_f"),
-                F.count_if(is_f).alias("n_f")))
-    q = F.when(F.col("n_f") == 2, F.lit(1.0) - F.exp("ln_f")).otherwise(F.lit(0.0))
+    # components scored by S(t): every term except an interior stop word
+    comps = F.array(t1, F.when((n >= 2) & ~mid_stop, t2), F.when(n == 3, t3))
+    exploded = cands.select(id_col, "kw", F.explode(F.filter(comps, lambda c: c.isNotNull())).alias("term"))
+    agg_s = (exploded.join(terms.select(id_col, "term", "s_term"), [id_col, "term"])
+             .groupBy(id_col, "kw")
+             .agg(F.sum(F.ln("s_term")).alias("ln_prod"), F.sum("s_term").alias("sum_s")))
+    # interior stop word: q = 1 - p, p = f(t1, t2) * f(t2, t3)
+    f = follow_table(events, terms, id_col, stop_words).select(id_col, "key", "val")
+    mids = (cands.where(mid_stop)
+            .select(id_col, "kw", F.concat_ws(" ", t1, t2).alias("k12"), F.concat_ws(" ", t2, t3).alias("k23"))
+            .join(f.select(id_col, F.col("key").alias("k12"), F.col("val").alias("f12")), [id_col, "k12"])
+            .join(f.select(id_col, F.col("key").alias("k23"), F.col("val").alias("f23")), [id_col, "k23"])
+            .select(id_col, "kw", (F.lit(1.0) - F.col("f12") * F.col("f23")).alias("q")))
+    scored = cands.join(agg_s, [id_col, "kw"]).join(mids, [id_col, "kw"], "left")
+    q = F.coalesce(F.col("q"), F.lit(0.0))
     ln_score = (F.col("ln_prod") + F.ln(F.lit(1.0) + q) - F.ln(F.col("tf_kw").cast("double"))
                 - F.ln(F.lit(1.0) + F.col("sum_s") - q))
-    return agg.select(id_col, F.col("kw").alias("result"), "n", "tf_kw", "sentence",
-                      ln_score.alias("ln_score"), F.exp(ln_score).alias("score"))
+    return scored.select(id_col, F.col("kw").alias("result"), "n", "tf_kw", "sentence",
+                         ln_score.alias("ln_score"), F.exp(ln_score).alias("score"))
 
 
 def top_keywords(scores: DataFrame, num_keywords: int, id_col: str = "doc_id") -> DataFrame:
