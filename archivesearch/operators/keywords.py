@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from archivesearch.config import KeywordParams
 from archivesearch.functions import text as tx
 from archivesearch.functions.stopwords import ENGLISH_STOP_WORDS, is_stop
+from archivesearch.session import materialize
 
 RANK_DIGITS = 9
 
@@ -164,11 +165,17 @@ def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
     """T8 before the cut: every candidate of every document with
     (id, result, n, tf_kw, sentence, ln_score, score)."""
     # one shuffle of the text by id; with spark.sql.requireAllClusterKeysForCoPartition
-    # = false every later aggregate, window and join keyed by (id, ...) reuses it
-    base = df.select(id_col, text_col).where(F.col(text_col).isNotNull()).repartition(id_col)
+    # = false every later aggregate, window and join keyed by (id, ...) reuses it.
+    # The count is explicit: the work downstream is ~10-20x the text bytes, so
+    # AQE must not coalesce this shuffle by the size of the text alone.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = df.select(id_col, text_col).where(F.col(text_col).isNotNull()).repartition(n_parts, id_col)
     tokens = tx.context_tokens(base, id_col, text_col, params.context_chars)
-    events = keyword_events(tokens, params, id_col, stop_words)
-    terms = term_table(events, id_col, stop_words)
+    # events and terms each feed several branches; with no exchange above the
+    # text shuffle there is nothing to reuse, so cut lineage once (reliable
+    # checkpoint keeps the doc_id partitioning for the joins below)
+    events = materialize(keyword_events(tokens, params, id_col, stop_words))
+    terms = materialize(term_table(events, id_col, stop_words))
     cands = candidate_table(events, id_col)
     parts = F.split("kw", " ")
     t1, t2, t3 = parts.getItem(0), F.element_at(parts, 2), F.element_at(parts, 3)
