@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from archivesearch.llm.common import documents
 from archivesearch.llm.exact_dedup import exact_dedup
+from archivesearch.llm.html_extract import extract
 from archivesearch.llm.packing import pack, tokenised_pieces
+from archivesearch.llm.secrets import find_secrets, joined
 from archivesearch.llm.sharding import shard_rows
+from archivesearch.llm.toxicity import held_out, score, train
 
 SHARDS = 40
 CAPACITY = 4096
@@ -28,6 +31,16 @@ def op1_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+
+    def n(kind: int):
+        return F.expr(f"cast(size(filter(base, x -> x.kind = {kind})) as bigint)")
+
+    return found.select(F.col("id").alias("doc_id"), n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+                        F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op7_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack(tokenised_pieces(documents(spark, sf_dir), tokenizer_path(), CAPACITY), CAPACITY)
     return placed.withColumnRenamed("id", "doc_id")
@@ -40,10 +53,25 @@ def op8_stateful_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("digest").alias("text_sha256"))
 
 
+def op9_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
+    scored = score(docs.select("doc_id", "text"), train(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ring_sharding": op1_ring_sharding,
+    "op5_linked_secrets": op5_linked_secrets,
     "op7_residual_packing": op7_residual_packing,
     "op8_stateful_dedup": op8_stateful_dedup,
+    "op9_nb_toxicity": op9_nb_toxicity,
+    "op10_style_tree": op10_style_tree,
 }
 
 ORACLE: dict[str, str] = {
