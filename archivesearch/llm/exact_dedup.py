@@ -60,7 +60,8 @@ def observe(spark: SparkSession, arrivals: DataFrame, state_dir: str) -> DataFra
     held = arrivals.groupBy("digest").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "locator")).alias("first"),
         F.count(F.lit(1)).alias("n"))
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+                  spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false"):
         query = (held.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", state_dir).trigger(availableNow=True).start())
         query.awaitTermination()
@@ -88,8 +89,8 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("first.locator").alias("keep_locator"), F.col("n").alias("group_size"))
 
     hits = decided.where("group_size > 1").select("id", "locator", "digest", "keep_locator")
-    texts = content.select("locator", "body").join(hits, "locator").select(
-        "id", "locator", "digest", "keep_locator", normalised(F.col("body")).alias("body"))
+    texts = stage(content.select("locator", "body").join(hits, "locator").select(
+        "id", "locator", "digest", "keep_locator", normalised(F.col("body")).alias("body")), "hits")
     stays = texts.where("locator = keep_locator").select("digest", F.col("body").alias("kept_body"))
     differ = stage(texts.where("locator != keep_locator").join(stays, "digest")
                    .where("body != kept_body").select("digest").distinct(), "differ")
