@@ -93,7 +93,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "id", "locator", "digest", "keep_locator", normalised(F.col("body")).alias("body")), "hits")
     stays = texts.where("locator = keep_locator").select("digest", F.col("body").alias("kept_body"))
     differ = stage(texts.where("locator != keep_locator").join(stays, "digest")
-                   .where("body != kept_body").select("digest").distinct(), "differ")
+                   .where("body != kept_body").select("digest"), "differ")
     if differ.isEmpty():
         return decided
     exact = texts.join(differ, "digest", "left_semi")
