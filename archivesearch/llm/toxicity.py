@@ -4,7 +4,8 @@ A document's features are the hashed character n-grams (``MIN_N`` to ``MAX_N``,
 within lower-cased white-space-separated words, with a mark at either end)
 present in it. Each is scaled by its log-count ratio
 ``log((1 + toxic with it) / (1 + clean with it))``, both normalised by class, and
-a logistic regression is fitted on the scaled features. Only the sample that
+a logistic regression is fitted on the scaled features; the scale and shift of
+its logits are fitted on rows that cross-validation left out. Only the sample that
 the model is fitted on is bounded: ``per_class`` labelled rows of each class,
 those with the smallest hash of the id, weighted back to the class frequencies
 of all labelled rows. Every document is scored on its whole text in Arrow
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from archivesearch.llm.common import stage, text_or_empty
 
 BITS = 18
-MIN_N, MAX_N = 3, 5
+MIN_N, MAX_N = 3, 6
 #: Labelled rows of each class that the model is fitted on at most.
 PER_CLASS = 3000
 CACHED_WORDS = 150_000
@@ -95,28 +96,72 @@ class Features:
             yield grams[self.last[grams] == at]
 
 
-def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 150, l2: float = 0.003,
-        step: float = 0.1) -> Model:
-    """Weighted logistic regression on ratio-scaled features, by Adam over the whole sample."""
-    sets = [*Features().of(texts)]
-    column = np.concatenate(sets) if sets else np.empty(0, np.int32)
-    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
-    size = 1 << BITS
+class Sample:
+    """The labelled sample as pairs (row, n-gram)."""
+
+    def __init__(self, texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> None:
+        sets = [*Features().of(texts)]
+        self.column = np.concatenate(sets) if sets else np.empty(0, np.int32)
+        self.row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        self.toxic, self.weight = toxic, weight
+
+    def logits(self, weights: np.ndarray, intercept: float) -> np.ndarray:
+        return np.bincount(self.row, weights=weights[self.column], minlength=len(self.toxic)) + intercept
+
+    def fit(self, use: np.ndarray, rounds: int = 100, l2: float = 0.005, step: float = 0.05, least: int = 5,
+            tell: float = 1.0) -> tuple[np.ndarray, float]:
+        """Weights and intercept of a logistic regression (Adam, whole sample) on the ratio-scaled
+        n-grams that ``least`` rows have and whose ratio is at least ``tell`` in size; ``use`` masks
+        the rows."""
+        size, toxic, weight = 1 << BITS, self.toxic, self.weight * use
+        counts = [np.bincount(self.column, weights=(weight * (toxic == c))[self.row], minlength=size) + 1.0
+                  for c in (0, 1)]
+        totals = [(weight * (toxic == c)).sum() + 2.0 for c in (0, 1)]
+        ratio = np.log((counts[1] / totals[1]) / (counts[0] / totals[0]))
+        ratio[np.bincount(self.column, weights=use[self.row].astype(float), minlength=size) < least] = 0.0
+        ratio[np.abs(ratio) < tell] = 0.0
+        keep = np.flatnonzero((ratio[self.column] != 0) & use[self.row])
+        column, row = self.column[keep], self.row[keep]
+        share, bias = weight / weight.sum(), np.log(totals[1] / totals[0])
+        w, m, v = np.zeros(size), np.zeros(size + 1), np.zeros(size + 1)
+        for t in range(1, rounds + 1):
+            z = np.bincount(row, weights=(w * ratio)[column], minlength=len(toxic)) + bias
+            error = (sigmoid(z) - toxic) * share
+            slope = np.append(np.bincount(column, weights=error[row], minlength=size) * ratio + l2 * w, error.sum())
+            m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
+            move = step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+            w, bias = w - move[:-1], bias - move[-1]
+        return w * ratio, float(bias)
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def calibration(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of logits that fit the labels best (Newton steps on two parameters)."""
+    x = np.stack([z, np.ones_like(z)])
+    at = np.array([1.0, 0.0])
     share = weight / weight.sum()
-    counts = [np.bincount(column, weights=(weight * (toxic == c))[row], minlength=size) + 1.0 for c in (0, 1)]
-    totals = [(weight * (toxic == c)).sum() + 2.0 for c in (0, 1)]
-    ratio = np.log((counts[1] / totals[1]) / (counts[0] / totals[0]))
-    ratio[np.bincount(column, minlength=size) == 0] = 0.0
-    bias = np.log(totals[1] / totals[0])
-    w, m, v = np.zeros(size), np.zeros(size + 1), np.zeros(size + 1)
-    for t in range(1, rounds + 1):
-        z = np.bincount(row, weights=(w * ratio)[column], minlength=len(sets)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - toxic) * share
-        slope = np.append(np.bincount(column, weights=error[row], minlength=size) * ratio + l2 / size * w, error.sum())
-        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
-        move = step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, bias = w - move[:-1], bias - move[-1]
-    return Model((w * ratio).astype(np.float32), float(bias))
+    for _ in range(50):
+        p = sigmoid(at @ x)
+        slope = x @ ((p - toxic) * share) + 1e-4 * (at - [1.0, 0.0])
+        curve = (x * (p * (1 - p) * share)) @ x.T + 1e-4 * np.eye(2)
+        at = at - np.clip(np.linalg.solve(curve, slope), -1, 1)
+    return max(float(at[0]), 1e-3), float(at[1])
+
+
+def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, folds: int = 3) -> Model:
+    """The model of the whole sample, with logits calibrated on rows that folds left out."""
+    sample = Sample(texts, toxic, weight)
+    fold = np.arange(len(toxic)) % folds
+    left_out = np.zeros(len(toxic))
+    for k in range(folds):
+        weights, bias = sample.fit(fold != k)
+        left_out[fold == k] = sample.logits(weights, bias)[fold == k]
+    scale, shift = calibration(left_out, toxic, weight)
+    weights, bias = sample.fit(np.ones(len(toxic), bool))
+    return Model((weights * scale).astype(np.float32), bias * scale + shift)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, doc_id: str = "doc_id",
@@ -163,8 +208,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
                 part = batch.slice(at, 128)
                 bodies = part.column(part.schema.get_field_index(text)).cast(pa.string()).fill_null("").to_pylist()
                 z = np.array([weights[s].sum(dtype=np.float64) + intercept for s in features.of(bodies)])
-                p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(z))], names=[*names, into])
 
     return docs.mapInArrow(scored, docs.select("*", F.lit(0.0).alias(into)).schema)
 
