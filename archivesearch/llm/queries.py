@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from archivesearch.llm.common import documents
+from archivesearch.llm.decontaminate import similar_windows
 from archivesearch.llm.exact_dedup import exact_dedup
 from archivesearch.llm.html_extract import extract
+from archivesearch.llm.ngram_join import jaccard_components
 from archivesearch.llm.packing import pack, tokenised_pieces
 from archivesearch.llm.secrets import find_secrets, joined
 from archivesearch.llm.sharding import shard_rows
@@ -31,6 +33,10 @@ def op1_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op5_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(documents(spark, sf_dir))
 
@@ -41,6 +47,13 @@ def op5_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_windows(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", F.col("start").cast("bigint").alias("start_word"),
+                        F.col("n_words").cast("bigint").alias("n_words"),
+                        F.round(F.col("shared") / F.col("total"), 9).alias("similarity"))
+
+
 def op7_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack(tokenised_pieces(documents(spark, sf_dir), tokenizer_path(), CAPACITY), CAPACITY)
     return placed.withColumnRenamed("id", "doc_id")
@@ -67,7 +80,9 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ring_sharding": op1_ring_sharding,
+    "op2_jaccard_join": op2_jaccard_join,
     "op5_linked_secrets": op5_linked_secrets,
+    "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_residual_packing": op7_residual_packing,
     "op8_stateful_dedup": op8_stateful_dedup,
     "op9_nb_toxicity": op9_nb_toxicity,
@@ -75,6 +90,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e2 AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(d, x) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.d, e2.b FROM r JOIN e2 ON r.x = e2.a)
+SELECT d AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(x) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = d GROUP BY d""",
+    "op6_simhash_decontamination": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents),
+i AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS v
+  FROM benchmark),
+ig AS (SELECT item_id, len(v) AS n, unnest(list_transform(range(1, len(v) - 3), lambda j: array_to_string(v[j:j + 4], ' '))) AS g
+  FROM i WHERE len(v) >= 5),
+ic AS (SELECT item_id, n, g, count(*) AS c FROM ig GROUP BY ALL),
+dg AS (SELECT doc_id, len(w) AS size, unnest(range(0, len(w) - 4)) AS p,
+  unnest(list_transform(range(1, len(w) - 3), lambda j: array_to_string(w[j:j + 4], ' '))) AS g FROM d WHERE len(w) >= 5),
+h AS (SELECT doc_id, size, p, dg.g, item_id, n, c FROM dg JOIN ic ON dg.g = ic.g),
+s AS (SELECT DISTINCT doc_id, size, item_id, n,
+  unnest(range(greatest(0, least(p - (n - 5), size - n)), greatest(0, least(p, size - n)) + 1)) AS start FROM h),
+k AS (SELECT s.doc_id, s.item_id, s.n, s.start, least(s.n, s.size) - 4 + s.n - 4 AS both_n, h.g, least(count(*), any_value(h.c)) AS m
+  FROM s JOIN h ON h.doc_id = s.doc_id AND h.item_id = s.item_id AND h.p >= s.start AND h.p <= s.start + s.n - 5
+  GROUP BY 1, 2, 3, 4, 5, 6),
+t AS (SELECT doc_id, item_id, n, start, sum(m) AS shared, any_value(both_n) - sum(m) AS total FROM k GROUP BY 1, 2, 3, 4),
+q AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared / total DESC, start) AS rn FROM t
+  WHERE 100 * shared >= 80 * total)
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start_word, CAST(n AS BIGINT) AS n_words, round(shared / total, 9) AS similarity
+FROM q WHERE rn = 1""",
     "op8_stateful_dedup": r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents),
