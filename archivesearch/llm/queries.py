@@ -15,6 +15,7 @@ from archivesearch.llm.ngram_join import jaccard_components
 from archivesearch.llm.packing import pack, tokenised_pieces
 from archivesearch.llm.secrets import find_secrets, joined
 from archivesearch.llm.sharding import shard_rows
+from archivesearch.llm.suffix_dedup import remove_repeats
 from archivesearch.llm.toxicity import held_out, score, train
 
 SHARDS = 40
@@ -37,6 +38,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op4_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op5_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(documents(spark, sf_dir))
 
@@ -81,6 +87,7 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ring_sharding": op1_ring_sharding,
     "op2_jaccard_join": op2_jaccard_join,
+    "op4_prefix_free_dedup": op4_prefix_free_dedup,
     "op5_linked_secrets": op5_linked_secrets,
     "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_residual_packing": op7_residual_packing,
