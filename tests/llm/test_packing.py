@@ -28,7 +28,7 @@ def test_word_by_word_ids_equal_whole_text_ids():
     from tokenizers import Tokenizer
 
     rng = random.Random(4)
-    parts = ["Hello", "É́té", "don't", "x'll", "<|endoftext|>", "日本語", "́", "12,345", " ", " ",
+    parts = ["Hello", "I\u0307", "É́té", "don't", "x'll", "<|endoftext|>", "日本語", "́", "12,345", " ", " ",
              "…", "ß", "İ", "a\x1cb", "\x85", " ", "\n", "\t ", "\x0b", "😀👩‍👩‍👧", "--", "<|startoftext|>x"]
     texts = ["".join(rng.choices(parts, k=30)) for _ in range(300)] + ["", " "]
     tokenizer = Tokenizer.from_file(tokenizer_path())
