@@ -83,29 +83,30 @@ def least_linkable(percent: int) -> int:
 
 # --- profile ---------------------------------------------------------------
 
-PROFILE = "id bigint, n int, name bigint, part int, salt int, counts binary"
+PROFILE = "id bigint, tag bigint, n int, name bigint, part int, salt int, counts binary"
 
 
 def profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Rows of documents, then this task's counters in parts."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("name", pa.int64()),
+    schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n", pa.int32()), ("name", pa.int64()),
                         ("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     for batch in batches:
         sizes, names = [], []
-        for tokens in shingle_sets(batch.column(1).to_pylist(), k):
+        for tokens in shingle_sets(batch.column(2).to_pylist(), k):
             at = (tokens >> U(64 - SKETCH_BITS)).astype(np.int64)
             counts[at] += counts[at] < 65535  # a counter that is full stays full
             sizes.append(len(tokens))
             names.append(set_name(tokens))
         none = [None] * len(sizes)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, t) for c, t in zip((sizes, names, none, none, none), schema.types[1:]))],
+            [batch.column(0), batch.column(1),
+             *(pa.array(c, t) for c, t in zip((sizes, names, none, none, none), schema.types[2:]))],
             schema=schema)
     if counts.any():
         salt = TaskContext.get().partitionId() % SALTS
         for part, own in enumerate(np.split(counts, SKETCH_PARTS)):
-            row = (None, None, None, part, salt, own.tobytes())
+            row = (None, None, None, None, part, salt, own.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
@@ -298,16 +299,32 @@ def set_links(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, perc
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text",
                        ) -> DataFrame:
-    """``(id, n_shingles, name, component_id)`` for each row of ``docs``."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_or_empty(text).alias("body"))
+    """``(id, tag, n_shingles, name, component_id)`` for each row of ``docs``; ``tag`` is a hash of the text."""
+    body = text_or_empty(text)
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(body).alias("tag"), body.alias("body"))
     seen = stage(rows.mapInArrow(lambda it: profile(it, k), PROFILE), "profile")
     counts = counter_table(seen.where("part IS NOT NULL"))
-    each = seen.where("part IS NULL").select("id", "n", "name")
+    each = seen.where("part IS NULL").select("id", "tag", "n", "name")
     sets = stage(each.where("n > 0").groupBy("name").agg(F.max("n").alias("n"), F.min("id").alias("id")), "sets")
-    roots = components(set_links(rows, sets, counts, k, percent))
+    roots = components(set_links(rows.select("id", "body"), sets, counts, k, percent))
     named = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select(
         "name", "id", F.coalesce("root", "name").alias("root"))
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
     of_set = named.join(smallest, "root").select("name", "component_id")
-    return each.where("n > 0").join(of_set, "name").select("id", F.col("n").cast("bigint").alias("n_shingles"), "name", "component_id").unionAll(
-        each.where("n = 0").select("id", F.lit(0).cast("bigint"), F.lit(None).cast("bigint"), "id"))
+    alone = each.where("n = 0").select("id", "tag", F.lit(0).cast("bigint").alias("n_shingles"),
+                                       F.lit(None).cast("bigint").alias("name"), F.col("id").alias("component_id"))
+    return each.where("n > 0").join(of_set, "name").select(
+        "id", "tag", F.col("n").cast("bigint").alias("n_shingles"), "name", "component_id").unionAll(alone)
+
+
+def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all columns, less the rows whose component has a row that comes first by (id, text hash).
+
+    Rows without words are kept; so are repeats of the row that stays."""
+    found = jaccard_components(docs, k, percent, doc_id, text).where("n_shingles > 0")
+    stays = found.groupBy(F.col("component_id").alias("__of")).agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("first"))
+    gone = found.join(stays, F.col("component_id").eqNullSafe(F.col("__of"))).where(
+        "NOT (id <=> first.id AND tag = first.tag)").select(F.col("id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text)) == F.col("__tag"))
+    return docs.join(stage(gone, "near-copies"), same, "left_anti")

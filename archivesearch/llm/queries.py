@@ -11,6 +11,7 @@ from archivesearch.llm.common import documents
 from archivesearch.llm.decontaminate import similar_windows
 from archivesearch.llm.exact_dedup import exact_dedup
 from archivesearch.llm.html_extract import extract
+from archivesearch.llm.lm_score import backoff_scores
 from archivesearch.llm.ngram_join import jaccard_components
 from archivesearch.llm.packing import pack, tokenised_pieces
 from archivesearch.llm.secrets import find_secrets, joined
@@ -38,6 +39,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff_scores(documents(spark, sf_dir))
+    return scored.select(F.col("id").alias("doc_id"), "n_words", "n_backed_off", F.round("log_score", 3).alias("log_score"))
+
+
 def op4_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
@@ -87,6 +93,7 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ring_sharding": op1_ring_sharding,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_stupid_backoff": op3_stupid_backoff,
     "op4_prefix_free_dedup": op4_prefix_free_dedup,
     "op5_linked_secrets": op5_linked_secrets,
     "op6_simhash_decontamination": op6_simhash_decontamination,
@@ -110,6 +117,28 @@ e2 AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r(d, x) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.d, e2.b FROM r JOIN e2 ON r.x = e2.a)
 SELECT d AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(x) AS component_id
 FROM r LEFT JOIN n ON n.doc_id = d GROUP BY d""",
+    "op3_stupid_backoff": r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM w),
+g AS (SELECT doc_id, i, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2, CASE WHEN i > 1 THEN w[i - 1] END AS x2,
+  CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3,
+  CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS x3 FROM t),
+d AS (SELECT doc_id, g, count(*) AS n FROM (SELECT doc_id, unnest([g1, g2, g3]) AS g FROM g) WHERE g IS NOT NULL GROUP BY 1, 2),
+a AS (SELECT g, sum(n) AS n FROM d GROUP BY 1),
+o AS (SELECT d.doc_id, d.g, a.n - d.n AS c FROM d JOIN a USING (g)),
+z AS (SELECT doc_id, greatest((SELECT sum(len(w)) FROM w) - len(w), 1) AS rest FROM w),
+s AS (SELECT g.doc_id, g2, g3, CASE
+    WHEN c3.c > 0 THEN ln(c3.c / b3.c)
+    WHEN c2.c > 0 THEN ln(c2.c / b2.c) + CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4) END
+    ELSE ln(greatest(c1.c, 1) / rest) + ln(0.4) * CASE WHEN g3 IS NOT NULL THEN 2 WHEN g2 IS NOT NULL THEN 1 ELSE 0 END END AS v,
+  CASE WHEN c3.c > 0 OR (g3 IS NULL AND c2.c > 0) OR g2 IS NULL THEN 0 ELSE 1 END AS b
+  FROM g JOIN z USING (doc_id) JOIN o c1 ON c1.doc_id = g.doc_id AND c1.g = g1
+  LEFT JOIN o c2 ON c2.doc_id = g.doc_id AND c2.g = g2 LEFT JOIN o b2 ON b2.doc_id = g.doc_id AND b2.g = x2
+  LEFT JOIN o c3 ON c3.doc_id = g.doc_id AND c3.g = g3 LEFT JOIN o b3 ON b3.doc_id = g.doc_id AND b3.g = x3)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(sum(b), 0) AS BIGINT) AS n_backed_off,
+  round(coalesce(sum(v), 0.0), 3) AS log_score
+FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id, len(w)""",
     "op6_simhash_decontamination": r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM documents),
