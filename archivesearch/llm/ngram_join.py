@@ -299,7 +299,8 @@ def set_links(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, perc
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text",
                        ) -> DataFrame:
-    """``(id, tag, n_shingles, name, component_id)`` for each row of ``docs``; ``tag`` is a hash of the text."""
+    """``(id, tag, n_shingles, name, root, component_id)`` for each row of ``docs``; ``tag`` is a hash of the
+    text, ``name`` of the set, and ``root`` names the component (null without words)."""
     body = text_or_empty(text)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(body).alias("tag"), body.alias("body"))
     seen = stage(rows.mapInArrow(lambda it: profile(it, k), PROFILE), "profile")
@@ -310,11 +311,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     named = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select(
         "name", "id", F.coalesce("root", "name").alias("root"))
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_set = named.join(smallest, "root").select("name", "component_id")
+    of_set = named.join(smallest, "root").select("name", "root", "component_id")
     alone = each.where("n = 0").select("id", "tag", F.lit(0).cast("bigint").alias("n_shingles"),
-                                       F.lit(None).cast("bigint").alias("name"), F.col("id").alias("component_id"))
+                                       F.lit(None).cast("bigint").alias("name"), F.lit(None).cast("bigint").alias("root"),
+                                       F.col("id").alias("component_id"))
     return each.where("n > 0").join(of_set, "name").select(
-        "id", "tag", F.col("n").cast("bigint").alias("n_shingles"), "name", "component_id").unionAll(alone)
+        "id", "tag", F.col("n").cast("bigint").alias("n_shingles"), "name", "root", "component_id").unionAll(alone)
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -322,9 +324,9 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 
     Rows without words are kept; so are repeats of the row that stays."""
     found = jaccard_components(docs, k, percent, doc_id, text).where("n_shingles > 0")
-    stays = found.groupBy(F.col("component_id").alias("__of")).agg(
+    stays = found.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("first"))
-    gone = found.join(stays, F.col("component_id").eqNullSafe(F.col("__of"))).where(
+    gone = found.join(stays, "root").where(
         "NOT (id <=> first.id AND tag = first.tag)").select(F.col("id").alias("__id"), F.col("tag").alias("__tag")).distinct()
     same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text)) == F.col("__tag"))
     return docs.join(stage(gone, "near-copies"), same, "left_anti")
