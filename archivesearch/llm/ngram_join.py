@@ -18,9 +18,10 @@ sequence of a shorter text). Two documents link when
    is lost. Tokens that the counters already show as very common go to the
    combinations directly and never form a bucket of their own.
 4. *Verify.* Pairs of rare buckets, and in combination buckets each member with the
-   smallest one, are compared on their whole sets; then only pairs of a combination
-   bucket that are still in different components. A bucket of n copies with small
-   changes thus costs n comparisons.
+   smallest one, are compared on their whole sets; then each member with one drawn member
+   of another component. Members of a bucket that are then still in different components
+   are compared all with all, block by block within tasks that return links only. A bucket
+   of n copies with small changes costs about n comparisons, and no pair is left out.
 5. *Components* by alternating stars over the verified links.
 
 Defined cases: texts without words (null too) have an empty set and link with
@@ -44,10 +45,11 @@ from archivesearch.llm.common import stage, text_or_empty
 from archivesearch.llm.components import components
 from archivesearch.llm.hashing import ODD, U, mix, shingle_sets
 
-SKETCH_BITS = 22
+SKETCH_BITS = 21
 SKETCH_PARTS = 64
 RARE = 8
 FIRST_CLASS = 64  # sets below are class 0
+BLOCK = 128
 SALTS = 64
 
 
@@ -90,12 +92,12 @@ def profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
     """Rows of documents, then this task's counters in parts."""
     schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n", pa.int32()), ("name", pa.int64()),
                         ("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
+    counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
     for batch in batches:
         sizes, names = [], []
         for tokens in shingle_sets(batch.column(2).to_pylist(), k):
             at = (tokens >> U(64 - SKETCH_BITS)).astype(np.int64)
-            counts[at] += counts[at] < 65535  # a counter that is full stays full
+            counts[at] += counts[at] < 255  # a task's counter that is full stays full
             sizes.append(len(tokens))
             names.append(set_name(tokens))
         none = [None] * len(sizes)
@@ -124,7 +126,7 @@ def _add(dtype: type) -> object:
 def counter_table(rows: DataFrame) -> np.ndarray:
     """The sum of all tasks' counters: ``4 << SKETCH_BITS`` bytes, whatever the input."""
     schema = "part int, salt int, counts binary"
-    some = rows.select("part", "salt", "counts").groupBy("part", "salt").applyInPandas(_add(np.uint16), schema)
+    some = rows.select("part", "salt", "counts").groupBy("part", "salt").applyInPandas(_add(np.uint8), schema)
     parts = some.groupBy("part").applyInPandas(_add(np.uint32), schema).collect()
     table = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     width = len(table) // SKETCH_PARTS
@@ -161,7 +163,7 @@ def postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, table: np.
                 common = seen[take] > common_at
                 key = mix(own + U(cls + 1) * ODD).view(np.int64)
                 routes.append(np.where(common, name, key))
-                tokens_out.append(own.view(np.int64))
+                tokens_out.append(np.where(common, key, 0))  # else the route says it
                 commons.append(common)
                 names.append(np.full(len(own), name))
                 sizes.append(np.full(len(own), n, np.int32))
@@ -189,7 +191,8 @@ def buckets(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     def settle(rows: dict[str, np.ndarray], large: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole buckets; ``large`` marks rows of frequent or common tokens."""
         if large.any():
-            yield out(rows["name"][large], None, rows["cls"][large], rows["token"][large])
+            token = np.where(rows["common"], rows["token"], rows["route"])
+            yield out(rows["name"][large], None, rows["cls"][large], token[large])
         route, name, n = (rows[c][~large] for c in ("route", "name", "n"))
         for lag in range(1, RARE):
             same = (route[:-lag] == route[lag:]) & (name[:-lag] != name[lag:])
@@ -234,14 +237,21 @@ def named_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
                                               pa.array([f[1] for f in found], pa.binary())], names=["name", "tokens"])
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if min(len(x), len(y)) * 100 < max(len(x), len(y)) * percent:
+        return False
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            ok += [linked(np.frombuffer(x, U), np.frombuffer(y, U), percent)
+                   for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
         links = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
         yield links.filter(pa.array(ok, pa.bool_()))
 
@@ -266,35 +276,92 @@ def set_links(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, perc
                    .select("a", F.col("cls"), F.expr("t[i]").alias("x"), F.explode(F.expr("slice(t, i + 2, size(t))")).alias("y"))
                    .select(F.xxhash64("cls", "x", "y").alias("bucket"), F.col("a").alias("name")), "combinations")
     firsts = combos.groupBy("bucket").agg(F.min("name").alias("pivot"), F.max("name").alias("high")).where("pivot < high")
-    shared = stage(combos.join(firsts.select("bucket", "pivot"), "bucket"), "shared-combinations")
+    # buckets of the same members (the tokens of one passage, say) are one bucket
+    both = combos.join(firsts.select("bucket"), "bucket", "left_semi").distinct()
+    members_of = both.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("name").alias("low"), F.max("name").alias("high"),
+        F.bit_xor(F.xxhash64("name")).alias("x"), F.bit_xor(F.xxhash64("name", F.lit(1))).alias("y"))
+    kept = members_of.groupBy("n", "low", "high", "x", "y").agg(F.min("bucket").alias("bucket"))
+    shared = stage(both.join(kept.select("bucket", F.col("low").alias("pivot")), "bucket"), "shared-combinations")
     stars = shared.where("name != pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b"))
     size_a = sets.select(F.col("name").alias("a"), F.col("n").alias("na"))
     size_b = sets.select(F.col("name").alias("b"), F.col("n").alias("nb"))
 
-    def compare(pairs: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
-        """Pairs of fitting sizes, and those of them that link."""
-        pairs = stage(pairs.join(size_a, "a").join(size_b, "b").where(
+    def fitting(pairs: DataFrame, purpose: str) -> DataFrame:
+        return stage(pairs.join(size_a, "a").join(size_b, "b").where(
             f"least(na, nb) * 100L >= greatest(na, nb) * {percent}L").select("a", "b").distinct(), f"pairs-{purpose}")
-        wanted = pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct()
-        bodies = docs.join(wanted.join(sets, "name").select("name", F.col("id").alias("__id")),
-                           F.col("id").eqNullSafe(F.col("__id"))).select("name", "body")
-        tokens = stage(bodies.mapInArrow(lambda it: named_sets(it, k), "name bigint, tokens binary"), f"sets-{purpose}")
-        x = tokens.select(F.col("name").alias("a"), F.col("tokens").alias("x"))
-        y = tokens.select(F.col("name").alias("b"), F.col("tokens").alias("y"))
-        links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
-            lambda it: verified(it, percent), "a bigint, b bigint")
-        return pairs, stage(links, f"links-{purpose}")
-
-    tried, links = compare(rare.unionAll(stars), "first")
-    roots = components(links)
-    marked = shared.select("bucket", "name").distinct().join(roots.withColumnRenamed("node", "name"), "name", "left").select(
+
+    tried = fitting(rare.unionAll(stars), "first")
+    # the sets of all pairs, of these and of later ones
+    wanted = tried.select(F.col("a").alias("name")).unionAll(tried.select("b")).unionAll(shared.select("name")).distinct()
+    bodies = docs.join(wanted.join(sets, "name").select("name", F.col("id").alias("__id")),
+                       F.col("id").eqNullSafe(F.col("__id"))).select("name", "body")
+    tokens = stage(bodies.mapInArrow(lambda it: named_sets(it, k), "name bigint, tokens binary"), "tokens")
+    x = tokens.select(F.col("name").alias("a"), F.col("tokens").alias("x"))
+    y = tokens.select(F.col("name").alias("b"), F.col("tokens").alias("y"))
+
+    def compare(pairs: DataFrame, purpose: str) -> DataFrame:
+        """Those pairs that link."""
+        return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
+            lambda it: verified(it, percent), "a bigint, b bigint"), f"links-{purpose}")
+
+    links = compare(tried, "first")
+    drawn = open_buckets(shared, links)  # each member with one of another component, drawn by hash
+    other = drawn.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("name", F.lit(1)).alias("h"), "name", "root")).alias("p"))
+    apart = drawn.join(other, "bucket").where("root != p.root").select(
+        F.least("name", "p.name").alias("a"), F.greatest("name", "p.name").alias("b")).distinct()
+    links = links.unionAll(compare(fitting(apart.join(tried, ["a", "b"], "left_anti"), "drawn"), "drawn"))
+    return links.unionAll(rest_links(open_buckets(shared, links), tokens, percent))
+
+
+def open_buckets(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """``(bucket, name, root)`` of the buckets whose members lie in several components."""
+    marked = shared.select("bucket", "name").join(components(links).withColumnRenamed("node", "name"), "name", "left").select(
         "bucket", "name", F.coalesce("root", "name").alias("root"))
     mixed = marked.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_rows = stage(marked.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-    left, right = open_rows.toDF("bucket", "a", "ra"), open_rows.toDF("bucket", "b", "rb")
-    rest = left.join(right, "bucket").where("a < b AND ra != rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    _, more = compare(rest, "rest")
-    return links.unionAll(more)
+    return stage(marked.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+
+
+def rest_links(open_rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one bucket that are still in different components.
+
+    The sets that buckets connect are cut into blocks of ``BLOCK`` and every two blocks
+    meet in one task, which compares the pairs that share a bucket and returns links only."""
+    pivots = open_rows.groupBy("bucket").agg(F.min("name").alias("b"))
+    family = components(open_rows.join(pivots, "bucket").select(F.col("name").alias("a"), "b").distinct())
+    sized = family.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = family.join(sized, "root").select(
+        F.col("node").alias("name"), F.col("root").alias("family"), "blocks",
+        F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+    rows = open_rows.groupBy("name").agg(F.first("root").alias("root"), F.collect_set("bucket").alias("buckets")).join(
+        placed, "name").join(tokens.dropDuplicates(["name"]), "name")
+    met = rows.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "family", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "name", "root",
+        "buckets", "tokens")
+    return stage(met.groupBy("family", "i", "j").applyInArrow(block_links(percent), "a bigint, b bigint"), "links-rest")
+
+
+def block_links(percent: int):
+    def compare(rows: pa.Table) -> pa.Table:
+        names, roots, blocks = (rows.column(c).to_numpy() for c in ("name", "root", "block"))
+        one_block = rows.column("i")[0] == rows.column("j")[0]
+        lists = rows.column("buckets").to_pylist()
+        bucket = np.concatenate([np.array(x, dtype=np.int64) for x in lists])
+        owner = np.repeat(np.arange(len(names)), [len(x) for x in lists])
+        order = np.argsort(bucket, kind="stable")
+        bucket, owner = bucket[order], owner[order]
+        near = np.zeros((len(names), len(names)), dtype=bool)  # of two blocks at most
+        for own in np.split(owner, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1):
+            near[np.ix_(own, own)] = True
+        near &= roots[:, None] != roots[None, :]
+        near &= names[:, None] < names[None, :]
+        if not one_block:
+            near &= blocks[:, None] != blocks[None, :]
+        sets = [np.frombuffer(t, U) for t in rows.column("tokens").to_pylist()]
+        links = [(int(names[x]), int(names[y])) for x, y in zip(*np.nonzero(near)) if linked(sets[x], sets[y], percent)]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return compare
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text",
