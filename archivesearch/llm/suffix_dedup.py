@@ -106,7 +106,8 @@ def parse(bodies: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         content = mix(_pair(string[left], string[right]) + (right - left).astype(U) * ODD + (at - left).astype(U))
         document = np.array([p[0] for p in parts])[owner[first]]
         place = left - np.array([p[2] - p[1] for p in parts])[owner[first]]
-        yield gram[at], content, document, place, right - left
+        # two triggers of equal first 48 bits share a group, which costs checks and changes nothing
+        yield gram[at] >> U(16), content, document, place, right - left
 
 
 def strings(bodies: list[bytes], document: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -257,8 +258,12 @@ def string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = tag.astype(np.int64) << 32 | place
         kind = np.where(first_of(h, ids, rest), FIRST, REPEATED).astype(np.int32)
         zero = np.zeros(len(h), np.int64)
+        # rows come by document and place: repeated strings in a row are one row
+        joins = (kind[1:] == REPEATED) & (kind[:-1] == REPEATED) & (rest[1:] == rest[:-1] + 1) & (ids[1:] == ids[:-1])
+        head = np.append(True, ~joins)
+        more = np.diff(np.append(np.flatnonzero(head), len(h))) - 1
         k1 = np.where(kind == FIRST, h, mix(rest.view(U) + ids.view(U) * ODD))
-        yield _rows(k1, zero, ids, tag, place, zero, kind)
+        yield _rows(k1[head], zero[head], ids[head], tag[head], place[head], more, kind[head])
 
     count = 0
     for batch in batches:
@@ -319,7 +324,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = text_or_empty(text)
-    tag = F.xxhash64(body).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    ids = docs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST))).alias("ids")).first()
+    # only where ids repeat does a hash of the text tell their rows apart
+    tag = F.xxhash64(body).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int") if ids.n != ids.ids else F.lit(0)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("id"), tag.alias("tag"), body.alias("body"))
 
     phrases = rows.mapInArrow(phrase_rows, ROWS).repartition(n, "k1").sortWithinPartitions("k1", "k2", "id", "tag", "place")
@@ -331,14 +338,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     suffixes = concerned.where("size(check) > 0").select("id", "tag", "body", "check").mapInArrow(string_rows, ROWS)
     again = suffixes.repartition(n, "k1").sortWithinPartitions("k1", "id", "tag", "place").mapInArrow(settle_strings, ROWS)
-    own = again.groupBy("id", "tag").agg(F.collect_list(F.struct("place", "more")).alias("own"))
+    own = stage(again.groupBy("id", "tag").agg(F.collect_list(F.struct("place", "more")).alias("own")), "own")
     merged = concerned.join(own, ["id", "tag"], "left").select(
         "id", "tag", "body", F.expr("concat(repeated, coalesce(own, cast(array() as array<struct<place:int,more:int>>)))").alias("all"))
     back = F.nullif(F.col("id"), F.lit(LAST)).alias("id")
-    touched = stage(merged.where("size(all) > 0").select("id", "tag", "body", "all"), "touched")
-    cut_rows = touched.select(back, "body", "all").mapInArrow(cut, RESULT)
+    cut_rows = merged.where("size(all) > 0").select(back, "body", "all").mapInArrow(cut, RESULT)
+    touched = found.where(F.col("kind") == REPEATED).select("id", "tag").unionAll(own.select("id", "tag")).distinct()
     whole = rows.select("id", "tag", F.octet_length("body").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
                         F.sha2(F.col("body").cast("binary"), 256).alias("kept_sha256")).join(
-        touched.select("id", "tag"), ["id", "tag"], "left_anti").select(
+        touched, ["id", "tag"], "left_anti").select(
         back, "n_bytes", "n_removed", "kept_sha256", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("removed"))
     return cut_rows.unionAll(whole)
