@@ -9,7 +9,7 @@ n-grams; a word that no other document has counts as seen once.
 1. Documents are dealt into chunks by hash. A chunk explodes its n-grams of each
    order, and sends every distinct one with its count to the partition of its hash.
    Rows are packed: a chunk's n-grams of one hash range are one row of sorted,
-   difference-coded 64-bit hashes.
+   difference-coded hashes of ``HASH_BITS`` bits.
 2. The count tables are summed per hash range, joined back to the n-grams that each
    chunk sent, and returned in their order.
 3. Each chunk looks up its documents' n-grams and sums the logarithms per document.
@@ -36,10 +36,11 @@ from archivesearch.llm.common import text_or_empty
 from archivesearch.llm.hashing import U, hashed_words, mix, sequences
 
 BACKOFF = 0.4
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 8_000_000
 RANGE_GRAMS = 1_500_000
 #: The n-gram of no words; its count is the number of words.
-EMPTY = mix(np.array([0x5EED], dtype=U))[0]
+HASH_BITS = 56  # n distinct n-grams have n * n / 2**57 colliding pairs on average
+EMPTY = mix(np.array([0x5EED], dtype=U))[0] >> U(64 - HASH_BITS)
 
 
 def pack_sorted(h: np.ndarray) -> tuple[int, bytes]:
@@ -75,7 +76,7 @@ def grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[np
         h = np.zeros(len(words), dtype=U)
         own = sequences(words, k)
         fits = left[:len(own)] >= k
-        h[:len(own)][fits] = own[fits]
+        h[:len(own)][fits] = own[fits] >> U(64 - HASH_BITS)
         found.append(h)
     return counts, np.repeat(np.arange(len(texts)), counts), found
 
@@ -98,8 +99,9 @@ def chunk_counter(order: int, range_bits: int):
         at = int(np.searchsorted(h, EMPTY))
         h, n = np.insert(h, at, EMPTY), np.insert(n, at, len(found[0]))
         chunk = table.column("chunk")[0].as_py()
-        cuts = np.searchsorted(h, np.arange(1, 1 << range_bits, dtype=U) << U(64 - range_bits)) if range_bits else []
-        rows = [(chunk, r, *pack_sorted(x), *pack_counts(c))
+        base = np.arange(1 << range_bits, dtype=U) << U(HASH_BITS - range_bits)
+        cuts = np.searchsorted(h, base[1:])
+        rows = [(chunk, r, *pack_sorted(x - base[r]), *pack_counts(c))
                 for r, (x, c) in enumerate(zip(np.split(h, cuts), np.split(n, cuts))) if len(x)]
         return _table(rows)
 
