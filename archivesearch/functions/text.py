@@ -22,7 +22,7 @@ HIGHLIGHT_CLOSE = "</span>"
 SNIPPET_CONTEXT = 200
 
 
-def _ctx_class(chars=CONTEXT_CHARS) -> str:
+def context_class(chars=CONTEXT_CHARS) -> str:
     return "[" + "".join(re.escape(c) if c in "]\\^-" else c for c in chars) + "]"
 
 
@@ -64,7 +64,7 @@ def context_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Built from whole-string regexes, ``split`` and ``arrays_zip`` of shifted
     arrays: no per-element lambdas, no window, no shuffle.
     """
-    ctx = _ctx_class(context_chars)
+    ctx = context_class(context_chars)
     sents = df.select(id_col, sentence_array(F.col(text_col)).alias("_sa"))
     s = sents.select(id_col, F.size("_sa").alias("n_sent"),
                      F.posexplode("_sa").alias("sent", "sentence"))

@@ -5,7 +5,7 @@ annotation stage (E4 lives in ``operators.annotate``).
 E1 plan: tokens are pre-aggregated to (doc, word, count) before the join, so a
 hot word contributes one row per document rather than one per occurrence;
 the join to the word-vector table is a shuffle join (AQE splits skewed
-partitions), or a broadcast when the table is proven small. The weighted
+partitions), or a broadcast where AQE measures it to be small. The weighted
 mean is MLlib's ``Summarizer`` (a JVM vector aggregate), so the vector is
 never exploded into one row per dimension.
 """
@@ -17,8 +17,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivesearch.config import EmbeddingParams
 from archivesearch.functions import text as tx
-from archivesearch.session import bounded_broadcast
 
 HEX = "0123456789abcdef"
 
@@ -47,11 +47,11 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def embed_from_table(df: DataFrame, word_vectors: DataFrame, *, id_col: str = "doc_id",
-                     text_col: str = "text", broadcast_rows: int = 2_000_000) -> DataFrame:
+                     text_col: str = "text") -> DataFrame:
     """(id, embedding ARRAY<DOUBLE>) = count-weighted mean of the vectors of
     the document's known tokens; NULL when no token is known."""
     counts = token_counts(df, id_col, text_col)
-    wv = bounded_broadcast(word_vectors.select("word", array_to_vector("vec").alias("v")), broadcast_rows)
+    wv = word_vectors.select("word", array_to_vector("vec").alias("v"))
     known = counts.join(wv, "word")
     mean = (known.groupBy(id_col)
             .agg(Summarizer.mean(F.col("v"), F.col("cnt").cast("double")).alias("m"))
@@ -59,20 +59,33 @@ def embed_from_table(df: DataFrame, word_vectors: DataFrame, *, id_col: str = "d
     return df.select(id_col).join(mean, id_col, "left")
 
 
-def embed_trained(df: DataFrame, *, vector_size: int = 16, seed: int = 42, id_col: str = "doc_id",
-                  text_col: str = "text", max_iter: int = 1, min_count: int = 1,
-                  num_partitions: int = 1) -> DataFrame:
-    """Word2Vec trained on the documents' tokens; a document vector is the
-    mean of its word vectors (``Word2VecModel.transform``)."""
+def train_word_vectors(df: DataFrame, params: EmbeddingParams = EmbeddingParams(), *, text_col: str = "text",
+                       max_iter: int = 1, min_count: int = 5, num_partitions: int | None = None):
+    """A Word2Vec model of the documents' tokens. Words seen less than ``min_count`` times
+    are left out of the vocabulary, which MLlib holds on the driver; training is split over
+    ``num_partitions`` (as many as the session's parallelism unless given)."""
     from pyspark.ml.feature import Word2Vec
 
+    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    toks = df.select(tx.plain_token_array(F.col(text_col)).alias("tokens"))
+    return Word2Vec(vectorSize=params.vector_size, seed=params.seed, minCount=min_count, maxIter=max_iter,
+                    numPartitions=parts, inputCol="tokens", outputCol="v").fit(toks)
+
+
+def embed_with_model(df: DataFrame, model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, embedding): mean of the model's word vectors. The same model serves later batches and
+    queries, so their vectors compare."""
     toks = df.select(id_col, tx.plain_token_array(F.col(text_col)).alias("tokens"))
-    w2v = Word2Vec(vectorSize=vector_size, seed=seed, minCount=min_count, maxIter=max_iter,
-                   numPartitions=num_partitions, inputCol="tokens", outputCol="v")
-    model = w2v.fit(toks)
     return model.transform(toks).select(id_col, vector_to_array("v").alias("embedding"))
 
 
+def embed_trained(df: DataFrame, params: EmbeddingParams = EmbeddingParams(), *, id_col: str = "doc_id",
+                  text_col: str = "text", max_iter: int = 1, min_count: int = 5):
+    """``(vectors, model)`` of a model trained on these documents."""
+    model = train_word_vectors(df, params, text_col=text_col, max_iter=max_iter, min_count=min_count)
+    return embed_with_model(df, model, id_col=id_col, text_col=text_col), model
+
+
 def finish(annotation: Column, as_vector: bool = False) -> Column:
     """Unwrap ``[[...]]`` (first element) and emit float32 array or ML vector."""
     inner = F.when(F.size(annotation) > 0, F.element_at(annotation, 1))

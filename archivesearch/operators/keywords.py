@@ -21,24 +21,29 @@ word contributes ``1 + (1 - p)`` to the product and ``-(1 - p)`` to the sum,
 Everything is computed in log space (``ln S(kw)``) because scores span many
 orders of magnitude; ranking uses ``round(ln S, 9)`` then the keyword text.
 
-Plan shape: tokens are exploded from each document row (no shuffle); every
-count (term x sentence, term x neighbour, candidate) comes from ONE partial +
-final hash aggregate over a keyed event stream, then a second aggregate per
-(id, term); candidate components are scored by one join to the term table (bigrams
-around an interior stop word by a join to the follow table); the per-document top-N is a
-``WindowGroupLimit``. Every shuffle is keyed by (id, something), so a long
-document spreads over many partitions.
+Plan shape: T8 (``extract_keywords``) scores each document row by itself: its
+sentences are split in the JVM, counted and scored in Arrow batches, without a
+shuffle, join or checkpoint. T6 and T7 as tables of their own (``candidate_table``,
+``term_features``) are DataFrame aggregates over a keyed event stream, shuffled by
+(id, key).
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+import unicodedata
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from archivesearch.config import KeywordParams
 from archivesearch.functions import text as tx
 from archivesearch.functions.stopwords import ENGLISH_STOP_WORDS, is_stop
-from archivesearch.session import materialize
 
 RANK_DIGITS = 9
 
@@ -147,75 +152,133 @@ def candidate_table(events: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     F.col("cnt").alias("tf_kw"), F.col("first_sent").alias("sentence"))
 
 
-def follow_table(events: DataFrame, terms: DataFrame, id_col: str = "doc_id",
-                 stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """f(a, b) = count(a b) / TF(a) for bigrams touching a stop word (the
-    only ones an interior stop word needs). Key ``a b``."""
-    r = events.where((F.col("kind") == "R")
-                     & (is_stop(F.col("key"), stop_words) | is_stop(F.col("sub"), stop_words)))
-    tfa = terms.select(id_col, F.col("term").alias("key"), F.col("tf").alias("tf_a"))
-    return (r.select(id_col, "key", F.col("sub"), F.col("cnt")).join(tfa, [id_col, "key"])
-            .select(id_col, F.concat_ws(" ", "key", "sub").alias("key"),
-                    (F.col("cnt") / F.col("tf_a")).alias("val")))
-
-
-def keyword_scores(df: DataFrame, params: KeywordParams = KeywordParams(), *,
-                   id_col: str = "doc_id", text_col: str = "text",
-                   stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """T8 before the cut: every candidate of every document with
-    (id, result, n, tf_kw, sentence, ln_score, score)."""
-    # one shuffle of the text by id; with spark.sql.requireAllClusterKeysForCoPartition
-    # = false every later aggregate, window and join keyed by (id, ...) reuses it.
-    # The count is explicit: the work downstream is ~10-20x the text bytes, so
-    # AQE must not coalesce this shuffle by the size of the text alone.
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(id_col, text_col).where(F.col(text_col).isNotNull()).repartition(n_parts, id_col)
-    tokens = tx.context_tokens(base, id_col, text_col, params.context_chars)
-    # events and terms each feed several branches; with no exchange above the
-    # text shuffle there is nothing to reuse, so cut lineage once (reliable
-    # checkpoint keeps the doc_id partitioning for the joins below)
-    events = materialize(keyword_events(tokens, params, id_col, stop_words))
-    terms = materialize(term_table(events, id_col, stop_words))
-    cands = candidate_table(events, id_col)
-    parts = F.split("kw", " ")
-    t1, t2, t3 = parts.getItem(0), F.element_at(parts, 2), F.element_at(parts, 3)
-    n = F.col("n")
-    mid_stop = (n == 3) & is_stop(t2, stop_words)
-    # components scored by S(t): every term except an interior stop word
-    comps = F.array(t1, F.when((n >= 2) & ~mid_stop, t2), F.when(n == 3, t3))
-    exploded = cands.select(id_col, "kw", F.explode(F.filter(comps, lambda c: c.isNotNull())).alias("term"))
-    agg_s = (exploded.join(terms.select(id_col, "term", "s_term"), [id_col, "term"])
-             .groupBy(id_col, "kw")
-             .agg(F.sum(F.ln("s_term")).alias("ln_prod"), F.sum("s_term").alias("sum_s")))
-    # interior stop word: q = 1 - p, p = f(t1, t2) * f(t2, t3)
-    f = follow_table(events, terms, id_col, stop_words).select(id_col, "key", "val")
-    mids = (cands.where(mid_stop)
-            .select(id_col, "kw", F.concat_ws(" ", t1, t2).alias("k12"), F.concat_ws(" ", t2, t3).alias("k23"))
-            .join(f.select(id_col, F.col("key").alias("k12"), F.col("val").alias("f12")), [id_col, "k12"])
-            .join(f.select(id_col, F.col("key").alias("k23"), F.col("val").alias("f23")), [id_col, "k23"])
-            .select(id_col, "kw", (F.lit(1.0) - F.col("f12") * F.col("f23")).alias("q")))
-    scored = cands.join(agg_s, [id_col, "kw"]).join(mids, [id_col, "kw"], "left")
-    q = F.coalesce(F.col("q"), F.lit(0.0))
-    ln_score = (F.col("ln_prod") + F.ln(F.lit(1.0) + q) - F.ln(F.col("tf_kw").cast("double"))
-                - F.ln(F.lit(1.0) + F.col("sum_s") - q))
-    return scored.select(id_col, F.col("kw").alias("result"), "n", "tf_kw", "sentence",
-                         ln_score.alias("ln_score"), F.exp(ln_score).alias("score"))
-
-
-def top_keywords(scores: DataFrame, num_keywords: int, id_col: str = "doc_id") -> DataFrame:
-    """T8 cut: best ``num_keywords`` per id by (round(ln S, 9), result)."""
-    w = Window.partitionBy(id_col).orderBy(F.round("ln_score", RANK_DIGITS).asc(), F.col("result").asc())
-    return (scores.withColumn("kw_rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("kw_rank") <= num_keywords))
+def _unbroken(text: Column, context_chars) -> Column:
+    """Sentences of a text, each a string of its chunks (see ``tx.context_tokens``)."""
+    ctx = tx.context_class(context_chars)
+    return F.transform(tx.sentence_array(text), lambda s: F.regexp_replace(
+        F.regexp_replace(F.regexp_replace(s, r"^\s+|\s+$", ""), r"\s+", " "), f"(?<={ctx}) | (?={ctx})", tx.CHUNK_MARK))
+
+
+def _casing(word: str, initial: bool) -> tuple[bool, bool]:
+    """(acronym, capitalised but not sentence-initial)."""
+    if word == word.lower():
+        return False, False
+    kinds = [unicodedata.category(c) for c in word]
+    acronym = len(word) > 1 and "Lu" in kinds and "Ll" not in kinds
+    return acronym, kinds[0] == "Lu" and not acronym and not initial
+
+
+def document_scores(sentences: list[str], params: KeywordParams, stop: frozenset[str],
+                    ) -> list[tuple[str, float, int]]:
+    """``(keyword, ln S, first sentence)`` of every candidate of one document."""
+    edges = "".join(params.context_chars)
+    tf: Counter = Counter()
+    acronyms: Counter = Counter()
+    capitals: Counter = Counter()
+    places: dict[str, list[int]] = defaultdict(list)
+    pairs: Counter = Counter()  # (term, next term)
+    found: dict[tuple[str, ...], list[int]] = {}  # candidate: count, first sentence
+    starts: dict[str, bool] = {}
+
+    def ends_well(term: str) -> bool:
+        ok = starts.get(term)
+        if ok is None:
+            ok = starts[term] = eligible(term) and term not in stop
+        return ok
+
+    def eligible(term: str) -> bool:
+        return len(term) > 1 and not (term.isascii() and term.isdigit())
+
+    low, high = params.min_ngrams, params.max_ngrams
+    for at, sentence in enumerate(sentences):
+        for chunk, part in enumerate(sentence.split(tx.CHUNK_MARK)):
+            part = part.strip(edges)
+            if not part:
+                continue
+            words = part.split(" ")
+            terms = part.lower().split(" ")
+            for i, (word, term) in enumerate(zip(words, terms)):
+                tf[term] += 1
+                places[term].append(at)
+                if word != term:
+                    acronym, capital = _casing(word, chunk == 0 and i == 0)
+                    acronyms[term] += acronym
+                    capitals[term] += capital
+            pairs.update(zip(terms, terms[1:]))
+            for i, first in enumerate(terms):
+                if not ends_well(first):
+                    continue
+                for n in range(low, min(high, len(terms) - i) + 1):
+                    if n > 1 and not ends_well(terms[i + n - 1]) or n == 3 and not eligible(terms[i + 1]):
+                        continue
+                    seen = found.setdefault(tuple(terms[i:i + n]), [0, at])
+                    seen[0] += 1
+    if not found:
+        return []
+    left, right, left_n, right_n = Counter(), Counter(), Counter(), Counter()
+    for (a, b), n in pairs.items():
+        right[a] += 1
+        right_n[a] += n
+        left[b] += 1
+        left_n[b] += n
+    content = [n for t, n in tf.items() if t not in stop]
+    mean = sum(content) / len(content) if content else 0.0
+    deviation = math.sqrt(sum((n - mean) ** 2 for n in content) / len(content)) if content else 0.0
+    top, total = max(tf.values()), len(sentences)
+    scores: dict[str, float] = {}
+
+    def score(term: str) -> float:
+        s = scores.get(term)
+        if s is None:
+            n, own = tf[term], places[term]
+            case = max(acronyms[term], capitals[term]) / (1.0 + math.log(n))
+            position = math.log(math.log(3.0 + (own[(n - 1) // 2] + own[n // 2]) / 2))
+            freq = n / (mean + deviation) if mean + deviation else 0.0
+            sides = (left[term] / left_n[term] if left_n[term] else 0.0) + (right[term] / right_n[term] if right_n[term] else 0.0)
+            rel = 1.0 + sides * n / top
+            s = scores[term] = rel * position / (case + freq / rel + len(set(own)) / total / rel)
+        return s
+
+    out = []
+    for words, (n, first) in found.items():
+        middle = len(words) == 3 and words[1] in stop
+        parts = [score(w) for w in (words[::2] if middle else words)]
+        q = 1.0 - pairs[words[:2]] / tf[words[0]] * (pairs[words[1:]] / tf[words[1]]) if middle else 0.0
+        ln = sum(map(math.log, parts)) + math.log(1.0 + q) - math.log(n) - math.log(1.0 + sum(parts) - q)
+        out.append((" ".join(words), ln, first))
+    return out
 
 
 def extract_keywords(df: DataFrame, params: KeywordParams = KeywordParams(), *,
                      id_col: str = "doc_id", text_col: str = "text",
                      stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """Long keyword table: (id, result, score, ln_score, sentence, kw_rank)."""
-    s = keyword_scores(df, params, id_col=id_col, text_col=text_col, stop_words=stop_words)
-    return top_keywords(s, params.num_keywords, id_col).select(
-        id_col, "result", "score", "ln_score", "sentence", "kw_rank")
+    """Long keyword table (id, result, score, ln_score, sentence, kw_rank), the best
+    ``num_keywords`` of each row by (round(ln S, 9), result).
+
+    A document's score needs nothing of another document: sentences are split in the
+    JVM and each row is scored on its own in Arrow batches, with no shuffle or join.
+    """
+    stop = frozenset(stop_words)
+    texts = df.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col), _unbroken(F.col(text_col), params.context_chars).alias("sentences"))
+    schema = T.StructType([df.schema[id_col], *T.StructType.fromDDL(
+        "result string, score double, ln_score double, sentence int, kw_rank bigint").fields])
+
+    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, cols = [], ([], [], [], [], [])
+            for key, sentences in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                best = heapq.nsmallest(params.num_keywords, document_scores(sentences, params, stop),
+                                       key=lambda c: (round(c[1], RANK_DIGITS), c[0]))
+                ids += [key] * len(best)
+                for rank, (result, ln, first) in enumerate(best, 1):
+                    for col, value in zip(cols, (result, math.exp(ln), ln, first, rank)):
+                        col.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, batch.schema.field(0).type), *(pa.array(c, t) for c, t in zip(
+                    cols, (pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.int64())))], names=schema.names)
+
+    return texts.mapInArrow(score_rows, schema)
 
 
 def nest_keywords(df: DataFrame, keywords: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,9 +3,8 @@ phrase search with BM25 relevance (L2).
 
 Inputs: ``keywords(doc_id, result, score[, n])`` — one row per (document,
 keyword), already restricted by the pre-filter (X1) — and
-``query_ngrams(query_id, result)`` from L0. The query side is small and
-bounded (k keywords per query), so it is broadcast behind a row-count check;
-the keyword side streams without a shuffle.
+``query_ngrams(query_id, result)`` from L0. No join is forced: AQE broadcasts
+the query side from its measured bytes and otherwise splits skewed n-grams.
 """
 
 from __future__ import annotations
@@ -15,10 +14,8 @@ from pyspark.sql import functions as F
 
 from archivesearch.config import SearchParams
 from archivesearch.operators.vector import top_k_per_query
-from archivesearch.session import bounded_broadcast
 
 BAD_SCORE = 1e7
-MAX_QUERY_NGRAMS = 5_000_000
 
 
 def prefilter_object_type(df: DataFrame, value: str = "Article", col: str = "object_type") -> DataFrame:
@@ -46,9 +43,8 @@ def tolerant_reciprocal(score: Column) -> Column:
 
 def match_ngrams(keywords: DataFrame, query_ngrams: DataFrame) -> DataFrame:
     """Keyword rows whose text is one of the query's n-grams
-    (an IN-list per query, i.e. an equi-join to the broadcast query side)."""
-    q = bounded_broadcast(query_ngrams.select("query_id", "result").distinct(), MAX_QUERY_NGRAMS)
-    return keywords.join(q, "result")
+    (an IN-list per query, i.e. an equi-join with the query side)."""
+    return keywords.join(query_ngrams.select("query_id", "result").distinct(), "result")
 
 
 def distinct_matches(matches: DataFrame) -> DataFrame:
@@ -103,13 +99,12 @@ def search_phrase_bm25(keywords: DataFrame, query_ngrams: DataFrame,
     n_docs = dl.select(F.count(F.lit(1)).cast("double")).scalar()
     avgdl = dl.select(F.avg("dl")).scalar()
     q = query_ngrams.select("query_id", F.col("result").alias("phrase")).distinct()
-    hits = sub_phrases(kw).join(bounded_broadcast(q, MAX_QUERY_NGRAMS), "phrase")
+    hits = sub_phrases(kw).join(q, "phrase")
     tf = hits.groupBy("query_id", "phrase", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-    # df rows <= query n-gram rows, which were bounded above: broadcast is safe
     dfq = tf.groupBy("query_id", "phrase").agg(F.count(F.lit(1)).alias("df"))
     idf = F.ln(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tfc = F.col("tf").cast("double")
-    part = (tf.join(F.broadcast(dfq), ["query_id", "phrase"]).join(dl, "doc_id")
+    part = (tf.join(dfq, ["query_id", "phrase"]).join(dl, "doc_id")
             .select("query_id", "doc_id",
                     (idf * tfc * (k1 + 1) / (tfc + k1 * (1 - b + b * F.col("dl") / avgdl))).alias("s")))
     scored = part.groupBy("query_id", "doc_id").agg(F.sum("s").alias("score"))

@@ -18,9 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from archivesearch.config import IngestParams
-from archivesearch.session import bounded_broadcast
-
-MAX_ARCHIVES = 1_000_000
 
 
 def hash_order(seed: int):
@@ -54,13 +51,20 @@ def stratified_sample(members: DataFrame, params: IngestParams = IngestParams(),
             .select("zip_file", "member", "h", "in_zip_rank"))
 
 
+def all_members(members: DataFrame, seed: int = IngestParams().seed) -> DataFrame:
+    """Every member with its place in the archive's hash order: B2's input without a sample."""
+    w = Window.partitionBy("zip_file").orderBy("h", "member")
+    return (members.select("zip_file", "member").withColumn("h", hash_order(seed))
+            .withColumn("in_zip_rank", (F.row_number().over(w) - 1).cast("bigint")))
+
+
 def assign_batches(sample: DataFrame, batchsize: int) -> DataFrame:
     """B2: ``rn`` dense 0-based over (zip_file, h); ``batch_no = rn // batchsize``."""
     counts = sample.groupBy("zip_file").agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("zip_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("zip_file", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
     rn = F.col("offset") + F.col("in_zip_rank")
-    return (sample.join(bounded_broadcast(offsets, MAX_ARCHIVES), "zip_file")
+    return (sample.join(offsets, "zip_file")
             .withColumn("rn", rn.cast("bigint"))
             .withColumn("batch_no", F.floor(rn / F.lit(batchsize)).cast("bigint"))
             .drop("offset"))

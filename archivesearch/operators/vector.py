@@ -21,8 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivesearch.session import bounded_broadcast
-
 RANK_DIGITS = 9
 EMIT_DIGITS = 6
 
@@ -61,8 +59,9 @@ def _block_topk(k: int, sub: int = 512):
             kk = min(k, D.shape[0])
             kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
             # every document within float noise of the k-th distance is a candidate,
-            # so ties (e.g. copies) are resolved exactly by (rounded distance, id)
-            slack = 1e-9 * (1.0 + kth)
+            # so ties (e.g. copies) are resolved exactly by (rounded distance, id); the
+            # expanded square loses digits in proportion to the squared norms
+            slack = 1e-8 * (1.0 + np.sqrt(kth)) + 1e-12 * (qn + dn.max())
             for qi in range(len(Qs)):
                 cand = np.nonzero(approx[qi] <= kth[qi] + slack[qi])[0]
                 diff = D[cand] - Qs[qi]
@@ -98,7 +97,6 @@ def knn_exact(docs: DataFrame, queries: DataFrame, k: int = 5, *,
     queries: (query_id, embedding). Returns (query_id, doc_id, distance, rank)
     with rank 1..k.
     """
-    spark = docs.sparkSession
     n_docs = docs.count()
     n_queries = queries.count()
     blocks = max(1, math.ceil(n_docs / block_rows))
@@ -113,7 +111,6 @@ def knn_exact(docs: DataFrame, queries: DataFrame, k: int = 5, *,
     local = (d.groupBy("blk", "chunk")
              .cogroup(q.groupBy("blk", "chunk"))
              .applyInPandas(_block_topk(k), schema))
-    _ = spark
     return top_k_per_query(local, k, "distance", descending=False)
 
 
@@ -198,8 +195,7 @@ def vector_index_build(docs: DataFrame, *, dim: int, centroids: DataFrame | None
 
 
 def knn_ivf(index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
-            candidates: int = 100, *, max_cells: int = 65_536,
-            max_probe_rows: int = 1_000_000) -> DataFrame:
+            candidates: int = 100, *, max_cells: int = 65_536) -> DataFrame:
     """Approximate k-NN over the inverted file.
 
     Per query, cells are ordered by centroid distance (rounded, then cell id)
@@ -213,7 +209,7 @@ def knn_ivf(index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int =
     sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     qc = (queries.select("query_id", F.posexplode(cell_dist(F.col("embedding"))).alias("cell", "cdist"))
           .withColumn("cell", F.col("cell").cast("bigint"))
-          .join(bounded_broadcast(sizes, max_cells), "cell"))
+          .join(sizes, "cell"))
     w = (Window.partitionBy("query_id").orderBy(F.round("cdist", RANK_DIGITS), F.col("cell"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     probes = (qc.withColumn("cum", F.sum("n").over(w))
@@ -222,6 +218,6 @@ def knn_ivf(index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int =
     qv = queries.select("query_id", F.col("embedding").alias("qvec"))
     probes = probes.join(qv, "query_id")
     pairs = (index.select("doc_id", "embedding", "cell")
-             .join(bounded_broadcast(probes, max_probe_rows), "cell")
+             .join(probes, "cell")
              .select("query_id", "doc_id", euclidean(F.col("qvec"), F.col("embedding")).alias("distance")))
     return top_k_per_query(pairs, k, "distance", descending=False)

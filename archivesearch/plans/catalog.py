@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from archivesearch.config import SearchParams
 from archivesearch.operators import vector
-from archivesearch.session import spread
 from archivesearch.sources import tables
 
 P = SearchParams()
@@ -69,7 +68,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ text
 
-from archivesearch.config import KeywordParams  # noqa: E402
+from archivesearch.config import EmbeddingParams, KeywordParams  # noqa: E402
 from archivesearch.functions import text as tx  # noqa: E402
 from archivesearch.operators import keywords as kw  # noqa: E402
 
@@ -77,7 +76,7 @@ KP = KeywordParams()
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(tables.documents(spark, sf_dir).select("doc_id", "text"))
+    return tables.documents(spark, sf_dir).select("doc_id", "text")
 
 
 @register("sentences")
@@ -155,23 +154,25 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
 
 
-def _title_regex_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document cleaned (P2) with a match regex made from its own title
-    words (P1 + P3): exercises highlighting on every document."""
-    d = _docs(spark, sf_dir)
-    return d.select("doc_id", tx.clean_text(F.col("text")).alias("ctext"),
-                    tx.query_regex(tx.clean_query(F.substring("text", 1, 40))).alias("re"))
+def _query_regex_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cleaned (P2), with the match regex (P1 + P3) of one of the query texts:
+    the one whose id is the document's modulo the number of queries."""
+    q = tables.query_texts(spark, sf_dir)
+    n = q.select(F.count(F.lit(1))).scalar()
+    d = _docs(spark, sf_dir).withColumn("query_id", F.pmod(F.col("doc_id"), n))
+    regex = q.select("query_id", tx.query_regex(tx.clean_query(F.col("text"))).alias("re"))
+    return d.join(regex, "query_id").select("doc_id", tx.clean_text(F.col("text")).alias("ctext"), "re")
 
 
 @register("highlight")
 def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _title_regex_docs(spark, sf_dir)
+    d = _query_regex_docs(spark, sf_dir)
     return d.select("doc_id", "re", tx.highlight(F.col("ctext"), F.col("re")).alias("highlighted"))
 
 
 @register("snippet")
 def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _title_regex_docs(spark, sf_dir)
+    d = _query_regex_docs(spark, sf_dir)
     return d.select("doc_id", "re", tx.snippet(F.col("ctext"), F.col("re")).alias("snippet"))
 
 
@@ -186,8 +187,12 @@ WV_DIM = 16
 
 def _kw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword table of pre-filtered articles (what ingest persists)."""
-    docs = spread(tables.article_texts(spark, sf_dir))
-    return materialize(kw.extract_keywords(docs, KP))
+    return materialize(kw.extract_keywords(tables.article_texts(spark, sf_dir), KP))
+
+
+def _all_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword table of every document: annotation does not filter, searches do."""
+    return kw.extract_keywords(_docs(spark, sf_dir), KP)
 
 
 def _query_ngrams(spark: SparkSession, sf_dir: str, cleaned: bool = False) -> DataFrame:
@@ -210,7 +215,7 @@ def _word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(tables.article_texts(spark, sf_dir))
+    docs = tables.article_texts(spark, sf_dir)
     v = emb.embed_from_table(docs, _word_vectors(spark, sf_dir))
     return materialize(v.where(F.col("embedding").isNotNull()))
 
@@ -246,8 +251,7 @@ def filter_object_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("project_nested")
 def project_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(tables.article_texts(spark, sf_dir))
-    nested = kw.nest_keywords(docs.select("doc_id"), kw.extract_keywords(docs, KP))
+    nested = kw.nest_keywords(_docs(spark, sf_dir).select("doc_id"), _all_keywords(spark, sf_dir))
     p = lexical.project_nested(nested)
     return p.select("doc_id", F.array_join("results", "|").alias("results"),
                     F.size("scores").cast("bigint").alias("n_scores"))
@@ -255,8 +259,7 @@ def project_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("unnest_keywords")
 def unnest_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(tables.article_texts(spark, sf_dir))
-    nested = kw.nest_keywords(docs.select("doc_id"), kw.extract_keywords(docs, KP))
+    nested = kw.nest_keywords(_docs(spark, sf_dir).select("doc_id"), _all_keywords(spark, sf_dir))
     u = lexical.unnest_keywords(nested)
     return u.select("doc_id", "result", _r6(F.ln("score")).alias("ln_score"))
 
@@ -282,7 +285,7 @@ def matched_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("reciprocal_score")
 def reciprocal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _kw_store(spark, sf_dir)
+    s = _all_keywords(spark, sf_dir)
     return s.select("doc_id", "result",
                     _r6(F.ln(lexical.tolerant_reciprocal(F.col("score")))).alias("ln_recip"))
 
@@ -303,7 +306,7 @@ def topk_per_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("topk_global")
 def topk_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best (lowest-score) keywords of the whole store: one ordered top-k."""
-    s = _kw_store(spark, sf_dir)
+    s = _all_keywords(spark, sf_dir)
     return (s.orderBy(F.round("ln_score", 9).asc(), F.col("doc_id").asc(), F.col("result").asc())
             .limit(P.k).select("doc_id", "result", _r6(F.col("ln_score")).alias("ln_score")))
 
@@ -323,7 +326,7 @@ def embed_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("embed_trained")
 def embed_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = emb.embed_trained(_docs(spark, sf_dir), vector_size=WV_DIM)
+    v, _ = emb.embed_trained(_docs(spark, sf_dir), EmbeddingParams(vector_size=WV_DIM))
     return v.select("doc_id", F.size("embedding").cast("bigint").alias("dims"))
 
 
@@ -416,7 +419,7 @@ def query_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("annotate_articles")
 def annotate_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = spread(tables.articles(spark, sf_dir).select("doc_id", "full_text"))
+    a = tables.articles(spark, sf_dir, prefilter=False).select("doc_id", "full_text")
     out = ann.annotate(a, _word_vectors(spark, sf_dir), KP)
     return out.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
                       F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))
@@ -432,10 +435,10 @@ from archivesearch.sources import sinks  # noqa: E402
 from archivesearch.sources import xml as xmlsrc  # noqa: E402
 from archivesearch.streaming import ingest as stream_ingest  # noqa: E402
 
-# sampling is the feature here: a sample smaller than the archive set and
-# batches smaller than the sample, so quotas and batch edges are exercised
-SAMPLE = IngestParams(batchsize=100, samplesize=500)
-ALL = IngestParams(batchsize=100)
+# sampling is the feature of one query: a sample smaller than the archive set, so
+# that quotas take effect; all other queries take every member
+SAMPLE = IngestParams(samplesize=500)
+BATCH = 100
 
 
 def _records(spark: SparkSession, sf_dir: str, truncate_mod: int = 0, repeat_mod: int = 0,
@@ -449,7 +452,7 @@ def _records(spark: SparkSession, sf_dir: str, truncate_mod: int = 0, repeat_mod
     pub = F.col("source")
     if publisher_en_only:
         pub = F.when(F.col("lang") == tables.ARTICLE_LANG, pub)
-    xml = xmlsrc.to_record_xml(F.col("doc_id"), F.substring("text", 1, 40), pub,
+    xml = xmlsrc.to_record_xml(F.col("doc_id"), F.substring("text", 1, tables.TITLE_CHARS), pub,
                                F.lit(tables.PUB_DATE), ot, F.col("text"))
     if truncate_mod:
         xml = F.when(F.col("doc_id") % truncate_mod == 0,
@@ -467,15 +470,14 @@ def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc.list_members(_archives(spark, sf_dir))
 
 
-def _batched(spark: SparkSession, sf_dir: str, params: IngestParams) -> DataFrame:
-    s = sampling.stratified_sample(_members(spark, sf_dir), params)
-    return sampling.assign_batches(s, params.batchsize)
+def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member in batches."""
+    return sampling.assign_batches(sampling.all_members(_members(spark, sf_dir)), BATCH)
 
 
-def _parsed_batches(spark: SparkSession, sf_dir: str, params: IngestParams, **kw_) -> DataFrame:
+def _parsed_batches(spark: SparkSession, sf_dir: str, **kw_) -> DataFrame:
     archives = materialize(_archives(spark, sf_dir, **kw_))
-    members = arc.list_members(archives)
-    s = sampling.assign_batches(sampling.stratified_sample(members, params), params.batchsize)
+    s = sampling.assign_batches(sampling.all_members(arc.list_members(archives)), BATCH)
     ex = arc.extract_members(archives, s.select("zip_file", "member"))
     ex = ex.join(s.select("zip_file", "member", "batch_no"), ["zip_file", "member"])
     return xmlsrc.parse_records(ex)
@@ -494,19 +496,18 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_assign")
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batched(spark, sf_dir, SAMPLE).select("zip_file", "member", "rn", "batch_no")
+    return _batched(spark, sf_dir).select("zip_file", "member", "rn", "batch_no")
 
 
 @register("first_batch")
 def first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.first_batch(_batched(spark, sf_dir, SAMPLE)).select("zip_file", "member")
+    return sampling.first_batch(_batched(spark, sf_dir)).select("zip_file", "member")
 
 
 @register("archive_extract")
 def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = _archives(spark, sf_dir)
-    s = sampling.stratified_sample(arc.list_members(archives), SAMPLE)
-    ex = arc.extract_members(archives, s.select("zip_file", "member"))
+    ex = arc.extract_members(archives, arc.list_members(archives))
     return ex.select("zip_file", "member",
                      F.regexp_extract("xml", r"<RecordID>(\d+)</RecordID>", 1).cast("bigint").alias("doc_id"))
 
@@ -537,7 +538,7 @@ def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("cache_roundtrip")
 def cache_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir, ALL))
+    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir))
     back = sinks.cache_batch(good.select("doc_id", "zip_file", "member", "full_text", "batch_no"),
                              scratch_path(spark, "cache"))
     return back.select("doc_id", F.col("batch_no").cast("bigint").alias("batch_no"))
@@ -545,7 +546,7 @@ def cache_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("append_idempotent")
 def append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir, ALL))
+    good, _ = xmlsrc.split_rejects(_parsed_batches(spark, sf_dir))
     good = materialize(good.select("doc_id", "zip_file", "member", "publisher", "batch_no"))
     path = scratch_path(spark, "collection")
     sinks.append_batch(good, path)
@@ -557,7 +558,7 @@ def append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_status")
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = sinks.batch_status(_parsed_batches(spark, sf_dir, ALL, truncate_mod=10))
+    st = sinks.batch_status(_parsed_batches(spark, sf_dir, truncate_mod=10))
     return st.select("batch_no", "stage", "n_rows", "n_rejects")
 
 
@@ -567,7 +568,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     _archives(spark, sf_dir).write.parquet(landing)
     out = scratch_path(spark, "ingested")
     stream_ingest.run_ingest(spark, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet",
-                             files_per_trigger=2)
+                             files_per_trigger=2, word_vectors=_word_vectors(spark, sf_dir))
     arts = sinks.read_collection(spark, out + "/articles")
-    return arts.select("doc_id", F.col("batch_no").cast("bigint").alias("batch_no"),
-                       F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"))
+    return arts.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
+                       F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))

@@ -222,8 +222,8 @@ SELECT doc_id, {_clean_text('text')} AS cleaned FROM documents
 """
 
 _TITLE_RE = f"""
-SELECT doc_id, {_clean_text('text')} AS ctext,
-       replace({_clean_query('substring(text, 1, 40)')}, ' ', '|') AS re FROM documents
+SELECT doc_id, {_clean_text('d.text')} AS ctext, replace({_clean_query('q.text')}, ' ', '|') AS re
+FROM documents d JOIN benchmark q ON q.item_id = d.doc_id % (SELECT count(*) FROM benchmark)
 """
 
 
@@ -260,20 +260,22 @@ SELECT doc_id, substring(text, 1, 40) AS record_title FROM documents WHERE lang
 """
 
 _KS = yake_ctes(_ARTICLE_TEXTS, "k_")
+_ALL_TEXTS = "SELECT doc_id AS id, text FROM documents"
+_KA = yake_ctes(_ALL_TEXTS, "k_")  # of every document
 _QS = yake_ctes(_QUERIES, "q_")
 _QC = yake_ctes(_CLEAN_QUERIES, "c_")
 
 ORACLE["project_nested"] = f"""
-WITH {_KS}
+WITH {_KA}
 SELECT d.doc_id, string_agg(t.result, '|' ORDER BY t.kw_rank) AS results, CAST(count(t.result) AS BIGINT) AS n_scores
-FROM documents d LEFT JOIN k_top t ON t.id = d.doc_id WHERE d.lang = 'en' GROUP BY d.doc_id
+FROM documents d LEFT JOIN k_top t ON t.id = d.doc_id GROUP BY d.doc_id
 """
 ORACLE["project_nested"] = ORACLE["project_nested"].replace(
     "CAST(count(t.result) AS BIGINT) AS n_scores",
     "CASE WHEN count(t.result) = 0 THEN NULL ELSE CAST(count(t.result) AS BIGINT) END AS n_scores")
 
 ORACLE["unnest_keywords"] = f"""
-WITH {_KS}
+WITH {_KA}
 SELECT id AS doc_id, result, round(ln_score, 6) AS ln_score FROM k_top
 """
 
@@ -298,7 +300,7 @@ FROM k_top k JOIN qn ON qn.result = k.result GROUP BY qn.query_id, k.id
 """
 
 ORACLE["reciprocal_score"] = f"""
-WITH {_KS}
+WITH {_KA}
 SELECT id AS doc_id, result,
        round(ln(1.0 / coalesce(nullif(TRY_CAST(CAST(exp(ln_score) AS VARCHAR) AS DOUBLE), 0.0), 1e7)), 6) AS ln_recip
 FROM k_top
@@ -327,7 +329,7 @@ SELECT query_id, doc_id, CAST(rk AS BIGINT) AS rank FROM l1
 """
 
 ORACLE["topk_global"] = f"""
-WITH {_KS}
+WITH {_KA}
 SELECT id AS doc_id, result, round(ln_score, 6) AS ln_score FROM k_top
 ORDER BY round(ln_score, 9), id, result LIMIT 5
 """
@@ -496,11 +498,11 @@ FROM q LEFT JOIN h ON h.query_id = q.query_id
 """
 
 ORACLE["annotate_articles"] = f"""
-WITH {_KS}, {_WV}, {_embed_sql('de', _ARTICLE_TEXTS)},
+WITH {_KA}, {_WV}, {_embed_sql('de', _ALL_TEXTS)},
 nk AS (SELECT id, count(*) AS n FROM k_top GROUP BY id),
 nd AS (SELECT id, count(*) AS n FROM de GROUP BY id)
 SELECT d.doc_id, CAST(coalesce(nk.n, 0) AS BIGINT) AS n_keywords, CAST(coalesce(nd.n, 0) AS BIGINT) AS dims
-FROM documents d LEFT JOIN nk ON nk.id = d.doc_id LEFT JOIN nd ON nd.id = d.doc_id WHERE d.lang = 'en'
+FROM documents d LEFT JOIN nk ON nk.id = d.doc_id LEFT JOIN nd ON nd.id = d.doc_id
 """
 
 
@@ -514,12 +516,12 @@ mem AS (SELECT d.doc_id, d.source || '-' || CAST(d.doc_id % mc.np AS VARCHAR) ||
 """
 
 
-def _sample_sql(samplesize: int, batchsize: int) -> str:
+def _sample_sql(samplesize: int | None, batchsize: int) -> str:
     return f"""{_MEMBERS},
 na AS (SELECT count(DISTINCT zip_file) AS na FROM mem),
 hm AS (SELECT doc_id, zip_file, member, md5(concat_ws('|', '42', zip_file, member)) AS h FROM mem),
 rk AS (SELECT *, row_number() OVER (PARTITION BY zip_file ORDER BY h, member) - 1 AS in_zip_rank FROM hm),
-smp AS (SELECT rk.* FROM rk, na WHERE in_zip_rank < floor({samplesize} / na.na)),
+smp AS (SELECT rk.* FROM rk, na WHERE {f"in_zip_rank < floor({samplesize} / na.na)" if samplesize else "true"}),
 zc AS (SELECT zip_file, count(*) AS n FROM smp GROUP BY zip_file),
 zo AS (SELECT zip_file, coalesce(sum(n) OVER (ORDER BY zip_file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM zc),
 bat AS (SELECT smp.*, CAST(zo.off + smp.in_zip_rank AS BIGINT) AS rn,
@@ -534,11 +536,11 @@ WITH {_sample_sql(500, 100)}
 SELECT zip_file, member, CAST(in_zip_rank AS BIGINT) AS in_zip_rank FROM smp
 """
 
-ORACLE["batch_assign"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member, rn, batch_no FROM bat"
+ORACLE["batch_assign"] = f"WITH {_sample_sql(None, 100)} SELECT zip_file, member, rn, batch_no FROM bat"
 
-ORACLE["first_batch"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member FROM bat WHERE batch_no = 0"
+ORACLE["first_batch"] = f"WITH {_sample_sql(None, 100)} SELECT zip_file, member FROM bat WHERE batch_no = 0"
 
-ORACLE["archive_extract"] = f"WITH {_sample_sql(500, 100)} SELECT zip_file, member, doc_id FROM smp"
+ORACLE["archive_extract"] = f"WITH {_MEMBERS} SELECT zip_file, member, doc_id FROM mem"
 
 ORACLE["xml_records"] = f"""
 WITH {_MEMBERS}
@@ -558,14 +560,18 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS publisher,
 FROM documents
 """
 
-ORACLE["cache_roundtrip"] = f"WITH {_sample_sql(50000, 100)} SELECT doc_id, batch_no FROM bat"
+ORACLE["cache_roundtrip"] = f"WITH {_sample_sql(None, 100)} SELECT doc_id, batch_no FROM bat"
 
 ORACLE["append_idempotent"] = f"""
-WITH {_sample_sql(50000, 100)} SELECT batch_no, count(*) AS n_rows FROM bat GROUP BY batch_no
+WITH {_sample_sql(None, 100)} SELECT batch_no, count(*) AS n_rows FROM bat GROUP BY batch_no
 """
 
 ORACLE["batch_status"] = f"""
-WITH {_sample_sql(50000, 100)}
+WITH {_sample_sql(None, 100)}
 SELECT batch_no, 'PROCESSED' AS stage, count(*) AS n_rows, count(*) FILTER (WHERE doc_id % 10 = 0) AS n_rejects
 FROM bat GROUP BY batch_no
 """
+
+ORACLE["incremental_ingest"] = ORACLE["annotate_articles"]
+
+ORACLE["embed_trained"] = "SELECT doc_id, CAST(16 AS BIGINT) AS dims FROM documents"

@@ -1,14 +1,14 @@
-"""Session helpers: local sessions for tests/bench, shared checkpoint folder,
-and size-checked broadcasting."""
+"""Session helpers: local sessions for tests/bench, the shared checkpoint folder,
+shipping this package to executors."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -36,9 +36,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when unset (tests) create one under /tmp."""
+    ``spark.checkpoint.dir``; only a local session without one (tests, bench)
+    gets a folder of its own, elsewhere the missing setting is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="archivesearch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,33 +55,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unchanged, so the join falls back
-    to a shuffle join (and AQE may still pick broadcast from runtime sizes).
-    The probe reads at most ``max_rows + 1`` rows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give text-heavy work at least the cluster's parallelism.
-
-    A scan of one large file yields a single task; then (and only then) a
-    round-robin repartition spreads the rows. A many-file scan already has
-    more partitions than cores and is returned untouched (no extra shuffle).
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it
     back (reliable checkpoint; survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so that
+    functions that run in Python workers import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="archivesearch-pkg-"), "archivesearch.zip")
+    with zipfile.ZipFile(target, "w") as zf:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.join("archivesearch", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARTICLE_LANG = "en"  # stands in for ObjectType = "Article"
+TITLE_CHARS = 40  # documents have no title; their first characters stand in for one
 PUB_DATE = "1970-01-01"  # AlphaPubDate is shown, never parsed
 
 
@@ -26,7 +27,10 @@ def article_filter() -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """A table of several files is read as it is; a fixture of one file, which one task would
+    read, is dealt out."""
+    df = table(spark, sf_dir, "documents")
+    return df.repartition(spark.sparkContext.defaultParallelism) if len(df.inputFiles()) == 1 else df
 
 
 def articles(spark: SparkSession, sf_dir: str, prefilter: bool = True) -> DataFrame:
@@ -37,7 +41,7 @@ def articles(spark: SparkSession, sf_dir: str, prefilter: bool = True) -> DataFr
         df = df.where(article_filter())
     return df.select(
         "doc_id",
-        F.substring("text", 1, 40).alias("record_title"),
+        F.substring("text", 1, TITLE_CHARS).alias("record_title"),
         F.col("source").alias("publisher"),
         F.lit(PUB_DATE).alias("alpha_pub_date"),
         F.array(F.when(F.col("lang") == ARTICLE_LANG, F.lit("Article"))

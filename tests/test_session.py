@@ -1,31 +1,32 @@
-"""Scale helpers: size-checked broadcast and single-file spreading."""
+"""Session helpers: the shared folder and shipping the package."""
 
 from __future__ import annotations
 
-from archivesearch.session import bounded_broadcast, spread
+import os
+import subprocess
+import sys
 
+from archivesearch import session
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_bounded_broadcast_only_within_bound(spark):
-    big = spark.range(0, 100_000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        within = big.join(bounded_broadcast(small, 10), "k")
-        beyond = big.join(bounded_broadcast(small, 9), "k")
-        assert "BroadcastHashJoin" in _plan(within)
-        assert "BroadcastHashJoin" not in _plan(beyond)
-        assert within.count() == beyond.count() == 10
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_checkpoint_folder_is_read_from_the_session(spark):
+    path = spark.conf.get("spark.checkpoint.dir")
+    assert session.ensure_checkpoint_dir(spark) == path
+    assert session.scratch_path(spark, "x").startswith(path)
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    want = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, numPartitions=1)
-    many = spark.range(0, 1000, numPartitions=want * 2)
-    assert spread(one).rdd.getNumPartitions() == want
-    assert spread(many) is many
+def test_executors_import_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere, without PYTHONPATH, runs a query with Python workers."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from archivesearch.session import local_session
+import __spark_entry__ as e
+spark = local_session(2, 2)
+print("ROWS", e.queries()["knn_exact"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
