@@ -147,7 +147,8 @@ def at_first(key: np.ndarray, ids: np.ndarray, rest: np.ndarray) -> np.ndarray:
 ROWS = "k1 bigint, k2 bigint, id bigint, tag int, place int, more int, kind int"
 SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("id", pa.int64()), ("tag", pa.int32()),
                     ("place", pa.int32()), ("more", pa.int32()), ("kind", pa.int32())])
-FIRST, REPEATED, MARK, CHECK = range(4)  # kinds of rows
+# kinds of rows; suffixes of phrases to check meet by trigger, or one by one where a trigger is crowded
+FIRST, REPEATED, MARK, CHECK, CHECK_EACH = range(5)
 
 
 def _rows(k1, k2, ids, tag, place, more, kind) -> pa.RecordBatch:
@@ -167,7 +168,7 @@ def phrase_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.where(first_of(both, ids, rest), FIRST, REPEATED).astype(np.int32)
         alone = np.flatnonzero(kind == FIRST)
         heads, at, n = np.unique(trigger[alone], return_inverse=True, return_counts=True)
-        kind[alone[(n > MANY)[at]]] = CHECK
+        kind[alone[(n > MANY)[at]]] = CHECK_EACH
         spread = mix(rest.view(U) + ids.view(U) * ODD)  # rows that need not meet others
         k1 = np.where(kind == FIRST, trigger, spread)
         yield _rows(k1, content, ids, tag, place, more, kind)
@@ -206,31 +207,65 @@ def settle_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if len(rows):
             content = np.cumsum(np.append(True, (k1[rows][1:] != k1[rows][:-1]) | (k2[rows][1:] != k2[rows][:-1])))
             fresh[rows] = at_first(content, r["id"][rows], rest[rows])
-        contents = np.bincount(run, weights=fresh) + 2 * np.bincount(run, weights=r["kind"] == MARK)
+        contents, crowded = np.bincount(run, weights=fresh), np.bincount(run, weights=r["kind"] == MARK) > 0
         kind = np.full(len(k1), -1, np.int32)
         kind[plain & ~fresh] = REPEATED
         kind[fresh & (contents[run] > 1)] = CHECK
-        kind = np.where((r["kind"] == REPEATED) | (r["kind"] == CHECK), r["kind"], kind)
+        kind[fresh & crowded[run]] = CHECK_EACH
+        kind = np.where((r["kind"] == REPEATED) | (r["kind"] == CHECK_EACH), r["kind"], kind)
         out = kind >= 0
         return _rows(*(r[c][out] for c in names[:-1]), kind[out])
 
     yield from _by_run(batches, names, settle)
 
 
+STRINGS = "k1 bigint, id bigint, tag int, place int, more int, kind int, body binary"
+_STRINGS = pa.schema([("k1", pa.int64()), ("id", pa.int64()), ("tag", pa.int32()), ("place", pa.int32()),
+                      ("more", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
+
+
+def joined_runs(ids: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Heads of runs of consecutive places in one document, and how many places follow each."""
+    head = np.append(True, (rest[1:] != rest[:-1] + 1) | (ids[1:] != ids[:-1]))
+    at = np.flatnonzero(head)
+    return at, np.diff(np.append(at, len(ids))) - 1
+
+
 def settle_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [*SCHEMA.names]
+    """Rows sorted by (k1, id, tag, place) in; repeated strings out, as ``(id, tag, place, more)``."""
+    names = [*_STRINGS.names]
 
     def settle(r: dict[str, np.ndarray]) -> pa.RecordBatch:
-        out = r["kind"] == REPEATED
-        rows = np.flatnonzero(~out)
+        rest = r["tag"].astype(np.int64) << 32 | r["place"]
+        found = [(r["id"], rest, r["more"], np.flatnonzero(r["kind"] == REPEATED))]
+        each = np.flatnonzero(r["kind"] == FIRST)
+        if len(each):
+            late = each[~at_first(r["k1"][each], r["id"][each], rest[each])]
+            found.append((r["id"], rest, np.zeros(len(rest), np.int64), late))
+        rows = np.flatnonzero(r["kind"] == CHECK)  # phrases: order the suffixes of their bytes
         if len(rows):
-            rest = r["tag"].astype(np.int64) << 32 | r["place"]
-            out[rows] = ~at_first(r["k1"][rows], r["id"][rows], rest[rows])
-        return _rows(*(r[c][out] for c in names))
+            more = r["more"][rows].astype(np.int64)
+            raw = np.frombuffer(b"".join(r["body"][rows]), np.uint8)
+            start = np.cumsum(more + LENGTH) - (more + LENGTH)
+            step = np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1)
+            of = np.repeat(np.arange(len(rows)), more + 1)
+            string = doubled(raw)[1][start[of] + step]
+            ids, places = r["id"][rows][of], rest[rows][of] + step
+            late = np.flatnonzero(~first_of(string, ids, places))
+            if len(late):
+                at, follow = joined_runs(ids[late], places[late])
+                found.append((ids[late][at], places[late][at], follow, np.arange(len(at))))
+        ids, rest, more = (np.concatenate([f[k][f[3]] for f in found]) for k in range(3))
+        cols = (ids, rest >> 32, rest & 0xFFFFFFFF, more)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _FOUND.types)], schema=_FOUND)
 
     yield from _by_run(batches, names, settle)
 
 
+FOUND = "id bigint, tag int, place int, more int"
+_FOUND = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("place", pa.int32()), ("more", pa.int32())])
+
+
 def _by_run(batches, names, settle) -> Iterator[pa.RecordBatch]:
     """Apply ``settle`` to whole runs of equal ``k1`` (a few rows of each task at most)."""
     kept = None
@@ -249,21 +284,25 @@ def _by_run(batches, names, settle) -> Iterator[pa.RecordBatch]:
 
 
 def string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Strings of the phrases to check of ``(id, tag, body, places, more)``, those equal within the task merged."""
+    """Of ``(id, tag, body, check, each)``: the bytes of the phrases to check by their trigger, and the
+    single strings of crowded triggers, those equal within the task merged."""
     held: list[tuple[np.ndarray, ...]] = []
 
+    def rows(*cols) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _STRINGS.types)], schema=_STRINGS)
+
     def flush() -> Iterator[pa.RecordBatch]:
-        h, ids, tag, place = (np.concatenate(c) for c in zip(*held))
+        h, ids, rest = (np.concatenate(c) for c in zip(*held))
         held.clear()
-        rest = tag.astype(np.int64) << 32 | place
-        kind = np.where(first_of(h, ids, rest), FIRST, REPEATED).astype(np.int32)
-        zero = np.zeros(len(h), np.int64)
-        # rows come by document and place: repeated strings in a row are one row
-        joins = (kind[1:] == REPEATED) & (kind[:-1] == REPEATED) & (rest[1:] == rest[:-1] + 1) & (ids[1:] == ids[:-1])
-        head = np.append(True, ~joins)
-        more = np.diff(np.append(np.flatnonzero(head), len(h))) - 1
-        k1 = np.where(kind == FIRST, h, mix(rest.view(U) + ids.view(U) * ODD))
-        yield _rows(k1[head], zero[head], ids[head], tag[head], place[head], more, kind[head])
+        fresh = first_of(h, ids, rest)
+        for kind, own in ((FIRST, np.flatnonzero(fresh)), (REPEATED, np.flatnonzero(~fresh))):
+            more = np.zeros(len(own), np.int64)
+            if kind == REPEATED and len(own):  # rows come by document and place: runs are one row
+                at, more = joined_runs(ids[own], rest[own])
+                own = own[at]
+            k1 = h[own] if kind == FIRST else mix(rest[own].view(U) + ids[own].view(U) * ODD)
+            yield rows(k1.view(np.int64), ids[own], rest[own] >> 32, rest[own] & 0xFFFFFFFF, more, np.full(len(own), kind),
+                       [None] * len(own))
 
     count = 0
     for batch in batches:
@@ -271,13 +310,19 @@ def string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 256)
             ids, tags = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             bodies = [t.encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()]
-            document, place = [], []
-            for d, found in enumerate(part.column(3).to_pylist()):
-                own = np.unique(np.concatenate([np.arange(f["place"], f["place"] + f["more"] + 1) for f in found]))
-                document.append(np.full(len(own), d))
-                place.append(own)
+            out: list[tuple] = []
+            document, place = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for d, (body, check, each) in enumerate(zip(bodies, part.column(3).to_pylist(), part.column(4).to_pylist())):
+                out += [(f["k1"], ids[d], tags[d], f["place"], f["more"], CHECK, body[f["place"]:f["place"] + f["more"] + LENGTH])
+                        for f in check]
+                if each:
+                    own = np.unique(np.concatenate([np.arange(f["place"], f["place"] + f["more"] + 1) for f in each]))
+                    document.append(np.full(len(own), d))
+                    place.append(own)
+            if out:
+                yield rows(*zip(*out))
             for h, d, p in strings(bodies, np.concatenate(document), np.concatenate(place)):
-                held.append((h, ids[d], tags[d], p))
+                held.append((h, ids[d], tags[d].astype(np.int64) << 32 | p))
                 count += len(h)
             if count > FLUSH:
                 yield from flush()
@@ -330,14 +375,17 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("id"), tag.alias("tag"), body.alias("body"))
 
     phrases = rows.mapInArrow(phrase_rows, ROWS).repartition(n, "k1").sortWithinPartitions("k1", "k2", "id", "tag", "place")
-    found = stage(phrases.mapInArrow(settle_phrases, ROWS).select("id", "tag", "place", "more", "kind"), "phrases")
-    of_doc = found.groupBy("id", "tag").agg(*(
-        F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "more"))).alias(name)
-        for kind, name in ((REPEATED, "repeated"), (CHECK, "check"))))
-    concerned = stage(rows.join(of_doc, ["id", "tag"]).select("id", "tag", "body", "check", "repeated"), "concerned")
-
-    suffixes = concerned.where("size(check) > 0").select("id", "tag", "body", "check").mapInArrow(string_rows, ROWS)
-    again = suffixes.repartition(n, "k1").sortWithinPartitions("k1", "id", "tag", "place").mapInArrow(settle_strings, ROWS)
+    found = stage(phrases.mapInArrow(settle_phrases, ROWS).select(
+        "id", "tag", "place", "more", "kind", F.when(F.col("kind") == CHECK, F.col("k1")).alias("k1")), "phrases")
+    of_doc = found.groupBy("id", "tag").agg(
+        F.collect_list(F.when(F.col("kind") == REPEATED, F.struct("place", "more"))).alias("repeated"),
+        F.collect_list(F.when(F.col("kind") == CHECK, F.struct("place", "more", "k1"))).alias("check"),
+        F.collect_list(F.when(F.col("kind") == CHECK_EACH, F.struct("place", "more"))).alias("each"))
+    concerned = stage(rows.join(of_doc, ["id", "tag"]).select("id", "tag", "body", "check", "each", "repeated"), "concerned")
+
+    suffixes = concerned.where("size(check) + size(each) > 0").select("id", "tag", "body", "check", "each").mapInArrow(
+        string_rows, STRINGS)
+    again = suffixes.repartition(n, "k1").sortWithinPartitions("k1", "id", "tag", "place").mapInArrow(settle_strings, FOUND)
     own = stage(again.groupBy("id", "tag").agg(F.collect_list(F.struct("place", "more")).alias("own")), "own")
     merged = concerned.join(own, ["id", "tag"], "left").select(
         "id", "tag", "body", F.expr("concat(repeated, coalesce(own, cast(array() as array<struct<place:int,more:int>>)))").alias("all"))
