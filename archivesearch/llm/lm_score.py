@@ -36,33 +36,39 @@ from archivesearch.llm.common import text_or_empty
 from archivesearch.llm.hashing import U, hashed_words, mix, sequences
 
 BACKOFF = 0.4
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 RANGE_GRAMS = 1_500_000
 #: The n-gram of no words; its count is the number of words.
 HASH_BITS = 56  # n distinct n-grams have n * n / 2**57 colliding pairs on average
 EMPTY = mix(np.array([0x5EED], dtype=U))[0] >> U(64 - HASH_BITS)
 
 
+def squeeze(raw: bytes) -> bytes:
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
 def pack_sorted(h: np.ndarray) -> tuple[int, bytes]:
-    """Sorted distinct integers as differences of as few bytes as the largest needs."""
+    """Sorted distinct integers as differences, byte by byte, of as few bytes as the largest needs."""
     steps = np.diff(h, prepend=U(0))
     width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return width, steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return width, squeeze(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
 
 
-def unpack_sorted(width: int, raw: bytes) -> np.ndarray:
-    steps = np.zeros((len(raw) // width, 8), dtype=np.uint8)
-    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+def unpack_sorted(n: int, width: int, packed: bytes) -> np.ndarray:
+    raw = pa.decompress(packed, decompressed_size=n * width, codec="zstd", asbytes=True)
+    steps = np.zeros((n, 8), dtype=np.uint8)
+    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, n).T
     return np.cumsum(steps.view("<u8").ravel(), dtype=U)
 
 
 def pack_counts(n: np.ndarray) -> tuple[bytes, bytes]:
     """A byte each; counts of 255 and more follow in full."""
-    return np.minimum(n, 255).astype(np.uint8).tobytes(), n[n >= 255].astype("<u8").tobytes()
+    return squeeze(np.minimum(n, 255).astype(np.uint8).tobytes()), n[n >= 255].astype("<u8").tobytes()
 
 
-def unpack_counts(small: bytes, large: bytes) -> np.ndarray:
-    n = np.frombuffer(small, np.uint8).astype(np.int64)
+def unpack_counts(size: int, small: bytes, large: bytes) -> np.ndarray:
+    raw = pa.decompress(small, decompressed_size=size, codec="zstd", asbytes=True)
+    n = np.frombuffer(raw, np.uint8).astype(np.int64)
     n[n == 255] = np.frombuffer(large, "<u8").astype(np.int64)
     return n
 
@@ -81,8 +87,8 @@ def grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[np
     return counts, np.repeat(np.arange(len(texts)), counts), found
 
 
-SENT = "chunk bigint, hash_range bigint, width int, hashes binary, small binary, large binary"
-_SENT = pa.schema([("chunk", pa.int64()), ("hash_range", pa.int64()), ("width", pa.int32()), ("hashes", pa.binary()),
+SENT = "chunk bigint, hash_range bigint, n int, width int, hashes binary, small binary, large binary"
+_SENT = pa.schema([("chunk", pa.int64()), ("hash_range", pa.int64()), ("n", pa.int32()), ("width", pa.int32()), ("hashes", pa.binary()),
                    ("small", pa.binary()), ("large", pa.binary())])
 
 
@@ -101,7 +107,7 @@ def chunk_counter(order: int, range_bits: int):
         chunk = table.column("chunk")[0].as_py()
         base = np.arange(1 << range_bits, dtype=U) << U(HASH_BITS - range_bits)
         cuts = np.searchsorted(h, base[1:])
-        rows = [(chunk, r, *pack_sorted(x - base[r]), *pack_counts(c))
+        rows = [(chunk, r, len(x), *pack_sorted(x - base[r]), *pack_counts(c))
                 for r, (x, c) in enumerate(zip(np.split(h, cuts), np.split(n, cuts))) if len(x)]
         return _table(rows)
 
@@ -111,12 +117,12 @@ def chunk_counter(order: int, range_bits: int):
 def sum_range(table: pa.Table) -> pa.Table:
     """Totals of one hash range, in the order in which each chunk sent its n-grams."""
     rows = table.to_pylist()
-    sent = [unpack_sorted(r["width"], r["hashes"]) for r in rows]
-    counts = np.concatenate([unpack_counts(r["small"], r["large"]) for r in rows])
+    sent = [unpack_sorted(r["n"], r["width"], r["hashes"]) for r in rows]
+    counts = np.concatenate([unpack_counts(r["n"], r["small"], r["large"]) for r in rows])
     _, place = np.unique(np.concatenate(sent), return_inverse=True)
     totals = np.bincount(place, weights=counts).astype(np.int64)[place]
     own = np.split(totals, np.cumsum([len(s) for s in sent])[:-1])
-    return _table([(r["chunk"], r["hash_range"], 0, b"", *pack_counts(t)) for r, t in zip(rows, own)])
+    return _table([(r["chunk"], r["hash_range"], r["n"], 0, b"", *pack_counts(t)) for r, t in zip(rows, own)])
 
 
 RESULT = "id bigint, n_words bigint, n_backed_off bigint, log_score double"
@@ -128,10 +134,10 @@ def scorer(order: int):
         every = np.concatenate([*found, np.array([EMPTY])])
         uniq, place = np.unique(every, return_inverse=True)
         skip = int(len(uniq) > 0 and uniq[0] == 0)
-        rows = sorted(replies.select(["hash_range", "small", "large"]).to_pylist(), key=lambda r: r["hash_range"])
+        rows = sorted(replies.select(["hash_range", "n", "small", "large"]).to_pylist(), key=lambda r: r["hash_range"])
         totals = np.zeros(len(uniq), dtype=np.int64)
         if rows:
-            totals[skip:] = np.concatenate([unpack_counts(r["small"], r["large"]) for r in rows])
+            totals[skip:] = np.concatenate([unpack_counts(r["n"], r["small"], r["large"]) for r in rows])
         n, words = len(owner), int(totals[place[-1]])
         others = []  # per order: occurrences in other documents of the n-gram that starts at each word
         for k in range(order):

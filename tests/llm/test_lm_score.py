@@ -64,6 +64,6 @@ def test_packed_rows_round_trip():
     rng = np.random.default_rng(1)
     for top in (10, 2**20, 2**64 - 1):
         h = np.unique(rng.integers(0, top, 500, dtype=np.uint64, endpoint=True))
-        assert np.array_equal(unpack_sorted(*pack_sorted(h)), h)
+        assert np.array_equal(unpack_sorted(len(h), *pack_sorted(h)), h)
     n = rng.integers(1, 600, 100)
-    assert np.array_equal(unpack_counts(*pack_counts(n)), n)
+    assert np.array_equal(unpack_counts(100, *pack_counts(n)), n)
