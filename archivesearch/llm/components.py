@@ -24,14 +24,20 @@ def _stars(links: DataFrame, small: bool) -> DataFrame:
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node reachable."""
+    """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node reachable.
+
+    Rounds end when the links are stars: each larger node has one link, to a node that has none.
+    Links of an earlier result, ``(node, root)``, may stand for the links it was made of."""
     now = stage(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    mark = None
     for _ in range(rounds):
-        now = stage(_stars(_stars(now, small=False), small=True), "stars")
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == mark:
+        deeper = now.join(now.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        several = now.groupBy("a").count().where("count > 1").select("a")
+        if deeper.select("a").unionAll(several).isEmpty():
             break
-        mark = state
+        now = stage(_stars(_stars(now, small=False), small=True), "stars")
     roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
     return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def as_links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivesearch.llm.common import stage, text_or_empty
-from archivesearch.llm.components import components
+from archivesearch.llm.components import as_links, components
 from archivesearch.llm.hashing import ODD, U, mix, shingle_sets
 
 SKETCH_BITS = 21
@@ -256,8 +256,8 @@ def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield links.filter(pa.array(ok, pa.bool_()))
 
 
-def set_links(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``(a, b)``: verified links between names of different sets, enough to connect each component.
+def set_components(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``(node, root)``: the component of each name of a set that links with another set.
 
     ``docs``: ``(id, body)``; ``sets``: ``(name, n, id)``, one document id of each set."""
     spark = docs.sparkSession
@@ -305,18 +305,19 @@ def set_links(docs: DataFrame, sets: DataFrame, counts: np.ndarray, k: int, perc
         return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
             lambda it: verified(it, percent), "a bigint, b bigint"), f"links-{purpose}")
 
-    links = compare(tried, "first")
-    drawn = open_buckets(shared, links)  # each member with one of another component, drawn by hash
+    first = components(compare(tried, "first"))
+    drawn = open_buckets(shared, first)  # each member with one of another component, drawn by hash
     other = drawn.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("name", F.lit(1)).alias("h"), "name", "root")).alias("p"))
     apart = drawn.join(other, "bucket").where("root != p.root").select(
         F.least("name", "p.name").alias("a"), F.greatest("name", "p.name").alias("b")).distinct()
-    links = links.unionAll(compare(fitting(apart.join(tried, ["a", "b"], "left_anti"), "drawn"), "drawn"))
-    return links.unionAll(rest_links(open_buckets(shared, links), tokens, percent))
+    more = compare(fitting(apart.join(tried, ["a", "b"], "left_anti"), "drawn"), "drawn")
+    second = components(as_links(first).unionAll(more))
+    return components(as_links(second).unionAll(rest_links(open_buckets(shared, second), tokens, percent)))
 
 
-def open_buckets(shared: DataFrame, links: DataFrame) -> DataFrame:
+def open_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """``(bucket, name, root)`` of the buckets whose members lie in several components."""
-    marked = shared.select("bucket", "name").join(components(links).withColumnRenamed("node", "name"), "name", "left").select(
+    marked = shared.select("bucket", "name").join(roots.withColumnRenamed("node", "name"), "name", "left").select(
         "bucket", "name", F.coalesce("root", "name").alias("root"))
     mixed = marked.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     return stage(marked.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
@@ -374,7 +375,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     counts = counter_table(seen.where("part IS NOT NULL"))
     each = seen.where("part IS NULL").select("id", "tag", "n", "name")
     sets = stage(each.where("n > 0").groupBy("name").agg(F.max("n").alias("n"), F.min("id").alias("id")), "sets")
-    roots = components(set_links(rows.select("id", "body"), sets, counts, k, percent))
+    roots = set_components(rows.select("id", "body"), sets, counts, k, percent)
     named = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select(
         "name", "id", F.coalesce("root", "name").alias("root"))
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
