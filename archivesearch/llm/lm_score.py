@@ -36,7 +36,7 @@ from archivesearch.llm.common import text_or_empty
 from archivesearch.llm.hashing import U, hashed_words, mix, sequences
 
 BACKOFF = 0.4
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 6_000_000
 RANGE_GRAMS = 1_500_000
 #: The n-gram of no words; its count is the number of words.
 HASH_BITS = 56  # n distinct n-grams have n * n / 2**57 colliding pairs on average
