@@ -35,7 +35,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 #: Weak parts: report nothing by themselves.
-KEY = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")  # after '=' too, as in .env files
 ENDPOINT = re.compile(r"\b(?:https?|s3|jdbc|postgres|mysql|redis|amqp|mongodb)://[^\s\"'<>]+", re.ASCII)
 
 KINDS = ["assign", "access", "hex", "secret", "endpoint"]

@@ -29,6 +29,20 @@ def test_base_spans_and_links(table):
     assert spans[2] == spans[3] == "" and "secret" not in spans[6]
 
 
+def test_key_of_env_json_and_blank_forms(table):
+    access = "AKIA" + "ABCDEFGH12345678"
+    forms = [f"AWS_ACCESS_KEY_ID={access}\nAWS_SECRET_ACCESS_KEY={KEY}\nURL=https://host/x",
+             f'{{"AccessKeyId": "{access}", "SecretAccessKey": "{KEY}", "url": "https://host/x"}}',
+             f"aws_access_key_id = {access}\naws_secret_access_key = {KEY}\nurl = https://host/x",
+             f"export AWS_ACCESS_KEY_ID='{access}' AWS_SECRET_ACCESS_KEY='{KEY}' URL='https://host/x'"]
+    rows = [*enumerate(forms), (9, f"AWS_SECRET_ACCESS_KEY={KEY}"), (10, f"{access} x={KEY}="), (11, f"{access} x={KEY}a")]
+    spans = {r.id: r.s for r in find_secrets(table(rows)).select("id", joined("spans").alias("s")).collect()}
+    for i, text in enumerate(forms):
+        at, url = text.index(KEY), text.index("https")
+        assert f"secret:{at}:{at + 40}" in spans[i] and f"endpoint:{url}:{url + 14}" in spans[i], text
+    assert spans[9] == "" and "secret" not in spans[10] and "secret" not in spans[11]
+
+
 def test_main_text(table):
     page = ("<html><head><title>t</title></head><body><nav><a>menu</a></nav><article><h1>A &amp; b</h1><p><b>one\n two.<br><p>thr<i>ee</i>"
             "</article><div class='comments'><p>reader</p></div><form><p>f</p></form><footer>foot</footer><script>x</script>")
