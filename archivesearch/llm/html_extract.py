@@ -1,7 +1,7 @@
 """Main-text extraction with a site style tree.
 
 1. Each page is parsed in Arrow batches into elements (path of tags with their
-   first class or id) and text blocks. Per batch the elements of pages of one
+   first class) and text blocks. Per batch the elements of pages of one
    host are merged: a path keeps the number of its instances, of each child
    sequence (its presentation styles), the mean share of each child, and, where it
    holds text, the number of pages with each word. Spark sums these over all
@@ -9,8 +9,9 @@
 2. Importance of an element with children: the entropy of its styles, mixed with
    its children's importance, ``(1 - g**l) * entropy + g**l * sum(share * child)``
    for ``l`` styles. Importance of a text node: one minus the mean entropy of its
-   words over the pages. Sums per path are native; the recursion runs once per
-   host over its distinct paths (a site's templates, not its pages).
+   words over the pages. Sums per path are native, and so is the recursion: joins
+   and aggregates on (host, path), without a group per host. A path is made of tags
+   and classes (of ids only where they name layout), not of anchors and slugs.
 3. An element is noise if it and all below it lie under ``threshold`` times the
    host's largest text importance. Each page is walked again and the blocks below
    noise are left out, as are elements that say what they are (``nav``, ``aside``,
@@ -31,7 +32,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +63,11 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
                    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
+#: Words of ids that name a part of the layout; other ids (anchors, slugs) are no part of a path.
+LAYOUT = NAMED.pattern.split("(?:", 2)[2].rsplit(")(?:", 1)[0]
+LAYOUT_ID = re.compile(
+    rf"(?:(?:{LAYOUT}|header|head|main|content|contents|wrapper|wrap|container|page|body|left|right|center|middle|top|bottom|inner|"
+    r"outer|column|col|primary|secondary|article|post|entry|story|text|site|logo)(?:[-_]|\d+|$))+", re.IGNORECASE)
 
 
 class Page:
@@ -126,8 +131,10 @@ class Page:
         if inline:
             self._open.append((name, self._open[-1][1], furniture, []))
             return
-        mark = (said.get("class") or said.get("id") or "").split()
-        sign = name + ("." + re.sub(r"\d+", "0", mark[0]) if mark else "")
+        mark = said.get("class", "").split()
+        if not mark and LAYOUT_ID.fullmatch(said.get("id", "")):
+            mark = [said["id"]]
+        sign = name + ("." + re.sub(r"\d+", "0", mark[0]).replace("/", "_") if mark else "")
         at = self._block()
         paths, below = self._open[at][1], self._open[at][3]
         below.append(sign)
@@ -179,7 +186,7 @@ class Page:
         self._close(0)
 
 
-#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 children's shares.
+#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent.
 MERGED = "host string, path string, kind int, features array<string>, counts array<double>"
 
 
@@ -196,7 +203,7 @@ def merge_pages(pages: Iterator[tuple[str, str]]) -> list[tuple[str, str, int, l
             if below:
                 merged[host, path, 2][style_of(below)] += 1
                 for child, n in Counter(below).items():
-                    merged[host, path, 3][f"{path}/{child}"] += n / len(below)
+                    merged[host, f"{path}/{child}", 3][""] += n / len(below)
         words: dict[str, set[str]] = defaultdict(set)
         for paths, _, text in page.blocks:
             words[paths[-1]].update(text.lower().split())
@@ -207,7 +214,7 @@ def merge_pages(pages: Iterator[tuple[str, str]]) -> list[tuple[str, str, int, l
 
 
 def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch_pages: int = 1500) -> DataFrame:
-    """One row per ``(host, path)``: instances, styles' and words' sums, children with their shares."""
+    """One row per ``(host, path)``: instances, styles' and words' sums, share of the parent."""
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("kind", pa.int32()),
@@ -221,7 +228,7 @@ def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch
     rows = pages.select(F.col(host), F.col(source)).mapInArrow(merged, MERGED).select(
         "host", "path", "kind", F.explode(F.arrays_zip("features", "counts")).alias("f"))
     node = F.xxhash64("host", "path")
-    feature = F.when(F.col("kind") == 3, F.xxhash64("host", "f.features")).otherwise(F.xxhash64("f.features"))
+    feature = F.xxhash64("f.features")
     name = F.col("kind") == 0
     sums = rows.select(node.alias("node"), "kind", feature.alias("feature"), F.col("f.counts").alias("n"),
                        F.when(name, F.col("host")).alias("host"), F.when(name, F.col("path")).alias("path")).groupBy(
@@ -232,43 +239,51 @@ def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch
         F.count(of(1, F.lit(1))).alias("words"), F.sum(of(1, F.log("n"))).alias("word_logs"),
         F.count(of(2, F.lit(1))).alias("styles"), F.sum(of(2, F.col("n"))).alias("styled"),
         F.sum(of(2, F.col("n") * F.log("n"))).alias("style_logs"),
-        F.collect_list(of(3, F.struct(F.col("feature").alias("child"), F.col("n").alias("share")))).alias("children"))
-
-
-def importance(tree: pd.DataFrame) -> pd.DataFrame:
-    """Composite importance of each path of one host, and whether it is noise before the threshold."""
-    nodes = {r.node: r for r in tree.itertuples()}
-    done: dict[int, tuple[float, float]] = {}  # importance; the largest at or below
-
-    def of(key: int) -> tuple[float, float]:
-        r = nodes[key]
-        m = r.instances
-        if not len(r.children):
-            own = 1.0
-            if r.words and m > 1:
-                own = 1 - min(1.0, r.word_logs / r.words / math.log(m))
-            elif not r.words:
-                own = 0.0
-            return own, own if r.words else 0.0
-        entropy = 1.0
-        if r.styled > 1:
-            entropy = max(0.0, (math.log(r.styled) - r.style_logs / r.styled) / math.log(r.styled))
-        below = [(c["share"], done[c["child"]]) for c in r.children if c["child"] in done]
-        g = GAMMA ** r.styles
-        own = (1 - g) * entropy + g * sum(s / r.styled * v[0] for s, v in below)
-        return own, max([own, *(v[1] for _, v in below)])
-
-    for r in sorted(tree.itertuples(), key=lambda r: -r.path.count("/")):  # children first
-        done[r.node] = of(r.node)
-    texts = [done[r.node][0] for r in nodes.values() if r.words]
-    return pd.DataFrame({"host": tree["host"], "path": tree["path"], "importance": [done[k][0] for k in tree["node"]],
-                         "below": [done[k][1] for k in tree["node"]], "best": max(texts, default=0.0)})
+        F.sum(of(3, F.col("n"))).alias("share")).where("instances IS NOT NULL").drop("node")
+
+
+ABOVE = "transform(sequence(1, size(split(path, '/', -1))), i -> concat_ws('/', slice(split(path, '/', -1), 1, i)))"
+
+
+def importance(tree: DataFrame) -> DataFrame:
+    """Each ``(host, path)`` with its composite importance, the largest ``below`` or at it, and the host's ``best`` text.
+
+    The recursion is linear, so a path's importance is the sum of its descendants' own terms, each times the weights
+    of the edges on the way down. These travel with each path (``MAX_DEPTH`` at most): joins and aggregates on
+    ``(host, path)`` do it, and no host is one group.
+    """
+    entropy = F.when(F.col("styled") > 1, F.greatest(F.lit(0.0), (
+        F.log("styled") - F.col("style_logs") / F.col("styled")) / F.log("styled"))).otherwise(1.0)
+    words = F.when(F.col("words") == 0, 0.0).when(F.col("instances") <= 1, 1.0).otherwise(
+        1 - F.least(F.lit(1.0), F.col("word_logs") / F.col("words") / F.log("instances")))
+    passed = F.pow(F.lit(GAMMA), F.col("styles"))
+    leaf = F.col("styled").isNull()
+    nodes = stage(tree.select(
+        "host", "path", "share", (F.col("words") > 0).alias("is_text"),
+        F.when(leaf, words).otherwise((1 - passed) * entropy).alias("own"),
+        F.when(~leaf, passed / F.col("styled")).alias("passed")), "style-tree")
+    above = nodes.select("host", F.col("path").alias("parent"), "passed")
+    edges = nodes.where("path != ''").select(
+        "host", "path", "share", F.regexp_replace("path", "/[^/]*$", "").alias("parent")).join(above, ["host", "parent"]).select(
+        "host", F.col("path").alias("at"), (F.col("share") * F.col("passed")).alias("weight"))
+    chains = nodes.select("host", "path", "own", F.posexplode(F.expr(ABOVE)).alias("depth", "at"))
+    ways = chains.join(edges, ["host", "at"], "left").groupBy("host", "path").agg(
+        F.max("own").alias("own"), F.array_sort(F.collect_list(F.struct("depth", "at", F.coalesce(
+            "weight", F.lit(0.0)).alias("weight")))).alias("way"))
+    terms = ways.select("host", F.explode(F.expr(
+        "transform(way, (x, i) -> struct(x.at AS path, own * aggregate(slice(way, i + 2, size(way)), "
+        "cast(1 AS double), (p, y) -> p * y.weight) AS term))")).alias("t"))
+    scored = terms.groupBy("host", "t.path").agg(F.sum("t.term").alias("importance"))
+    scored = stage(scored.join(nodes.select("host", "path", "is_text"), ["host", "path"]), "importance")
+    below = scored.select("host", "importance", F.explode(F.expr(ABOVE)).alias("path")).groupBy("host", "path").agg(
+        F.max("importance").alias("below"))
+    best = scored.where("is_text").groupBy("host").agg(F.max("importance").alias("best"))
+    return scored.join(below, ["host", "path"]).join(best, "host", "left").fillna(0.0, ["best"])
 
 
 def noisy_paths(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``(host, path)`` of the elements of ``pages(host, html)`` to leave out."""
-    scored = site_trees(pages).groupBy("host").applyInPandas(
-        importance, "host string, path string, importance double, below double, best double")
+    scored = importance(site_trees(pages))
     return scored.where(F.col("below") < threshold * F.col("best")).select("host", "path")
 
 

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import math
 import re
 
-from archivesearch.llm.html_extract import extract, main_text
+from archivesearch.llm.html_extract import extract, importance, main_text, site_trees
 from archivesearch.llm.secrets import find_secrets, joined
 
 KEY = "abcdEFGH0123" * 3 + "wxYZ"
@@ -51,3 +52,25 @@ def test_main_text(table):
     out = extract(table(rows, "page_id bigint, url string, html string")).collect()
     assert sorted((r.page_id, r.text, r.n_chars) for r in out) == [
         (1, "A & b one two. three", 20), (1, "A & b one two. three", 20), (2, "", 0), (3, "", 0)]
+
+
+def test_paths_do_not_grow_with_ids_and_importance_equals_the_recursion(spark, table):
+    page = ("<body><div id='sidebar-left'><p>menu</p></div><article id='slug-{w}'><h2 id='about-{w}'>{w} title</h2><p class='w-1/2'>text {w}"
+            "</p>{more}</article></body>")
+    names = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    rows = [("h", page.format(w=w, more="<p>more</p>" * (i % 3))) for i, w in enumerate(names)]
+    tree = site_trees(table(rows, "host string, html string"))
+    nodes = {r.path: r for r in tree.collect()}
+    assert not any("slug" in p or "about" in p for p in nodes) and "/body/div.sidebar-left/p/#text" in nodes
+    assert nodes["/body/article/h2"].instances == len(names)
+
+    def of(path):
+        r = nodes[path]
+        if r.styled is None:
+            return (1 - min(1, r.word_logs / r.words / math.log(r.instances)) if r.instances > 1 else 1.0) if r.words else 0.0
+        entropy = max(0, math.log(r.styled) - r.style_logs / r.styled) / math.log(r.styled) if r.styled > 1 else 1.0
+        below = [n for p, n in nodes.items() if p and p.rsplit("/", 1)[0] == path]
+        return (1 - 0.9 ** r.styles) * entropy + 0.9 ** r.styles * sum(n.share / r.styled * of(n.path) for n in below)
+
+    got = {r.path: r.importance for r in importance(tree).collect()}
+    assert got.keys() == nodes.keys() and all(abs(got[p] - of(p)) < 1e-9 for p in nodes)
