@@ -15,7 +15,9 @@
 3. An element is noise if it and all below it lie under ``threshold`` times the
    host's largest text importance. Each page is walked again and the blocks below
    noise are left out, as are elements that say what they are (``nav``, ``aside``,
-   ``class="comments"``, ...), which alone decide on hosts of one page.
+   ``class="comments"``, ...), which alone decide on hosts of one page. Of these, a
+   named element that holds the host's text is a wrapper and stays: ``held`` is the
+   text below it on all pages, ``needed`` a multiple of what lies beside it.
 
 Defined cases: null html gives an empty text; a null url is the host ``''``;
 equal page ids are separate pages; unclosed and stray tags are closed as HTML
@@ -43,17 +45,27 @@ MAX_DEPTH = 24
 
 # Element names of HTML and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe".split())
+#: Elements of formulas and drawings; their text belongs to the text around them.
+DRAWN = frozenset("math semantics annotation maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+                  "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+                  "svg circle defs desc ellipse g line lineargradient marker mask path pattern polygon polyline rect stop symbol "
+                  "text textpath tspan use".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
-FURNITURE = frozenset("head nav footer aside form button select dialog menu script style textarea title noscript "
-                      "template iframe svg math object".split())
+                   "span strike strong sub sup time tt u var wbr".split()) | DRAWN
+FURNITURE = frozenset("head nav footer button select script style textarea title noscript template iframe".split())
+#: Furniture unless it holds the page's text, as are forms and elements with a role or a name.
+HOLDERS = frozenset("aside dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 NAMED = re.compile(
     r"(?:^|[-_\s])(?:ad|ads|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notices|alert|popup|modal|"
     r"newsletter|subscribe|subscription|signup|login|nav|navbar|navigation|menu|menubar|breadcrumbs?|sidebar|side|widgets?|"
     r"footer|foot|masthead|topbar|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|"
     r"pagination|pager|toolbar|skip)(?:$|[-_\s\d])", re.IGNORECASE)
+#: A candidate whose name begins so is furniture unless it holds ``SAID`` times the text beside it, one that
+#: only mentions such a word (``content has-sidebar``) unless it holds ``MENTIONED`` times that.
+#: A form, often one around the whole page, lies between.
+SAID, FORM, MENTIONED = 4.0, 1.0, 0.5
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 STOPS = frozenset("ul ol dl table select article section div body".split())
@@ -71,14 +83,18 @@ LAYOUT_ID = re.compile(
 
 
 class Page:
-    """A page's text blocks ``(paths of the elements around it, furniture, text)`` and elements."""
+    """A page's text blocks ``(paths of the elements around it, furniture, text, named)`` and elements.
+
+    ``named`` are the paths of the elements around a block that are furniture unless they hold the page's text,
+    with the multiple of the text beside them that they must hold.
+    """
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[tuple[str, ...], bool, str]] = []
+        self.blocks: list[tuple[tuple[str, ...], bool, str, dict[str, float]]] = []
         self.children: list[tuple[str, list[str]]] = []  # of each element, in order of closing
         self._text: list[str] = []
         self._paths: tuple[str, ...] = ("",)
-        self._open: list[tuple[str, tuple[str, ...], bool, list[str]]] = [("", ("",), False, [])]
+        self._open: list[tuple[str, tuple[str, ...], bool, list[str], float]] = [("", ("",), False, [], 0.0)]
         self._parse(source)
 
     def _flush(self) -> None:
@@ -86,9 +102,13 @@ class Page:
             text = SPACE.sub(" ", "".join(self._text)).strip()
             self._text = []
             if text:
-                _, paths, furniture, below = self._open[self._block()]
+                _, paths, furniture, below, _ = self._open[self._block()]
                 below.append("#text")
-                self.blocks.append((paths, furniture or any(o[2] for o in self._open), text))
+                named: dict[str, float] = {}
+                for o in self._open:
+                    if o[4]:
+                        named[o[1][-1]] = max(o[4], named.get(o[1][-1], 0.0))
+                self.blocks.append((paths, furniture or any(o[2] for o in self._open), text, named))
 
     def _block(self) -> int:
         k = len(self._open) - 1
@@ -98,7 +118,7 @@ class Page:
 
     def _close(self, to: int) -> None:
         while len(self._open) > to:
-            name, paths, _, below = self._open.pop()
+            name, paths, _, below, _ = self._open.pop()
             if name not in INLINE:
                 self.children.append((paths[-1], below))
 
@@ -122,14 +142,20 @@ class Page:
         if name in VOID:
             return
         said = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
-        furniture = name in FURNITURE or said.get("role", "").lower() in ROLES or bool(
-            said and (NAMED.search(said.get("class", "")) or NAMED.search(said.get("id", ""))))
-        if name in ("body", "html", "main", "article"):
-            furniture = False
-        if name == "header" and not any(o[0] in ("article", "main") for o in self._open):
-            furniture = True
+        furniture = name in FURNITURE
+        holds = 0.0  # the multiple of the text beside it that the element must hold, if it is a candidate
+        if not furniture and name not in ("body", "html", "main", "article"):
+            names = [said.get("class", "").strip(), said.get("id", "").strip()]
+            if name == "form":
+                holds = FORM
+            elif name in HOLDERS or said.get("role", "").lower() in ROLES or (
+                    name == "header" and not any(o[0] in ("article", "main") for o in self._open)):
+                holds = SAID
+            elif found := [m for m in map(NAMED.search, names) if m]:
+                holds = SAID if any(m.start() == 0 for m in found) else MENTIONED
         if inline:
-            self._open.append((name, self._open[-1][1], furniture, []))
+            # without a path of its own, an inline element holds no page
+            self._open.append((name, self._open[-1][1], furniture or bool(holds), [], 0.0))
             return
         mark = said.get("class", "").split()
         if not mark and LAYOUT_ID.fullmatch(said.get("id", "")):
@@ -140,7 +166,7 @@ class Page:
         below.append(sign)
         if len(paths) < MAX_DEPTH:
             paths = (*paths, f"{paths[-1]}/{sign}")
-        self._open.append((name, paths, furniture, []))
+        self._open.append((name, paths, furniture, [], holds))
 
     def _end(self, name: str) -> None:
         for k in range(len(self._open) - 1, 0, -1):
@@ -180,16 +206,33 @@ class Page:
                     self._flush()
             elif name in ("br", "hr"):
                 self._flush()
-            else:
+            elif name not in DRAWN or not (m[3] or m[6] or "").endswith("/"):
                 self._start(name, m[3] or m[6] or "")
         self._flush()
         self._close(0)
 
 
-#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent.
+#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent,
+#: 4 text that a candidate for furniture holds and needs.
 MERGED = "host string, path string, kind int, features array<string>, counts array<double>"
 
 
+def named_text(page: Page) -> dict[str, list[float]]:
+    """Of each candidate's path: characters below it, and how many it needs to hold the page's text.
+
+    The text beside a candidate is the rest of the page without surer furniture: for comments all of it, for a
+    wrapper that only mentions comments not the comments beside it.
+    """
+    found: dict[str, list[float]] = {}
+    blocks = [(len(text), named) for _, furniture, text, named in page.blocks if not furniture]
+    for path, times in {p: t for _, named in blocks for p, t in named.items()}.items():
+        held = sum(n for n, named in blocks if path in named)
+        beside = sum(n for n, named in blocks if path not in named and all(
+            t <= times or path.startswith(f"{p}/") for p, t in named.items()))
+        found[path] = [float(held), times * beside]
+    return found
+
+
 def style_of(below: list[str]) -> str:
     return ",".join(f"{k}*{len([*g])}" for k, g in groupby(below))
 
@@ -205,8 +248,11 @@ def merge_pages(pages: Iterator[tuple[str, str]]) -> list[tuple[str, str, int, l
                 for child, n in Counter(below).items():
                     merged[host, f"{path}/{child}", 3][""] += n / len(below)
         words: dict[str, set[str]] = defaultdict(set)
-        for paths, _, text in page.blocks:
+        for paths, _, text, _ in page.blocks:
             words[paths[-1]].update(text.lower().split())
+        for path, (held, needed) in named_text(page).items():
+            merged[host, path, 4]["held"] += held
+            merged[host, path, 4]["needed"] += needed
         for path, found in words.items():
             merged[host, f"{path}/#text", 0][""] += 1
             merged[host, f"{path}/#text", 1].update(found)
@@ -239,7 +285,9 @@ def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch
         F.count(of(1, F.lit(1))).alias("words"), F.sum(of(1, F.log("n"))).alias("word_logs"),
         F.count(of(2, F.lit(1))).alias("styles"), F.sum(of(2, F.col("n"))).alias("styled"),
         F.sum(of(2, F.col("n") * F.log("n"))).alias("style_logs"),
-        F.sum(of(3, F.col("n"))).alias("share")).where("instances IS NOT NULL").drop("node")
+        F.sum(of(3, F.col("n"))).alias("share"),
+        F.sum(F.when((F.col("kind") == 4) & (F.col("feature") == F.xxhash64(F.lit("held"))), F.col("n"))).alias("held"),
+        F.sum(F.when((F.col("kind") == 4) & (F.col("feature") == F.xxhash64(F.lit("needed"))), F.col("n"))).alias("needed")).where("instances IS NOT NULL").drop("node")
 
 
 ABOVE = "transform(sequence(1, size(split(path, '/', -1))), i -> concat_ws('/', slice(split(path, '/', -1), 1, i)))"
@@ -259,7 +307,7 @@ def importance(tree: DataFrame) -> DataFrame:
     passed = F.pow(F.lit(GAMMA), F.col("styles"))
     leaf = F.col("styled").isNull()
     nodes = stage(tree.select(
-        "host", "path", "share", (F.col("words") > 0).alias("is_text"),
+        "host", "path", "share", (F.col("words") > 0).alias("is_text"), (F.col("held") >= F.col("needed")).alias("holds"),
         F.when(leaf, words).otherwise((1 - passed) * entropy).alias("own"),
         F.when(~leaf, passed / F.col("styled")).alias("passed")), "style-tree")
     above = nodes.select("host", F.col("path").alias("parent"), "passed")
@@ -274,22 +322,23 @@ def importance(tree: DataFrame) -> DataFrame:
         "transform(way, (x, i) -> struct(x.at AS path, own * aggregate(slice(way, i + 2, size(way)), "
         "cast(1 AS double), (p, y) -> p * y.weight) AS term))")).alias("t"))
     scored = terms.groupBy("host", "t.path").agg(F.sum("t.term").alias("importance"))
-    scored = stage(scored.join(nodes.select("host", "path", "is_text"), ["host", "path"]), "importance")
+    scored = stage(scored.join(nodes.select("host", "path", "is_text", "holds"), ["host", "path"]), "importance")
     below = scored.select("host", "importance", F.explode(F.expr(ABOVE)).alias("path")).groupBy("host", "path").agg(
         F.max("importance").alias("below"))
     best = scored.where("is_text").groupBy("host").agg(F.max("importance").alias("best"))
     return scored.join(below, ["host", "path"]).join(best, "host", "left").fillna(0.0, ["best"])
 
 
-def noisy_paths(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``(host, path)`` of the elements of ``pages(host, html)`` to leave out."""
+def marked_paths(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``(host, path, noise)`` of ``pages(host, html)``: elements to leave out, and named ones that hold the text (noise is false)."""
     scored = importance(site_trees(pages))
-    return scored.where(F.col("below") < threshold * F.col("best")).select("host", "path")
+    noise = F.col("below") < threshold * F.col("best")
+    return scored.where(noise | F.col("holds")).select("host", "path", noise.alias("noise"))
 
 
-def main_text(source: str, noise: frozenset[str]) -> str:
-    return " ".join(text for paths, furniture, text in Page(source).blocks
-                    if not furniture and noise.isdisjoint(paths) and f"{paths[-1]}/#text" not in noise)
+def main_text(source: str, noise: frozenset[str], kept: frozenset[str] = frozenset()) -> str:
+    return " ".join(text for paths, furniture, text, named in Page(source).blocks
+                    if not furniture and kept.issuperset(named) and noise.isdisjoint(paths) and f"{paths[-1]}/#text" not in noise)
 
 
 def extract(pages: DataFrame, threshold: float = 0.5, salts: int = 16, page_id: str = "page_id", url: str = "url",
@@ -298,7 +347,8 @@ def extract(pages: DataFrame, threshold: float = 0.5, salts: int = 16, page_id:
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"),
                         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("html"))
-    noise = stage(noisy_paths(rows, threshold), "noise").groupBy("host").agg(F.collect_list("path").alias("noise"))
+    noise = stage(marked_paths(rows, threshold), "noise").groupBy("host").agg(
+        F.array_sort(F.collect_list(F.struct("path", "noise"))).alias("noise"))
     # a host's list is copied to every salt, so that the pages of one host spread where this join shuffles
     noise = noise.select(F.col("host").alias("noise_host"), "noise",
                          F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("noise_salt"))
@@ -307,15 +357,18 @@ def extract(pages: DataFrame, threshold: float = 0.5, salts: int = 16, page_id:
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists: dict[tuple[str, ...], frozenset[str]] = {}
+            lists: dict[str, tuple[frozenset[str], frozenset[str]]] = {}  # a host's noise, and what is kept
             texts = []
-            for body, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                key = tuple(paths or ())
-                texts.append(main_text(body, lists.setdefault(key, frozenset(key))))
+            for body, site, at in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), range(batch.num_rows)):
+                if site not in lists:
+                    marks = batch.column(4)[at].as_py() or ()
+                    lists[site] = (frozenset(m["path"] for m in marks if m["noise"]),
+                                   frozenset(m["path"] for m in marks if not m["noise"]))
+                texts.append(main_text(body, *lists[site]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = dict(rows.dtypes)
-    return joined.select("page_id", "url", "html", "noise").mapInArrow(
+    return joined.select("page_id", "url", "html", "host", "noise").mapInArrow(
         extracted, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars bigint")

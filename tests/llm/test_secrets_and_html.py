@@ -74,3 +74,24 @@ def test_paths_do_not_grow_with_ids_and_importance_equals_the_recursion(spark, t
 
     got = {r.path: r.importance for r in importance(tree).collect()}
     assert got.keys() == nodes.keys() and all(abs(got[p] - of(p)) < 1e-9 for p in nodes)
+
+
+def test_wrappers_named_like_furniture_stay(table):
+    words = [f"alpha{i} beta{i} gamma{i} delta{i} epsilon{i} zeta{i}" for i in range(6)]
+    wraps = ["<div class='content has-sidebar'>{}</div>", "<div class='layout-no-sidebar'>{}</div>", "<form action=x>{}</form>",
+             "<div class='entry-content with-ads'>{}</div>", "<div class='post comments-open'>{}</div>",
+             "<article><div class='article-body nav-tabs'>{}</div></article>", "<div id='page-with-menu'>{}</div>"]
+    rows, want = [], {}
+    for h, wrap in enumerate(wraps):
+        for i, w in enumerate(words[:1 if h % 2 else 6]):  # hosts of one page too
+            body = f"<h1>{w}</h1><p>{w} one</p><p>{w} two</p><div class='comments'><p>reader {w}</p></div>"
+            rows.append((100 * h + i, f"http://h{h}/{i}", "<body><nav>menu</nav>" + wrap.format(body) + "<aside>related</aside></body>"))
+            want[100 * h + i] = f"{w} {w} one {w} two"
+    out = {r.page_id: r.text for r in extract(table(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == want
+
+
+def test_formulas_drawings_and_unclosed_objects_stay():
+    page = ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><svg><title>t</title><path d='m'/><text>label</text></svg>"
+            "<p>Open <math><mi>y<p>rest</p><object data=x><p>last</p></article>")
+    assert main_text(page, frozenset()) == "Let x=1 be. label Open y rest last"
