@@ -9,11 +9,13 @@
 2. Importance of an element with children: the entropy of its styles, mixed with
    its children's importance, ``(1 - g**l) * entropy + g**l * sum(share * child)``
    for ``l`` styles. Importance of a text node: one minus the mean entropy of its
-   words over the pages. Sums per path are native, and so is the recursion: joins
+   words over the pages, times the squared share of its blocks of four words or more
+   that no other page of the host has (headings and labels aside), times (outside <article> and <main>) the share of
+   its characters that are no links. Sums per path are native, and so is the recursion: joins
    and aggregates on (host, path), without a group per host. A path is made of tags
    and classes (of ids only where they name layout), not of anchors and slugs.
 3. An element is noise if it and all below it lie under ``threshold`` times the
-   host's largest text importance. Each page is walked again and the blocks below
+   importance of the host's main text (the path with most characters times importance). Each page is walked again and the blocks below
    noise are left out, as are elements that say what they are (``nav``, ``aside``,
    ``class="comments"``, ...), which alone decide on hosts of one page. Of these, a
    named element that holds the host's text is a wrapper and stays: ``held`` is the
@@ -32,6 +34,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import groupby
 
 import pyarrow as pa
@@ -70,6 +73,9 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
              "th": {"td", "th"}, "option": {"option"}}
 STOPS = frozenset("ul ol dl table select article section div body".split())
 
+#: Headings and labels are the same on many pages without being furniture.
+LABEL = re.compile(r"/(?:h[1-6]|th|dt|caption|figcaption|legend|label)(?:\.[^/]*)?$")
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
                    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.DOTALL)
@@ -83,16 +89,17 @@ LAYOUT_ID = re.compile(
 
 
 class Page:
-    """A page's text blocks ``(paths of the elements around it, furniture, text, named)`` and elements.
+    """A page's text blocks ``(paths of the elements around it, furniture, text, named, linked)`` and elements.
 
     ``named`` are the paths of the elements around a block that are furniture unless they hold the page's text,
-    with the multiple of the text beside them that they must hold.
+    with the multiple of the text beside them that they must hold; ``linked`` is the number of characters that are links.
     """
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[tuple[str, ...], bool, str, dict[str, float]]] = []
+        self.blocks: list[tuple[tuple[str, ...], bool, str, dict[str, float], int]] = []
         self.children: list[tuple[str, list[str]]] = []  # of each element, in order of closing
         self._text: list[str] = []
+        self._linked = 0
         self._paths: tuple[str, ...] = ("",)
         self._open: list[tuple[str, tuple[str, ...], bool, list[str], float]] = [("", ("",), False, [], 0.0)]
         self._parse(source)
@@ -100,7 +107,7 @@ class Page:
     def _flush(self) -> None:
         if self._text:
             text = SPACE.sub(" ", "".join(self._text)).strip()
-            self._text = []
+            linked, self._text, self._linked = min(self._linked, len(text)), [], 0
             if text:
                 _, paths, furniture, below, _ = self._open[self._block()]
                 below.append("#text")
@@ -108,7 +115,7 @@ class Page:
                 for o in self._open:
                     if o[4]:
                         named[o[1][-1]] = max(o[4], named.get(o[1][-1], 0.0))
-                self.blocks.append((paths, furniture or any(o[2] for o in self._open), text, named))
+                self.blocks.append((paths, furniture or any(o[2] for o in self._open), text, named, linked))
 
     def _block(self) -> int:
         k = len(self._open) - 1
@@ -187,6 +194,8 @@ class Page:
             text = source[at:m.start() if m else len(source)]
             if text:
                 self._text.append(html.unescape(text))
+                if any(o[0] == "a" for o in self._open):
+                    self._linked += len(self._text[-1].strip())
             if not m:
                 break
             at = m.end()
@@ -213,7 +222,7 @@ class Page:
 
 
 #: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent,
-#: 4 text that a candidate for furniture holds and needs.
+#: 4 text that a candidate for furniture holds and needs, 5 whole blocks (pages with each), 6 characters and those in links.
 MERGED = "host string, path string, kind int, features array<string>, counts array<double>"
 
 
@@ -224,7 +233,7 @@ def named_text(page: Page) -> dict[str, list[float]]:
     wrapper that only mentions comments not the comments beside it.
     """
     found: dict[str, list[float]] = {}
-    blocks = [(len(text), named) for _, furniture, text, named in page.blocks if not furniture]
+    blocks = [(len(text) - linked, named) for _, furniture, text, named, linked in page.blocks if not furniture]
     for path, times in {p: t for _, named in blocks for p, t in named.items()}.items():
         held = sum(n for n, named in blocks if path in named)
         beside = sum(n for n, named in blocks if path not in named and all(
@@ -248,8 +257,15 @@ def merge_pages(pages: Iterator[tuple[str, str]]) -> list[tuple[str, str, int, l
                 for child, n in Counter(below).items():
                     merged[host, f"{path}/{child}", 3][""] += n / len(below)
         words: dict[str, set[str]] = defaultdict(set)
-        for paths, _, text, _ in page.blocks:
+        texts: dict[str, set[str]] = defaultdict(set)
+        for paths, _, text, _, linked in page.blocks:
             words[paths[-1]].update(text.lower().split())
+            if text.count(" ") >= 3 and not LABEL.search(paths[-1]):  # table cells and the like recur by chance
+                texts[f"{paths[-1]}/#text"].add(blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest())
+            merged[host, f"{paths[-1]}/#text", 6]["all"] += len(text)
+            merged[host, f"{paths[-1]}/#text", 6]["linked"] += linked
+        for path, hashes in texts.items():
+            merged[host, path, 5].update(hashes)
         for path, (held, needed) in named_text(page).items():
             merged[host, path, 4]["held"] += held
             merged[host, path, 4]["needed"] += needed
@@ -280,21 +296,24 @@ def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch
                        F.when(name, F.col("host")).alias("host"), F.when(name, F.col("path")).alias("path")).groupBy(
         "node", "kind", "feature").agg(F.sum("n").alias("n"), F.max("host").alias("host"), F.max("path").alias("path"))
     of = lambda k, x: F.when(F.col("kind") == k, x)
+    named = lambda k, name: F.sum(F.when((F.col("kind") == k) & (F.col("feature") == F.xxhash64(F.lit(name))), F.col("n")))
     return sums.groupBy("node").agg(
         F.max("host").alias("host"), F.max("path").alias("path"), F.sum(of(0, F.col("n"))).alias("instances"),
         F.count(of(1, F.lit(1))).alias("words"), F.sum(of(1, F.log("n"))).alias("word_logs"),
         F.count(of(2, F.lit(1))).alias("styles"), F.sum(of(2, F.col("n"))).alias("styled"),
         F.sum(of(2, F.col("n") * F.log("n"))).alias("style_logs"),
         F.sum(of(3, F.col("n"))).alias("share"),
-        F.sum(F.when((F.col("kind") == 4) & (F.col("feature") == F.xxhash64(F.lit("held"))), F.col("n"))).alias("held"),
-        F.sum(F.when((F.col("kind") == 4) & (F.col("feature") == F.xxhash64(F.lit("needed"))), F.col("n"))).alias("needed")).where("instances IS NOT NULL").drop("node")
+        named(4, "held").alias("held"), named(4, "needed").alias("needed"),
+        F.sum(of(5, F.col("n"))).alias("blocks"), F.sum(F.when((F.col("kind") == 5) & (F.col("n") > 1), F.col("n"))).alias("repeated"),
+        named(6, "all").alias("chars"), (named(6, "linked") / named(6, "all")).alias("linked")).where("instances IS NOT NULL").drop("node")
 
 
 ABOVE = "transform(sequence(1, size(split(path, '/', -1))), i -> concat_ws('/', slice(split(path, '/', -1), 1, i)))"
 
 
 def importance(tree: DataFrame) -> DataFrame:
-    """Each ``(host, path)`` with its composite importance, the largest ``below`` or at it, and the host's ``best`` text.
+    """Each ``(host, path)`` with its composite importance, the largest ``below`` or at it, and that of the host's ``best`` text,
+    the one with the most characters times importance.
 
     The recursion is linear, so a path's importance is the sum of its descendants' own terms, each times the weights
     of the edges on the way down. These travel with each path (``MAX_DEPTH`` at most): joins and aggregates on
@@ -304,10 +323,14 @@ def importance(tree: DataFrame) -> DataFrame:
         F.log("styled") - F.col("style_logs") / F.col("styled")) / F.log("styled"))).otherwise(1.0)
     words = F.when(F.col("words") == 0, 0.0).when(F.col("instances") <= 1, 1.0).otherwise(
         1 - F.least(F.lit(1.0), F.col("word_logs") / F.col("words") / F.log("instances")))
+    # whole blocks that recur on other pages of the host, and links where no article is
+    repeated = F.coalesce(F.col("repeated") / F.col("blocks"), F.lit(0.0))
+    linked = F.when(F.col("path").rlike(r"/(?:article|main)(?:[./]|$)"), 0.0).otherwise(F.coalesce("linked", F.lit(0.0)))
+    words = words * F.pow(1 - repeated, F.lit(2.0)) * (1 - linked)
     passed = F.pow(F.lit(GAMMA), F.col("styles"))
     leaf = F.col("styled").isNull()
     nodes = stage(tree.select(
-        "host", "path", "share", (F.col("words") > 0).alias("is_text"), (F.col("held") >= F.col("needed")).alias("holds"),
+        "host", "path", "share", "chars", (F.col("held") >= F.col("needed")).alias("holds"),
         F.when(leaf, words).otherwise((1 - passed) * entropy).alias("own"),
         F.when(~leaf, passed / F.col("styled")).alias("passed")), "style-tree")
     above = nodes.select("host", F.col("path").alias("parent"), "passed")
@@ -322,10 +345,11 @@ def importance(tree: DataFrame) -> DataFrame:
         "transform(way, (x, i) -> struct(x.at AS path, own * aggregate(slice(way, i + 2, size(way)), "
         "cast(1 AS double), (p, y) -> p * y.weight) AS term))")).alias("t"))
     scored = terms.groupBy("host", "t.path").agg(F.sum("t.term").alias("importance"))
-    scored = stage(scored.join(nodes.select("host", "path", "is_text", "holds"), ["host", "path"]), "importance")
+    scored = stage(scored.join(nodes.select("host", "path", "chars", "holds"), ["host", "path"]), "importance")
     below = scored.select("host", "importance", F.explode(F.expr(ABOVE)).alias("path")).groupBy("host", "path").agg(
         F.max("importance").alias("below"))
-    best = scored.where("is_text").groupBy("host").agg(F.max("importance").alias("best"))
+    best = scored.where("chars IS NOT NULL").groupBy("host").agg(
+        F.max_by("importance", F.struct(F.col("importance") * F.col("chars"), "path")).alias("best"))
     return scored.join(below, ["host", "path"]).join(best, "host", "left").fillna(0.0, ["best"])
 
 
@@ -337,7 +361,7 @@ def marked_paths(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def main_text(source: str, noise: frozenset[str], kept: frozenset[str] = frozenset()) -> str:
-    return " ".join(text for paths, furniture, text, named in Page(source).blocks
+    return " ".join(text for paths, furniture, text, named, _ in Page(source).blocks
                     if not furniture and kept.issuperset(named) and noise.isdisjoint(paths) and f"{paths[-1]}/#text" not in noise)
 
 

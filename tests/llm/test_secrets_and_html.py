@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
 from archivesearch.llm.html_extract import extract, importance, main_text, site_trees
@@ -95,3 +96,19 @@ def test_formulas_drawings_and_unclosed_objects_stay():
     page = ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><svg><title>t</title><path d='m'/><text>label</text></svg>"
             "<p>Open <math><mi>y<p>rest</p><object data=x><p>last</p></article>")
     assert main_text(page, frozenset()) == "Let x=1 be. label Open y rest last"
+
+
+def test_unnamed_menus_and_notices_go(table):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    sentence = lambda n: " ".join(word() for _ in range(n))
+    notices, rows, want = [sentence(8) for _ in range(4)], [], {}
+    for i in range(12):
+        menu = "".join(f"<li><a href=x>{word()}</a></li>" for _ in range(5))  # not the same on any two pages
+        title, one, two = sentence(4), sentence(30), sentence(25)
+        rows.append((i, f"http://h/{i}", f"<body><div class=x1><ul>{menu}</ul></div><div class=x2>{rng.choice(notices)}</div>"
+                     f"<div class=x3><h1>{title}</h1><p>{one} <a href=y>linked words</a></p><p>{two}</p></div><div class=x4>{rng.choice(notices)}</div></body>"))
+        want[i] = f"{title} {one} linked words {two}"
+    rows.append((99, "http://one/", "<body><div><a href=x>menu item</a></div><div class=x3><p>text of a page</p></div></body>"))
+    want[99] = "text of a page"
+    assert {r.page_id: r.text for r in extract(table(rows, "page_id bigint, url string, html string")).collect()} == want
