@@ -194,27 +194,62 @@ def vector_index_build(docs: DataFrame, *, dim: int, centroids: DataFrame | None
     return index, centroids
 
 
+def _cells_in_order(index: DataFrame, centroids: DataFrame, queries: DataFrame, max_cells: int) -> DataFrame:
+    """``(query_id, cell, before)``: the vectors in the cells that each query probes before this one."""
+    cents = _centroid_matrix(centroids, max_cells)
+    cell_dist = _cell_distances_udf(index.sparkSession, cents)
+    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    qc = (queries.select("query_id", F.posexplode(cell_dist(F.col("embedding"))).alias("cell", "cdist"))
+          .withColumn("cell", F.col("cell").cast("bigint"))
+          .join(sizes, "cell"))
+    w = (Window.partitionBy("query_id").orderBy(F.round("cdist", RANK_DIGITS), F.col("cell"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return qc.select("query_id", "cell", (F.sum("n").over(w) - F.col("n")).alias("before"))
+
+
+def fit_candidates(index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
+                   recall: float = 0.9, *, sample: int = 1_000, max_cells: int = 65_536) -> int:
+    """The smallest ``candidates`` with which :func:`knn_ivf` reaches ``recall`` against :func:`knn_exact`.
+
+    Fitted on the ``sample`` queries of lowest id hash: their mean recall less two standard errors reaches
+    ``recall``. A true neighbour is found when its cell is probed, so one exact search of the sample and the
+    vectors ``before`` each neighbour's cell give the recall of every budget; at most ``sample * k`` of these
+    numbers come to the driver.
+    """
+    if not 0 < recall <= 1:
+        raise ValueError("recall must lie in (0, 1]")
+    chosen = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(sample)
+    truth = knn_exact(index, chosen, k).select("query_id", "doc_id").join(index.select("doc_id", "cell"), "doc_id")
+    needs = truth.join(_cells_in_order(index, centroids, chosen, max_cells), ["query_id", "cell"]).groupBy(
+        "query_id").agg(F.collect_list("before").alias("before"))  # k of a query
+    before = [np.asarray(r["before"]) for r in needs.collect()]
+    if not before:
+        return 1
+    budgets = np.unique(np.concatenate(before)) + 1
+
+    def reached(budget: int) -> bool:
+        found = np.asarray([(b < budget).mean() for b in before])
+        return found.mean() - 2 * found.std() / math.sqrt(len(found)) >= recall
+
+    low, high = 0, len(budgets) - 1  # the largest budget finds every neighbour
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if reached(budgets[mid]) else (mid + 1, high)
+    return int(budgets[low])
+
+
 def knn_ivf(index: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
             candidates: int = 100, *, max_cells: int = 65_536) -> DataFrame:
     """Approximate k-NN over the inverted file.
 
+    ``candidates`` alone sets the recall; :func:`fit_candidates` finds it for a wanted recall.
     Per query, cells are ordered by centroid distance (rounded, then cell id)
     and the fewest nearest cells whose (post-filter) cumulative size reaches
     ``candidates`` are probed; their vectors are re-ranked exactly.
     index: (doc_id, embedding, cell) already pre-filtered.
     """
-    spark = index.sparkSession
-    cents = _centroid_matrix(centroids, max_cells)
-    cell_dist = _cell_distances_udf(spark, cents)
-    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    qc = (queries.select("query_id", F.posexplode(cell_dist(F.col("embedding"))).alias("cell", "cdist"))
-          .withColumn("cell", F.col("cell").cast("bigint"))
-          .join(sizes, "cell"))
-    w = (Window.partitionBy("query_id").orderBy(F.round("cdist", RANK_DIGITS), F.col("cell"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    probes = (qc.withColumn("cum", F.sum("n").over(w))
-              .where(F.col("cum") - F.col("n") < candidates)
-              .select("query_id", "cell"))
+    probes = _cells_in_order(index, centroids, queries, max_cells).where(F.col("before") < candidates).select(
+        "query_id", "cell")
     qv = queries.select("query_id", F.col("embedding").alias("qvec"))
     probes = probes.join(qv, "query_id")
     pairs = (index.select("doc_id", "embedding", "cell")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 from archivesearch.operators import vector
+from archivesearch.sources import tables
+
+SF1 = "/root/testdata/sf0.1"
 
 
 def _frames(spark, docs, queries):
@@ -64,3 +67,15 @@ def test_ivf_recall_on_clustered_data(spark):
     truth = _brute(docs, queries, 5)
     hits = sum(1 for r in approx if r.doc_id in truth[r.query_id])
     assert hits / (5 * len(queries)) >= 0.95
+
+
+def test_fitted_candidates_reach_the_recall_on_the_given_table(spark):
+    index, cents = vector.vector_index_build(tables.embedded_articles(spark, SF1), dim=64,
+                                             centroids=tables.fixture_centroids(spark, SF1))
+    index = index.cache()
+    queries = tables.query_vectors(spark, SF1)
+    candidates = vector.fit_candidates(index, cents, queries, k=5, recall=0.9, sample=500)
+    truth = vector.knn_exact(index, queries, k=5).select("query_id", "doc_id").cache()
+    found = vector.knn_ivf(index, cents, queries, k=5, candidates=candidates)
+    recall = found.join(truth, ["query_id", "doc_id"]).count() / truth.count()
+    assert recall >= 0.9 and candidates < index.count()
