@@ -64,6 +64,17 @@ def test_matches_all_windows_of_brute_force(table, words):
     assert len(brute(docs, items)) > 20
 
 
+def test_runs_of_one_word_are_compared(table, words):
+    rng = random.Random(9)
+    items, docs = [], []
+    for i in range(12):  # 160 shingles shared, 16 equal and 4 mixed ones differ on each side: similarity 0.8
+        same = [f"{w}{j}" for j, w in enumerate(words(164, 50 + i))]
+        items.append((i, " ".join(same + [f"run{i}"] * 20)))
+        docs.append((i, " ".join(words(rng.randint(0, 9), 90 + i) + same + [f"other{i}"] * 20)))
+    found = got(similar_windows(table(docs), table(items, "item_id bigint, text string", 1)))
+    assert found == brute(docs, items) and len(found) == 12 and {f[3:] for f in found} == {(160, 200)}
+
+
 def test_blocks_hold_every_pair_within_the_radius():
     rng = random.Random(1)
     values = set(block_values(23))
