@@ -7,16 +7,17 @@ earlier: in a document of a smaller id, or earlier in the same document.
    ``LENGTH - GRAM + 1`` grams the smallest hash is the trigger. The strings that share a
    trigger form one phrase: the bytes that they cover. A string's trigger depends on its own
    bytes alone, so equal strings lie at the same place of phrases with the same trigger.
-2. *Parse order.* Phrases are dealt out by trigger and sorted by (trigger, content, document,
-   place). A phrase that is not the first of its content is repeated as a whole. A phrase
-   whose trigger is unique holds no repeated string and ends here.
-3. *Dictionary order.* First phrases whose trigger also heads other contents may share some
-   of their strings. Only their suffixes are ordered, by (first ``LENGTH`` bytes, document,
-   place); all but the first of equal ones are repeated.
+2. *Phrases.* They are dealt out by trigger and grouped by (trigger hash, content hash). All but
+   the first of a group by (document, place) are repeated as a whole. A phrase whose trigger is
+   unique holds no repeated string and ends here.
+3. *Windows.* First phrases whose trigger also heads other contents may share some of their
+   strings. Only their ``LENGTH``-byte windows are grouped, by a 64-bit hash; all but the first of
+   a group by (document, place) are repeated.
 4. Each document's repeated strings are merged and cut out.
 
-Sorting stops at depth ``LENGTH``, where the order of suffixes ceases to matter, and
-compares 64-bit hashes of the bytes (by prefix doubling) instead of the bytes.
+This stands in place of suffix arrays of dictionary and parse, which are neither built nor merged:
+only equality to depth ``LENGTH`` and the first place of a string decide, not the order of
+suffixes. Hashes of the bytes are made by prefix doubling, and compared instead of the bytes.
 Each task first merges what it has itself, and a trigger that heads very many
 contents in one task goes to step 3 at once, so a common passage adds few rows per task.
 
