@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from archivesearch.llm.common import documents
 from archivesearch.llm.decontaminate import similar_windows
 from archivesearch.llm.exact_dedup import exact_dedup
+from archivesearch.llm.filter_audit import corpus_masks, filter_audit, mask_cells
 from archivesearch.llm.html_extract import extract
 from archivesearch.llm.lm_score import backoff_scores
 from archivesearch.llm.ngram_join import jaccard_components
 from archivesearch.llm.packing import pack, tokenised_pieces
 from archivesearch.llm.secrets import find_secrets, joined
+from archivesearch.llm.seed_extend import cut_repeats
 from archivesearch.llm.sharding import shard_rows
 from archivesearch.llm.suffix_dedup import remove_repeats
 from archivesearch.llm.toxicity import held_out, score, train
+from archivesearch.llm.whitening import whiten
 
 SHARDS = 40
 CAPACITY = 4096
@@ -90,6 +93,21 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = corpus_masks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return filter_audit(mask_cells(masks))
+
+
+def op12_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ring_sharding": op1_ring_sharding,
     "op2_jaccard_join": op2_jaccard_join,
@@ -101,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_stateful_dedup": op8_stateful_dedup,
     "op9_nb_toxicity": op9_nb_toxicity,
     "op10_style_tree": op10_style_tree,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_seed_extend": op12_seed_extend,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -165,4 +186,43 @@ WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
            FROM documents),
 g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY h)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM n JOIN g USING (h)""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY 1),
+e AS (SELECT t, min(doc_id) AS first FROM d GROUP BY 1),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+  + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN first < doc_id THEN 16 ELSE 0 END AS mask
+  FROM w JOIN e USING (t) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM m GROUP BY 1, 2),
+f(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT v.l || w.l || x.l || y.l || z.l AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits
+  FROM f v, f w, f x, f y, f z WHERE v.b | w.b | x.b | y.b | z.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+  FROM o, unnest(range(1, 6)) AS r(step)),
+r AS (SELECT part, filter_order, step, bit,
+  sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r""",
+    "op12_seed_extend": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p,
+  unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS s FROM d WHERE len(w) >= 13),
+f AS (SELECT s, min(doc_id) AS first FROM g GROUP BY 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i FROM g JOIN f USING (s) WHERE first < doc_id),
+u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM d),
+k AS (SELECT u.doc_id, count(c.i) AS removed, string_agg(x, ' ' ORDER BY u.i) FILTER (WHERE c.i IS NULL) AS kept
+  FROM u LEFT JOIN c ON c.doc_id = u.doc_id AND c.i = u.i GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
 }
