@@ -44,6 +44,7 @@ LENGTH, SEED = 13, 5
 REACH = LENGTH - SEED  # words beside an anchor, to one side, that a window can hold
 CHUNK = 1 << 20
 ANCHORS = "seed bigint, full bigint, id bigint, body bigint, place bigint, known boolean"
+NAMES = ["key", "id", "body", "start", "before", "todo", "a", "b", "ctx"]
 LIVE = "key bigint, id bigint, body bigint, start bigint, before int, todo int, a int, b int, ctx binary"
 RESULT = "id bigint, doc_id bigint, n_words bigint, removed array<struct<start:bigint,end:bigint>>, kept string"
 
@@ -110,8 +111,15 @@ def known_rows(seed: np.ndarray, full: np.ndarray, ids: np.ndarray) -> np.ndarra
     return mask
 
 
-def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows."""
     for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
         ids, bodies = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
         out = []
         for first, words, counts in word_blocks(batch.column(2).to_pylist()):
@@ -133,60 +141,54 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The word hashes of the windows that each wanted anchor stands for (see :data:`LIVE`)."""
-    for batch in batches:
-        ids, bodies, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
-        rows: list[tuple] = []
+    for batch in slices(batches):
+        ids, bodies = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        many = batch.column(3).value_lengths().to_numpy()
+        upto = np.append(0, np.cumsum(many))
+        wanted = batch.column(3).flatten()
+        seed, place, leads = (wanted.field(n) for n in ("seed", "place", "leads"))
+        place = place.to_numpy()
         for first, words, counts in word_blocks(batch.column(2).to_pylist()):
-            offset = np.cumsum(counts) - counts
-            for t in range(len(counts)):
-                for w in wanted[first + t]:
-                    start, before, windows = w["place"] >> 8, (w["place"] >> 4) & 15, w["place"] & 15
-                    at = offset[t] + start
-                    rows.append((w["seed"], ids[first + t], bodies[first + t], start, before, (1 << windows) - 1, 0, 0,
-                                 words[at:at + windows + LENGTH - 1].tobytes(), w["leads"]))
-            if len(rows) >= 1 << 14:
-                yield live_batch(rows, leads=True)
-                rows = []
-        if rows:
-            yield live_batch(rows, leads=True)
-
-
-LIVE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-
-
-def live_batch(rows: list[tuple], leads: bool = False) -> pa.RecordBatch:
-    names = [c.split()[0] for c in LIVE.split(", ")] + ["leads"] * leads
-    kinds = (*LIVE_TYPES, pa.bool_())[:len(names)]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            lo, hi = upto[first], upto[first + len(counts)]
+            text = np.repeat(np.arange(len(counts)), many[first:first + len(counts)])
+            start, before, windows = place[lo:hi] >> 8, place[lo:hi] >> 4 & 15, place[lo:hi] & 15
+            size = windows + LENGTH - 1
+            end = np.cumsum(size)
+            at = np.repeat((np.cumsum(counts) - counts)[text] + start - (end - size), size) + np.arange(size.sum())
+            ctx = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((8 * np.append(0, end)).astype(np.int32).tobytes()),
+                                                               pa.py_buffer(words[at].tobytes())])
+            nought = np.zeros(hi - lo, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [seed.slice(lo, hi - lo), *map(pa.array, (ids[first + text], bodies[first + text], start, before.astype(np.int32),
+                 ((1 << windows) - 1).astype(np.int32), nought, nought)), ctx, leads.slice(lo, hi - lo)], names=[*NAMES, "leads"])
 
 
-def aligned(ctx: list[bytes], before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def aligned(ctx: pa.Array, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words as rows of a matrix in which all anchors stand at column ``REACH``, and a mask of the words there are."""
-    size = np.fromiter((len(c) // 8 for c in ctx), np.int64, len(ctx))
+    offset = np.frombuffer(ctx.buffers()[1], np.int32)[ctx.offset:ctx.offset + len(ctx) + 1]
+    size = np.diff(offset) // 8
     row = np.repeat(np.arange(len(ctx)), size)
     column = np.arange(len(row)) + np.repeat(REACH - before - (np.cumsum(size) - size), size)
     words = np.zeros((len(ctx), LENGTH + REACH), dtype=U)
     there = np.zeros(words.shape, bool)
-    words[row, column], there[row, column] = np.frombuffer(b"".join(ctx), "<u8"), True
+    words[row, column] = np.frombuffer(ctx.buffers()[2], np.uint8)[offset[0]:offset[-1]].view("<u8")
+    there[row, column] = True
     return words, there
 
 
 def extended(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
     """Rows joined with the first row of their key: windows found in a smaller document (``ctx`` null, as
     ``todo``), and what is left of the row under a longer key."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, 4096):
         col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
         num = {n: col[n].to_numpy(zero_copy_only=False) for n in ("id", "body", "start", "before", "todo", "a", "b", "f_id", "f_before")}
-        ctx = col["ctx"].to_pylist()
-        mine, there = aligned(ctx, num["before"])
-        other, also = aligned(col["f_ctx"].to_pylist(), num["f_before"])
+        mine, there = aligned(col["ctx"], num["before"])
+        other, also = aligned(col["f_ctx"], num["f_before"])
         same = (mine == other) & there & also
         left = np.cumprod(same[:, REACH - 1::-1], axis=1).sum(axis=1)
         right = np.cumprod(same[:, REACH + SEED:], axis=1).sum(axis=1)
         met = same[:, REACH:REACH + SEED].all(axis=1) & (left >= num["a"]) & (right >= num["b"])  # else their hashes collide
-        found, to_left, to_right = (np.zeros(len(ctx), np.int32) for _ in range(3))
+        found, to_left, to_right = (np.zeros(len(mine), np.int32) for _ in range(3))
         for w in range(REACH + 1):
             bit = num["todo"] & (1 << w)
             o = num["before"] - w  # words of this window before the anchor
@@ -195,37 +197,42 @@ def extended(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.Record
             to_left |= np.where(~inside & (~met | (o > left)), bit, 0).astype(np.int32)
             to_right |= np.where(~inside & met & (o <= left), bit, 0).astype(np.int32)
         found = np.where(num["f_id"] < num["id"], found, 0)  # else no smaller document has them
-        salt = mix(np.full(1, turn + 1, dtype=U))
-        total = np.zeros((len(ctx), mine.shape[1] + 1), dtype=U)
+        total = np.zeros((len(mine), mine.shape[1] + 1), dtype=U)
         np.cumsum(mix(mine + np.arange(mine.shape[1], dtype=U) * ODD), axis=1, out=total[:, 1:])
-        rows: list[tuple] = []
+        salt = mix(np.full(1, turn + 1, dtype=U))
         hit = np.flatnonzero(found)
-        rows += zip([0] * len(hit), *(num[n][hit].tolist() for n in ("id", "body", "start", "before")), found[hit].tolist(),
-                    [0] * len(hit), [0] * len(hit), [None] * len(hit))
+        nought = np.zeros(len(hit), np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (nought.astype(np.int64), *(num[n][hit] for n in ("id", "body", "start", "before")), found[hit],
+                                   nought, nought)] + [pa.nulls(len(hit), pa.binary())], names=NAMES)
         for todo, a, b in ((to_left, np.where(met, left + 1, num["a"]), num["b"]), (to_right, num["a"], right + 1)):
             on = np.flatnonzero(todo)
             text = total[on, REACH + SEED + b[on]] - total[on, REACH - a[on]]
             key = mix(text + a[on].astype(U) * U(1 << 20) + b[on].astype(U) * U(1 << 30) + salt).view(np.int64)
-            rows += zip(key.tolist(), *(num[n][on].tolist() for n in ("id", "body", "start", "before")), todo[on].tolist(),
-                        a[on].tolist(), b[on].tolist(), [ctx[r] for r in on])
-        if rows:
-            yield live_batch(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (key, *(num[n][on] for n in ("id", "body", "start", "before")), todo[on],
+                                       a[on].astype(np.int32), b[on].astype(np.int32))] + [col["ctx"].take(pa.array(on))], names=NAMES)
 
 
 def resolve(live: DataFrame) -> DataFrame:
     """``(id, body, start, todo)``: of the rows of ``live`` (see :data:`LIVE`, and ``leads``: the first of its
-    key), the windows that a document with a smaller id has."""
+    key), the windows that a document with a smaller id has.
+
+    From the second round on, rows whose key is in one document only leave before their words move."""
     found, lead = None, live.where("leads")
     for turn in range(4 * LENGTH):
         first = stage(lead.groupBy("key").agg(F.min(F.struct("id", "body", "start", "before", "ctx")).alias("f")).select(
             "key", F.col("f.id").alias("f_id"), F.col("f.before").alias("f_before"), F.col("f.ctx").alias("f_ctx")), "leads")
-        out = stage(live.join(first, "key").select(*[c.split()[0] for c in LIVE.split(", ")], "f_id", "f_before", "f_ctx")
+        out = stage(live.join(first, "key").select(*NAMES, "f_id", "f_before", "f_ctx")
                     .mapInArrow(lambda it, turn=turn: extended(it, turn), LIVE), f"extended{turn}")
         hits = out.where("ctx IS NULL").select("id", "body", "start", "todo")
         found = hits if found is None else found.unionAll(hits)
-        live = lead = out.where("ctx IS NOT NULL")
-        if live.isEmpty():
+        left = out.where("ctx IS NOT NULL")
+        shared = stage(left.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+                       .select("key"), "shared")
+        if shared.isEmpty():
             return found
+        live = lead = stage(left.join(shared, "key", "left_semi"), f"live{turn}")
     raise RuntimeError("windows are left after all rounds")
 
 
