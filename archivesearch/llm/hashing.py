@@ -30,8 +30,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def hashed_words(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the ASCII-white-space-separated words of all texts, and the number of each text's words."""
+def hashed_spans(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the ASCII-white-space-separated words of all texts: hashes, first and last place (exclusive) in the joined bytes,
+    those bytes, and the number of each text's words."""
     bodies = [t.encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b" ".join([b"", *bodies, b""]), dtype=np.uint8)
     if lower:
@@ -44,7 +45,13 @@ def hashed_words(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.n
     np.cumsum((raw.astype(U) + U(1)) * up, out=total[1:])
     words = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U) * ODD)
     edges = np.cumsum([1, *(len(b) + 1 for b in bodies)])
-    return words, np.diff(np.searchsorted(starts, edges))
+    return words, starts, ends, raw, np.diff(np.searchsorted(starts, edges))
+
+
+def hashed_words(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ASCII-white-space-separated words of all texts, and the number of each text's words."""
+    words, _, _, _, counts = hashed_spans(texts, lower)
+    return words, counts
 
 
 def sequences(words: np.ndarray, k: int) -> np.ndarray:

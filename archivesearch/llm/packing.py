@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences, by hierarchical residual packing.
 
-1. Documents are tokenised in Arrow batches; a document longer than ``capacity``
-   is cut into pieces of that length.
+1. Documents are tokenised in Arrow batches, each distinct word of a chunk once; a document longer
+   than ``capacity`` is cut into pieces of that length.
 2. Pieces are dealt by hash into groups of about ``group_items`` and each group
    is packed best-fit decreasing. Bins at least ``full`` of the capacity are
    final; the others go up the tree as items of their fill.
@@ -29,57 +29,116 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivesearch.llm.common import stage, text_or_empty
+from archivesearch.llm.hashing import hashed_spans
 
 PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
-_WORDS: dict[tuple[str, int], tuple[object, dict[bytes, bytes]]] = {}
+WIDTH = 8  # ids of a word that the table of words holds; longer words are encoded anew in each chunk
 
 
-def word_cache(tokenizer_path: str) -> tuple[object, dict[bytes, bytes]]:
-    """The tokenizer and the ids of words met so far, once per Python worker."""
-    key = (tokenizer_path, os.getpid())
-    if key not in _WORDS:
+class WordIds:
+    """The ids of words by a 64-bit hash of the word: a table of ``2**bits`` rows (25 bytes each, 41 for vocabularies
+    beyond 65,536), in which a word takes the place of one with equal last bits of the hash."""
+
+    def __init__(self, tokenizer_path: str, bits: int = 21) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _WORDS[key] = (Tokenizer.from_file(tokenizer_path), {})
-    return _WORDS[key]
-
-
-def encode_words(tokenizer: object, words: list[str]) -> list[bytes]:
-    """Ids of each word, from one call over all of them."""
-    encoded = tokenizer.encode(" ".join(words), add_special_tokens=False)
-    ids = np.array(encoded.ids, dtype="<u4").tobytes()
-    starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.offsets))
-    to = (4 * np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))).tolist()
-    return [ids[a:b] for a, b in zip([0, *to], to)]
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.last = np.uint64((1 << bits) - 1)
+        self.key = np.zeros(1 << bits, dtype=np.uint64)
+        self.size = np.zeros(1 << bits, dtype=np.int8)
+        self.ids = np.zeros((1 << bits, WIDTH), dtype="<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has; one call over all of them."""
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.offsets))
+        to = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))
+        return np.array(encoded.ids, dtype="<u4"), np.diff(to, prepend=0)
+
+    def of(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each has. ``starts`` and ``ends``: the words' places in ``raw``."""
+        slot = (keys & self.last).astype(np.int64)
+        known = (self.key[slot] == keys) & (self.size[slot] > 0)
+        size = np.where(known, self.size[slot], 0).astype(np.int64)
+        new = np.flatnonzero(~known)
+        fresh = np.empty(0, "<u4")
+        if len(new):
+            fresh, size[new] = self.encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+        first = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), dtype="<u4")
+        old = np.flatnonzero(known)
+        row, column = _expand(size[old])
+        ids[first[old][row] + column] = self.ids[slot[old][row], column]
+        row, column = _expand(size[new])
+        ids[first[new][row] + column] = fresh
+        short = new[(size[new] > 0) & (size[new] <= WIDTH)]
+        for k in range(WIDTH):
+            some = short[size[short] > k]
+            self.ids[slot[some], k] = ids[first[some] + k]
+        self.key[slot[short]], self.size[slot[short]] = keys[short], size[short]
+        # two new words of one place: the last one's key stays, so its ids must
+        clash = short[self.key[slot[short]] != keys[short]]
+        self.size[slot[clash]] = 0
+        return ids, size
+
+
+def _expand(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, place in the row)`` of every element of rows of the given sizes."""
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+
+
+_TOKENIZERS: dict[tuple[str, int], WordIds] = {}
+
+
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One table in a Python worker."""
+    key = (tokenizer_path, os.getpid())
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = WordIds(tokenizer_path)
+    return _TOKENIZERS[key]
 
 
-def encode_texts(texts: list[str], tokenizer_path: str, cache_words: int = 1_200_000) -> list[bytes]:
+def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit integers.
 
-    The tokenizer's rules never join characters across ASCII white space, so a
-    text's ids are those of its white-space-separated words; words that recur
-    are looked up. Up to ``cache_words`` words (about 250 MB) stay in a worker.
+    The tokenizer's rules never join characters across ASCII white space, so a text's ids are
+    those of its white-space-separated words. Equal words of the texts meet by their 64-bit hashes.
     """
-    tokenizer, known = word_cache(tokenizer_path)
-    split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-    if len(known) > cache_words:
-        known.clear()
-    new = list({w for words in split for w in words if w not in known})
-    if new:
-        known.update(zip(new, encode_words(tokenizer, [w.decode("utf-8", "replace") for w in new])))
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+    if not texts:
+        return []
+    words, starts, ends, raw, counts = hashed_spans(texts, lower=False)
+    keys, first, which = np.unique(words, return_index=True, return_inverse=True)
+    ids, size = word_ids(tokenizer_path).of(keys, starts[first], ends[first], raw.tobytes())
+    at = (np.cumsum(size) - size)[which]
+    row, column = _expand(size[which])
+    flat = ids[at[row] + column].tobytes()
+    upto = np.append(0, np.cumsum(size[which]))[np.append(0, np.cumsum(counts))].tolist()
+    return [flat[4 * a:4 * b] for a, b in zip(upto, upto[1:])]
+
+
+def chunks(texts: list[str], size: int = 1 << 21) -> Iterator[slice]:
+    """Runs of texts of about ``size`` characters."""
+    at = 0
+    while at < len(texts):
+        to, n = at, 0
+        while to < len(texts) and (to == at or n + len(texts[to]) < size):
+            n += len(texts[to])
+            to += 1
+        yield slice(at, to)
+        at = to
 
 
 def cut_pieces(batches: Iterator[pa.RecordBatch], tokenizer_path: str, capacity: int, end_id: int,
                ) -> Iterator[pa.RecordBatch]:
     end = array("I", [end_id]).tobytes()
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for part in chunks(texts):
             rows = []
-            for doc, ids in zip(part.column(0).to_pylist(), encode_texts(part.column(1).to_pylist(), tokenizer_path)):
+            for doc, ids in zip(docs[part], encode_texts(texts[part], tokenizer_path)):
                 ids += end
                 for k, b in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[b:b + 4 * capacity]

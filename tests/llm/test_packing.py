@@ -74,3 +74,29 @@ def test_best_fit_takes_the_tightest_bin(seed):
         assert o == 50 - rooms.get(b, 50)
         rooms[b] = rooms.get(b, 50) - n
     assert max(fill) <= 50
+
+
+def test_a_small_table_of_words_gives_the_same_ids(monkeypatch):
+    """With 8 rows nearly every word displaces another; long words never enter."""
+    from tokenizers import Tokenizer
+
+    from archivesearch.llm import packing
+
+    rng = random.Random(8)
+    pool = ["".join(rng.choices("abcdeé", k=rng.randint(1, 9))) for _ in range(60)] + ["x" * 200, "12345678901234567890"]
+    small = packing.WordIds(tokenizer_path(), bits=3)
+    monkeypatch.setattr(packing, "word_ids", lambda path: small)
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    for _ in range(30):
+        texts = [" ".join(rng.choices(pool, k=rng.randint(0, 25))) for _ in range(5)]
+        want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert encode_texts(texts, tokenizer_path()) == want
+
+
+def test_clashing_columns_and_very_long_text(spark, table, words):
+    long = " ".join(words(150_000, 3))
+    docs = table([(1, long, 4, "z", 5, 6), (2, "a b", 4, "z", 5, 6)],
+                 "doc_id bigint, text string, piece int, grp string, length int, bin bigint")
+    placed = pack(tokenised_pieces(docs, tokenizer_path(), 4096), 4096).collect()
+    check(placed, 4096)
+    assert sum(r.length for r in placed if r.id == 1) == len(encode_texts([long], tokenizer_path())[0]) // 4 + 1
