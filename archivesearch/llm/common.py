@@ -55,6 +55,18 @@ def settings(spark: SparkSession, **conf: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows, unless the session has a setting of its own.
+
+    A batch is held by the executor and by its Python worker, with what the worker returns; 10,000 rows, the
+    usual setting, are about 35 MB of documents each time."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

@@ -61,7 +61,10 @@ def observe(spark: SparkSession, arrivals: DataFrame, state_dir: str) -> DataFra
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "locator")).alias("first"),
         F.count(F.lit(1)).alias("n"))
     with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-                  spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false"):
+                  spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
+                  # memory of all of an executor's state partitions together, outside its heap
+                  spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
+                  spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="128"):
         query = (held.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", state_dir).trigger(availableNow=True).start())
         query.awaitTermination()

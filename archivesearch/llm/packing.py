@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import stage, text_or_empty
+from archivesearch.llm.common import small_batches, stage, text_or_empty
 from archivesearch.llm.hashing import hashed_spans
 
 PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -151,6 +151,7 @@ def cut_pieces(batches: Iterator[pa.RecordBatch], tokenizer_path: str, capacity:
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1,
                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("bigint").alias("id"), text_or_empty(text).alias("body")).mapInArrow(
         lambda it: cut_pieces(it, tokenizer_path, capacity, end_id), PIECES)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import stage, text_or_empty
+from archivesearch.llm.common import small_batches, stage, text_or_empty
 from archivesearch.llm.hashing import ODD, U, hashed_words, mix, sequences
 
 LENGTH, SEED = 13, 5
@@ -271,6 +271,7 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row of ``docs``: ``doc_id``, ``n_words``, the ``removed`` maximal runs of words and the ``kept`` text."""
+    small_batches(docs.sparkSession)
     own = F.col(doc_id).cast("bigint")
     rows = docs.select(F.coalesce(own, F.lit(-(1 << 63))).alias("id"), own.alias("doc_id"), text_or_empty(text).alias("text"))
     alone = rows.groupBy("id").count().where("count > 1").isEmpty()

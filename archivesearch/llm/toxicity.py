@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import stage, text_or_empty
+from archivesearch.llm.common import small_batches, stage, text_or_empty
 
 BITS = 18
 MIN_N, MAX_N = 3, 6
@@ -221,6 +221,7 @@ def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, doc_id: str = "doc_id",
           text: str = "text", label: str = "toxic", sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on at most ``per_class`` labelled rows of each class, of ``sample_bytes`` of text together."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1)).select(
         F.col(doc_id).cast("bigint").alias("__id"), F.col(label).cast("int").alias("__toxic"))
     totals = {r[0]: r[1] for r in known.groupBy("__toxic").count().collect()}
@@ -272,6 +273,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     """``docs`` with the probability, 0 to 1, of being toxic, in place of a column ``into``. Text is the only input."""
     if into in docs.columns and into != text:
         docs = docs.drop(into)
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
     names = docs.columns
 
