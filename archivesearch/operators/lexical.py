@@ -60,8 +60,12 @@ def search_keyword(keywords: DataFrame, query_ngrams: DataFrame,
     ``keywords`` is the sorted set of matched texts (X6) and rank is 1..k,
     ordered by round(ln(score), 9) descending, then doc_id.
     """
-    m = distinct_matches(match_ngrams(keywords, query_ngrams))
-    agg = (m.withColumn("recip", tolerant_reciprocal(F.col("score")))
+    return score_matches(match_ngrams(keywords, query_ngrams), params)
+
+
+def score_matches(matches: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
+    """L1 from X5 on, for matched keyword rows ``(query_id, doc_id, result, score)``."""
+    agg = (distinct_matches(matches).withColumn("recip", tolerant_reciprocal(F.col("score")))
            .groupBy("query_id", "doc_id")
            .agg(F.sum("recip").alias("score"),
                 F.sort_array(F.collect_set("result")).alias("keywords"))
@@ -91,7 +95,6 @@ def search_phrase_bm25(keywords: DataFrame, query_ngrams: DataFrame,
     score = sum_q idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)).
     Returns (query_id, doc_id, score, rank) with rank 1..k.
     """
-    k1, b = params.bm25_k1, params.bm25_b
     kw = keywords.select("doc_id", "result",
                          F.size(F.split(F.col("result"), " ")).alias("ntok"))
     dl = kw.groupBy("doc_id").agg(F.sum("ntok").alias("dl"))
@@ -102,10 +105,14 @@ def search_phrase_bm25(keywords: DataFrame, query_ngrams: DataFrame,
     hits = sub_phrases(kw).join(q, "phrase")
     tf = hits.groupBy("query_id", "phrase", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
     dfq = tf.groupBy("query_id", "phrase").agg(F.count(F.lit(1)).alias("df"))
+    return bm25_top_k(tf.join(dfq, ["query_id", "phrase"]).join(dl, "doc_id"), n_docs, avgdl, params)
+
+
+def bm25_top_k(hits: DataFrame, n_docs: Column, avgdl: Column, params: SearchParams = SearchParams()) -> DataFrame:
+    """The k best documents of each query by the sum of BM25 over ``hits(query_id, doc_id, tf, df, dl)``."""
+    k1, b, tf = params.bm25_k1, params.bm25_b, F.col("tf").cast("double")
     idf = F.ln(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    tfc = F.col("tf").cast("double")
-    part = (tf.join(dfq, ["query_id", "phrase"]).join(dl, "doc_id")
-            .select("query_id", "doc_id",
-                    (idf * tfc * (k1 + 1) / (tfc + k1 * (1 - b + b * F.col("dl") / avgdl))).alias("s")))
+    part = hits.select("query_id", "doc_id",
+                       (idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))).alias("s"))
     scored = part.groupBy("query_id", "doc_id").agg(F.sum("s").alias("score"))
     return top_k_per_query(scored, params.k, "score", descending=True)

@@ -178,6 +178,7 @@ def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ search
 
+from archivesearch.operators import collection as coll  # noqa: E402
 from archivesearch.operators import embeddings as emb  # noqa: E402
 from archivesearch.operators import fusion, lexical  # noqa: E402
 from archivesearch.session import materialize  # noqa: E402
@@ -195,6 +196,23 @@ def _all_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.extract_keywords(_docs(spark, sf_dir), KP)
 
 
+_BUILT: dict[tuple, coll.Collection] = {}
+
+
+def stored_collection(spark: SparkSession, sf_dir: str) -> coll.Collection:
+    """The collection of all documents of ``sf_dir``, built once in an application and then searched."""
+    key = (spark.sparkContext.applicationId, *sorted(tables.table(spark, sf_dir, "documents").inputFiles()))
+    if key not in _BUILT:
+        _BUILT[key] = build_collection(spark, sf_dir)
+    return _BUILT[key]
+
+
+def build_collection(spark: SparkSession, sf_dir: str) -> coll.Collection:
+    d = tables.articles(spark, sf_dir, prefilter=False)
+    return coll.add_articles(coll.create_collection(spark, buckets=8), d.withColumn("is_article", tables.article_filter()),
+                             _word_vectors(spark, sf_dir), KP)
+
+
 def _query_ngrams(spark: SparkSession, sf_dir: str, cleaned: bool = False) -> DataFrame:
     return kw.query_keywords(_queries(spark, sf_dir, cleaned), KP).select("query_id", "result")
 
@@ -214,28 +232,16 @@ def _word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.hashed_word_vectors(words, WV_DIM)
 
 
-def _doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.article_texts(spark, sf_dir)
-    v = emb.embed_from_table(docs, _word_vectors(spark, sf_dir))
-    return materialize(v.where(F.col("embedding").isNotNull()))
-
-
-def _query_text_vectors(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
-    q = _queries(spark, sf_dir, cleaned)
-    v = emb.embed_from_table(q, _word_vectors(spark, sf_dir), id_col="query_id")
-    return materialize(v.where(F.col("embedding").isNotNull()))
-
-
 def _vector_arm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector.knn_exact(_doc_vectors(spark, sf_dir), _query_text_vectors(spark, sf_dir), k=P.k)
+    return coll.search_vector(stored_collection(spark, sf_dir), _queries(spark, sf_dir, True), P)
 
 
 def _keyword_arm(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
-    return lexical.search_phrase_bm25(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir, cleaned), P)
+    return coll.search_phrase(stored_collection(spark, sf_dir), _query_ngrams(spark, sf_dir, cleaned), P)
 
 
 def _hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fusion.hybrid(_vector_arm(spark, sf_dir), _keyword_arm(spark, sf_dir), P)
+    return coll.search_hybrid(stored_collection(spark, sf_dir), _queries(spark, sf_dir, True), P, KP)
 
 
 def _emit_fused(df: DataFrame) -> DataFrame:
@@ -292,14 +298,33 @@ def reciprocal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("search_keyword")
 def search_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    r = coll.search_keyword(stored_collection(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
     return r.select("query_id", "doc_id", _r6(F.col("ln_score")).alias("ln_score"),
                     F.array_join("keywords", "|").alias("keywords"), "rank")
 
 
+@register("collection_build")
+def collection_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection built anew: documents with keywords and their keyword tokens, of articles and of the rest."""
+    c = build_collection(spark, sf_dir)
+    return c.table("totals").withColumn("is_article", F.lit(True)).unionByName(
+        c.table("totals", articles=False).withColumn("is_article", F.lit(False))).groupBy("is_article").agg(
+        F.sum("n_docs").alias("n_docs"), F.sum("dl").alias("dl"))
+
+
+@register("collection_postings")
+def collection_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_collection(spark, sf_dir).table("postings").select("phrase", "doc_id", "tf", "dl")
+
+
+@register("collection_phrases")
+def collection_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_collection(spark, sf_dir).table("phrases").groupBy("phrase").agg(F.sum("n").alias("df"))
+
+
 @register("topk_per_query")
 def topk_per_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    r = coll.search_keyword(stored_collection(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
     return r.select("query_id", "doc_id", "rank")
 
 
@@ -313,7 +338,7 @@ def topk_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("search_phrase_bm25")
 def search_phrase_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = lexical.search_phrase_bm25(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir), P)
+    r = _keyword_arm(spark, sf_dir, cleaned=False)
     return r.select("query_id", "doc_id", _r6(F.col("score")).alias("score"), "rank")
 
 
@@ -378,7 +403,7 @@ def search_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("rrf_three_arms")
 def rrf_three_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kw_l1 = lexical.search_keyword(_kw_store(spark, sf_dir), _query_ngrams(spark, sf_dir, True), P)
+    kw_l1 = coll.search_keyword(stored_collection(spark, sf_dir), _query_ngrams(spark, sf_dir, True), P)
     r = fusion.rrf([(_vector_arm(spark, sf_dir), "vs_score", P.vector_penalty),
                     (_keyword_arm(spark, sf_dir), "kw_score", P.keyword_penalty),
                     (kw_l1, "l1_score", P.keyword_penalty)], P.k)
@@ -395,7 +420,7 @@ from archivesearch.operators import results as res  # noqa: E402
 
 @register("fetch_ranked")
 def fetch_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = res.fetch_ranked(tables.articles(spark, sf_dir), _hybrid(spark, sf_dir))
+    f = res.fetch_ranked(stored_collection(spark, sf_dir).table("texts"), _hybrid(spark, sf_dir))
     return f.select("query_id", "rank", "doc_id", "record_title", "publisher")
 
 
@@ -408,13 +433,12 @@ def fusion_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("search_results")
 def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return res.search_results(tables.articles(spark, sf_dir), _hybrid(spark, sf_dir),
-                              tables.query_texts(spark, sf_dir))
+    return coll.search(stored_collection(spark, sf_dir), tables.query_texts(spark, sf_dir), P, KP).rows
 
 
 @register("query_status")
 def query_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return res.query_status(tables.query_texts(spark, sf_dir), _hybrid(spark, sf_dir))
+    return coll.search(stored_collection(spark, sf_dir), tables.query_texts(spark, sf_dir), P, KP).status
 
 
 @register("annotate_articles")

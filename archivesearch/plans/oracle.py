@@ -335,8 +335,7 @@ ORDER BY round(ln_score, 9), id, result LIMIT 5
 """
 
 
-def _bm25_sql(qn: str) -> str:
-    return f"""{qn},
+_SUB_PHRASES = """
 bkw AS (SELECT id AS doc_id, result, string_split(result, ' ') AS w FROM k_top),
 bdl AS (SELECT doc_id, sum(len(w)) AS dl FROM bkw GROUP BY doc_id),
 bst AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs, avg(dl) AS avgdl FROM bdl),
@@ -345,7 +344,12 @@ bsp AS (SELECT doc_id, w[1] AS phrase FROM bkw
         UNION ALL SELECT doc_id, w[3] FROM bkw WHERE len(w) >= 3
         UNION ALL SELECT doc_id, w[1] || ' ' || w[2] FROM bkw WHERE len(w) >= 2
         UNION ALL SELECT doc_id, w[2] || ' ' || w[3] FROM bkw WHERE len(w) >= 3
-        UNION ALL SELECT doc_id, w[1] || ' ' || w[2] || ' ' || w[3] FROM bkw WHERE len(w) >= 3),
+        UNION ALL SELECT doc_id, w[1] || ' ' || w[2] || ' ' || w[3] FROM bkw WHERE len(w) >= 3)"""
+
+
+def _bm25_sql(qn: str) -> str:
+    return f"""{qn},
+{_SUB_PHRASES},
 btf AS (SELECT qn.query_id, bsp.phrase, bsp.doc_id, count(*) AS tf
         FROM bsp JOIN qn ON qn.result = bsp.phrase GROUP BY qn.query_id, bsp.phrase, bsp.doc_id),
 bdf AS (SELECT query_id, phrase, count(*) AS df FROM btf GROUP BY query_id, phrase),
@@ -359,6 +363,24 @@ bm25 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
                         FROM bsum) WHERE rk <= 5)"""
 
 
+ORACLE["collection_postings"] = f"""
+WITH {_KS}, {_SUB_PHRASES}
+SELECT phrase, bsp.doc_id, count(*) AS tf, CAST(any_value(dl) AS BIGINT) AS dl FROM bsp JOIN bdl ON bdl.doc_id = bsp.doc_id
+GROUP BY phrase, bsp.doc_id
+"""
+
+ORACLE["collection_phrases"] = f"""
+WITH {_KS}, {_SUB_PHRASES}
+SELECT phrase, count(DISTINCT doc_id) AS df FROM bsp GROUP BY phrase
+"""
+
+ORACLE["collection_build"] = f"""
+WITH {_KA}
+SELECT lang = 'en' AS is_article, count(DISTINCT doc_id) AS n_docs,
+       CAST(sum(len(string_split(k_top.result, ' '))) AS BIGINT) AS dl
+FROM k_top JOIN documents ON doc_id = id GROUP BY 1
+"""
+
 ORACLE["search_phrase_bm25"] = f"""
 WITH {_KS}, {_QS}, {_bm25_sql(_QN)}
 SELECT query_id, doc_id, round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM bm25
