@@ -457,6 +457,7 @@ from archivesearch.session import scratch_path  # noqa: E402
 from archivesearch.sources import archives as arc  # noqa: E402
 from archivesearch.sources import sinks  # noqa: E402
 from archivesearch.sources import xml as xmlsrc  # noqa: E402
+from archivesearch.sources import zip_source as zipsrc  # noqa: E402
 from archivesearch.streaming import ingest as stream_ingest  # noqa: E402
 
 # sampling is the feature of one query: a sample smaller than the archive set, so
@@ -490,8 +491,19 @@ def _archives(spark: SparkSession, sf_dir: str, **kw_) -> DataFrame:
     return arc.build_archives(_records(spark, sf_dir, **kw_))
 
 
+def _archive_folder(spark: SparkSession, sf_dir: str, **kw_) -> str:
+    """The archives as zip files in the shared folder."""
+    folder = scratch_path(spark, "archives")
+    zipsrc.write_archives(_archives(spark, sf_dir, **kw_), folder)
+    return folder
+
+
+def _entries(spark: SparkSession, sf_dir: str, **kw_) -> DataFrame:
+    return zipsrc.read_entries(spark, _archive_folder(spark, sf_dir, **kw_))
+
+
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arc.list_members(_archives(spark, sf_dir))
+    return _entries(spark, sf_dir).where("error IS NULL").select("zip_file", "member")
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,11 +512,10 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed_batches(spark: SparkSession, sf_dir: str, **kw_) -> DataFrame:
-    archives = materialize(_archives(spark, sf_dir, **kw_))
-    s = sampling.assign_batches(sampling.all_members(arc.list_members(archives)), BATCH)
-    ex = arc.extract_members(archives, s.select("zip_file", "member"))
-    ex = ex.join(s.select("zip_file", "member", "batch_no"), ["zip_file", "member"])
-    return xmlsrc.parse_records(ex)
+    entries = materialize(_entries(spark, sf_dir, **kw_))
+    s = sampling.assign_batches(sampling.all_members(entries.select("zip_file", "member")), BATCH)
+    chosen = entries.join(s.select("zip_file", "member", "batch_no"), ["zip_file", "member"])
+    return xmlsrc.parse_records(zipsrc.read_records(chosen))
 
 
 @register("archive_members")
@@ -530,17 +541,14 @@ def first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("archive_extract")
 def archive_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = _archives(spark, sf_dir)
-    ex = arc.extract_members(archives, arc.list_members(archives))
+    ex = zipsrc.read_records(_entries(spark, sf_dir))
     return ex.select("zip_file", "member",
                      F.regexp_extract("xml", r"<RecordID>(\d+)</RecordID>", 1).cast("bigint").alias("doc_id"))
 
 
 @register("xml_records")
 def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = _archives(spark, sf_dir)
-    ex = arc.extract_members(archives, arc.list_members(archives))
-    good, _ = xmlsrc.split_rejects(xmlsrc.parse_records(ex))
+    good, _ = xmlsrc.split_rejects(xmlsrc.parse_records(zipsrc.read_records(_entries(spark, sf_dir))))
     return good.select("zip_file", "member", "doc_id", "record_title", "publisher", "alpha_pub_date",
                        F.array_join("object_type", "|").alias("object_type"),
                        F.md5("full_text").alias("text_md5"))
@@ -588,11 +596,10 @@ def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("incremental_ingest")
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = scratch_path(spark, "landing")
-    _archives(spark, sf_dir).write.parquet(landing)
+    landing = _archive_folder(spark, sf_dir)
     out = scratch_path(spark, "ingested")
-    stream_ingest.run_ingest(spark, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet",
-                             files_per_trigger=2, word_vectors=_word_vectors(spark, sf_dir))
+    stream_ingest.run_ingest(spark, landing, out, scratch_path(spark, "stream-ckpt"), files_per_trigger=2,
+                             word_vectors=_word_vectors(spark, sf_dir))
     arts = sinks.read_collection(spark, out + "/articles")
     return arts.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
                        F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))
