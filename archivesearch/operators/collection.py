@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from archivesearch.config import KeywordParams, SearchParams
 from archivesearch.functions import text as tx
 from archivesearch.operators import embeddings as emb
-from archivesearch.operators import fusion, lexical, results, vector
+from archivesearch.operators import ann, fusion, lexical, results, vector
 from archivesearch.operators import keywords as kw
 from archivesearch.session import scratch_path
 
@@ -184,17 +184,36 @@ def query_vectors(collection: Collection, queries: DataFrame) -> DataFrame:
     return emb.embed_from_table(queries, collection.table("words"), id_col="query_id").where("embedding IS NOT NULL")
 
 
-def search_vector(collection: Collection, queries: DataFrame, params: SearchParams = SearchParams(),
-                  articles: bool = True) -> DataFrame:
-    """V0 and V1: (query_id, doc_id, distance, rank)."""
-    return vector.knn_exact(collection.table("vectors", articles), query_vectors(collection, queries), k=params.k)
+def index_vectors(collection: Collection, cells: DataFrame | None = None, codebook: DataFrame | None = None, subspaces: int = 16,
+                  articles: bool = True) -> ann.VectorIndex:
+    """V3 of the stored vectors: a stored index with a trained model, or with given ``cells(cell, centroid)`` and
+    ``codebook(code, value)``. Vectors of later batches are added with ``ann.add_vectors``."""
+    index = ann.create_index(collection.spark, f"{collection._place('index', articles)}-{uuid.uuid4().hex}", collection.buckets)
+    vectors = collection.table("vectors", articles)
+    if cells is None or codebook is None:
+        ann.train_model(index, vectors, subspaces=subspaces)
+    else:
+        ann.give_model(index, cells, codebook, subspaces)
+    ann.add_vectors(index, vectors)
+    return index
+
+
+def search_vector(collection: Collection, queries: DataFrame, params: SearchParams = SearchParams(), articles: bool = True,
+                  index: ann.VectorIndex | None = None, scan: float = 0.1) -> DataFrame:
+    """V0 and V1, or V2 with an ``index`` and its share of codes to look at: (query_id, doc_id, distance, rank)."""
+    asked = query_vectors(collection, queries)
+    if index is not None:
+        return ann.search_index(index, asked, params.k, params.candidates, scan)
+    return vector.knn_exact(collection.table("vectors", articles), asked, k=params.k)
 
 
 def search_hybrid(collection: Collection, queries: DataFrame, params: SearchParams = SearchParams(),
-                  keyword_params: KeywordParams = KeywordParams(), articles: bool = True) -> DataFrame:
-    """F1 for ``queries(query_id, text)``: (query_id, doc_id, vs_score, kw_score, score, rank)."""
+                  keyword_params: KeywordParams = KeywordParams(), articles: bool = True,
+                  index: ann.VectorIndex | None = None, scan: float = 0.1) -> DataFrame:
+    """F1 for ``queries(query_id, text)``: (query_id, doc_id, vs_score, kw_score, score, rank). With an ``index`` the
+    vector arm re-ranks ``params.candidates`` of its codes."""
     ngrams = kw.query_keywords(queries, keyword_params).select("query_id", "result")
-    return fusion.hybrid(search_vector(collection, queries, params, articles),
+    return fusion.hybrid(search_vector(collection, queries, params, articles, index, scan),
                          search_phrase(collection, ngrams, params, articles), params)
 
 

@@ -29,22 +29,43 @@ dc AS (SELECT d.doc_id, d.emb, cents.cell,
 idx AS (SELECT doc_id, emb, cell FROM dc WHERE o = 1)
 """
 
+# codewords: the 4-number parts of the vectors with vec_id < 256, nearest one (lowest number of a tie) of each part
+_CODES = f"""
+subs AS (SELECT unnest(range(16)) AS s),
+words AS (SELECT s, vec_id AS code, embedding[4 * s + 1:4 * s + 4]::DOUBLE[] AS w FROM embeddings, subs WHERE vec_id < 256),
+parts AS (SELECT doc_id, s, emb[4 * s + 1:4 * s + 4] AS x FROM idx, subs),
+coded AS (SELECT doc_id, s, min(struct_pack(d := round(list_distance(x, w), 9), code := code)).code AS code
+          FROM parts JOIN words USING (s) GROUP BY doc_id, s)
+"""
+
 ORACLE["vector_index_build"] = f"""
+WITH {_INDEX}, {_CODES}
+SELECT idx.doc_id, CAST(cell AS BIGINT) AS cell, string_agg(printf('%02x', code), '' ORDER BY s) AS code
+FROM idx JOIN coded ON coded.doc_id = idx.doc_id GROUP BY idx.doc_id, cell
+"""
+
+ORACLE["vector_index_sizes"] = f"""
 WITH {_INDEX}
-SELECT doc_id, CAST(cell AS BIGINT) AS cell FROM idx
+SELECT 'Article' AS kind, CAST(cell AS BIGINT) AS cell, count(*) AS n FROM idx GROUP BY cell
 """
 
 ORACLE["knn_ivf"] = f"""
-WITH {_INDEX},
+WITH {_INDEX}, {_CODES},
 q AS ({_QUERY_VECS}),
 sizes AS (SELECT cell, count(*) AS n FROM idx GROUP BY cell),
 qc AS (SELECT q.query_id, cents.cell, s.n, round(list_distance(q.qv, cents.c), 9) AS cd
        FROM q, cents JOIN sizes s ON s.cell = cents.cell),
 cum AS (SELECT *, sum(n) OVER (PARTITION BY query_id ORDER BY cd, cell
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM qc),
-probe AS (SELECT query_id, cell FROM cum WHERE cs - n < 100),
-p AS (SELECT probe.query_id, idx.doc_id, list_distance(q.qv, idx.emb) AS dist
-      FROM probe JOIN idx ON idx.cell = probe.cell JOIN q ON q.query_id = probe.query_id),
+probe AS (SELECT query_id, cell FROM cum WHERE cs - n < 0.8 * (SELECT count(*) FROM idx)),
+look AS (SELECT q.query_id, words.s, words.code, list_distance(qv[4 * words.s + 1:4 * words.s + 4], w) ** 2 AS sq FROM q, words),
+far AS (SELECT probe.query_id, idx.doc_id, round(sum(look.sq), 9) AS far
+        FROM probe JOIN idx ON idx.cell = probe.cell JOIN coded ON coded.doc_id = idx.doc_id
+        JOIN look ON look.query_id = probe.query_id AND look.s = coded.s AND look.code = coded.code
+        GROUP BY probe.query_id, idx.doc_id),
+cand AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY far, doc_id) AS place FROM far),
+p AS (SELECT cand.query_id, idx.doc_id, list_distance(q.qv, idx.emb) AS dist
+      FROM cand JOIN idx ON idx.doc_id = cand.doc_id JOIN q ON q.query_id = cand.query_id WHERE place <= 100),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), doc_id) AS rk FROM p)
 SELECT query_id, doc_id, round(dist, 6) AS distance, CAST(rk AS BIGINT) AS rank FROM r WHERE rk <= 5
 """
@@ -458,6 +479,33 @@ SELECT query_id, doc_id, round(vs_score, 6) AS vs_score, round(kw_score, 6) AS k
        round(score, 6) AS score, CAST(rk AS BIGINT) AS rank FROM fu
 """
 
+# vector arm of the candidate budget: 16 cells and 64 codewords from the first documents, 4 parts of 4 numbers
+_IVF_ARM = f"""
+{_WV}, {_embed_sql('de', _ARTICLE_TEXTS)}, {_embed_sql('qe', _CLEAN_QUERIES)},
+ino AS (SELECT id AS doc_id, vec, row_number() OVER (ORDER BY id) - 1 AS no FROM de_v),
+icd AS (SELECT d.doc_id, d.vec, c.no AS cell, row_number() OVER (
+          PARTITION BY d.doc_id ORDER BY round(list_distance(d.vec, c.vec), 9), c.no) AS o FROM ino d JOIN ino c ON c.no < 16),
+iix AS (SELECT doc_id, vec, cell FROM icd WHERE o = 1),
+isub AS (SELECT unnest(range(4)) AS s),
+iwd AS (SELECT s, no AS code, vec[4 * s + 1:4 * s + 4] AS w FROM ino, isub WHERE no < 64),
+ico AS (SELECT doc_id, i.s, min(struct_pack(d := round(list_distance(vec[4 * i.s + 1:4 * i.s + 4], w), 9), code := code)).code AS code
+        FROM iix, isub i JOIN iwd ON iwd.s = i.s GROUP BY doc_id, i.s),
+isz AS (SELECT cell, count(*) AS n FROM iix GROUP BY cell),
+iqc AS (SELECT q.id AS query_id, c.no AS cell, n, round(list_distance(q.vec, c.vec), 9) AS cd
+        FROM qe_v q, ino c JOIN isz ON isz.cell = c.no),
+icu AS (SELECT *, sum(n) OVER (PARTITION BY query_id ORDER BY cd, cell ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM iqc),
+ilk AS (SELECT q.id AS query_id, s, code, list_distance(q.vec[4 * s + 1:4 * s + 4], w) ** 2 AS sq FROM qe_v q, iwd),
+ifr AS (SELECT icu.query_id, iix.doc_id, round(sum(ilk.sq), 9) AS far FROM icu JOIN iix ON iix.cell = icu.cell
+        JOIN ico ON ico.doc_id = iix.doc_id JOIN ilk ON ilk.query_id = icu.query_id AND ilk.s = ico.s AND ilk.code = ico.code
+        WHERE cs - n < 0.5 * (SELECT count(*) FROM iix) GROUP BY icu.query_id, iix.doc_id),
+ica AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY far, doc_id) AS place FROM ifr),
+varm AS (SELECT * FROM (SELECT ica.query_id, ica.doc_id, row_number() OVER (
+           PARTITION BY ica.query_id ORDER BY round(list_distance(q.vec, iix.vec), 9), ica.doc_id) AS rk
+         FROM ica JOIN iix ON iix.doc_id = ica.doc_id JOIN qe_v q ON q.id = ica.query_id WHERE place <= 100) WHERE rk <= 5)
+"""
+
+ORACLE["search_hybrid_ivf"] = ORACLE["search_hybrid"].replace(_VARM, _IVF_ARM)
+
 ORACLE["rrf_three_arms"] = f"""
 WITH {_ARMS}, {_l1_sql(_QNC.replace('qn AS', 'qn2 AS')).replace('JOIN qn ON qn.', 'JOIN qn2 ON qn2.').replace('qn.query_id', 'qn2.query_id')},
 la AS (SELECT query_id, doc_id, 1.0 / (rk - 1 + 60 + 1) AS l1_score FROM l1),
@@ -596,4 +644,4 @@ FROM bat GROUP BY batch_no
 
 ORACLE["incremental_ingest"] = ORACLE["annotate_articles"]
 
-ORACLE["embed_trained"] = "SELECT doc_id, CAST(16 AS BIGINT) AS dims FROM documents"
+ORACLE["embed_trained"] = "SELECT doc_id, CAST(300 AS BIGINT) AS dims FROM documents"

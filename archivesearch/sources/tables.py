@@ -81,3 +81,10 @@ def fixture_centroids(spark: SparkSession, sf_dir: str, n_cells: int = 16) -> Da
     return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") < n_cells)
             .select(F.col("vec_id").alias("cell"),
                     F.col("embedding").cast("array<double>").alias("centroid")))
+
+
+def fixture_codebook(spark: SparkSession, sf_dir: str, n_words: int = 256) -> DataFrame:
+    """Given codewords: the parts of the vectors with vec_id < n_words, code = vec_id."""
+    return (table(spark, sf_dir, "embeddings").where(F.col("vec_id") < n_words)
+            .select(F.col("vec_id").cast("int").alias("code"),
+                    F.col("embedding").cast("array<double>").alias("value")))
