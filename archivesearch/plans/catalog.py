@@ -636,3 +636,26 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = sinks.read_collection(spark, out + "/articles")
     return arts.select("doc_id", F.coalesce(F.size("keywords"), F.lit(0)).cast("bigint").alias("n_keywords"),
                        F.coalesce(F.size("finished_embeddings"), F.lit(0)).cast("bigint").alias("dims"))
+
+
+@register("ingest_stages")
+def ingest_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 over a whole ingest: records and batches that reached each stage, and files that failed."""
+    out = scratch_path(spark, "ingested")
+    stream_ingest.run_ingest(spark, _archive_folder(spark, sf_dir, truncate_mod=10), out, scratch_path(spark, "stream-ckpt"),
+                             files_per_trigger=8, annotate=False)
+    status = spark.read.parquet(out + "/status").select(F.col("batch_no").cast("bigint").alias("batch_no"), "n_rows", "n_rejects")
+    reached = sinks.stages(spark, out).select("batch_no", "stage").distinct().join(status, "batch_no").unionByName(
+        status.withColumn("stage", F.lit("PROCESSED"))).groupBy("stage").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_rejects").alias("n_rejects"))
+    failed = spark.read.parquet(out + "/failed").groupBy("stage").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_rejects").alias("n_rejects"))
+    return reached.unionByName(failed)
+
+
+@register("ingest_sampled")
+def ingest_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1-B4 in one flow: sample, batches, ingest; where every stored article is."""
+    out = scratch_path(spark, "ingested")
+    stream_ingest.ingest_sample(spark, _archive_folder(spark, sf_dir), out, IngestParams(samplesize=SAMPLE.samplesize, batchsize=BATCH),
+                                annotate=False)
+    return stream_ingest.committed_articles(spark, out).select("doc_id", "zip_file", "member", "batch_no")

@@ -644,4 +644,13 @@ FROM bat GROUP BY batch_no
 
 ORACLE["incremental_ingest"] = ORACLE["annotate_articles"]
 
+ORACLE["ingest_stages"] = """
+SELECT unnest(['PROCESSED', 'CACHED', 'UPLOADED']) AS stage, count(*) AS n_rows, count(*) FILTER (WHERE doc_id % 10 = 0) AS n_rejects
+FROM documents UNION ALL SELECT 'FAILED', count(*), count(*) FROM documents WHERE doc_id % 10 = 0 HAVING count(*) > 0
+"""
+
+ORACLE["ingest_sampled"] = f"""
+WITH {_sample_sql(500, 100)} SELECT doc_id, zip_file, member, batch_no FROM bat
+"""
+
 ORACLE["embed_trained"] = "SELECT doc_id, CAST(300 AS BIGINT) AS dims FROM documents"

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the time of the block."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _shipped: set[str] = set()
 
 
