@@ -3,7 +3,8 @@
 Arrivals (digest, identifier, content locator) stream into an aggregation whose
 state lives in RocksDB, is checkpointed in the shared folder and never expires:
 for each digest it retains the smallest identifier seen, that row's locator and
-the number of rows. A later run over the same state folder continues from it.
+the number of rows. A later run over the same state folder continues from it: its rows also meet those of
+earlier runs, whose texts are read again through their locators, so a digest alone never decides.
 A digest that was met more than once is only a hit: the full normalised text of
 each hit is read again through its locator and compared with the text of the row
 that stays. Texts that differ under one digest are grouped by their bytes.
@@ -72,21 +73,41 @@ def observe(spark: SparkSession, arrivals: DataFrame, state_dir: str) -> DataFra
         return stage(state.select("key.*", "value.*").toDF("digest", "first", "n"), "state")
 
 
+def at_locators(spark: SparkSession, rows: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(locator, body)`` of rows ``(locator)`` of earlier runs, read again from the files that their locators name.
+
+    The names of these files come to the driver, not the rows; the files must still be there."""
+    files = [r.file for r in rows.select(F.regexp_replace("locator", "#[0-9]+$", "").alias("file")).distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "locator string, body string")
+    return _with_locator(spark.read.parquet(*files), doc_id, text).join(rows.select("locator").distinct(), "locator", "left_semi").select(
+        "locator", "body")
+
+
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 digest: Callable[[Column], Column] = sha256, state_dir: str | None = None,
                 ) -> DataFrame:
-    """One row per row of ``docs``: ``(id, locator, digest, keep_id, keep_locator, group_size)``."""
+    """One row per row of ``docs``: ``(id, locator, digest, keep_id, keep_locator, group_size)``.
+
+    With a ``state_dir``, rows of earlier calls with it count too: arrivals are appended to a log in it, beside
+    the state, and the texts of earlier rows are read through their locators where a hit needs them. Rows that are
+    given twice count twice."""
     spark = docs.sparkSession
     content = located(docs, doc_id, text)
-    log = shared_dir(spark, "arrivals")
-    content.select("id", "locator", digest(normalised(F.col("body"))).alias("digest")).write.parquet(log)
+    log = f"{state_dir}/arrivals" if state_dir else shared_dir(spark, "arrivals")
     schema = "id bigint, locator string, digest string"
-    arrivals = spark.read.schema(schema).parquet(log)
+    arrivals = content.select("id", "locator", digest(normalised(F.col("body"))).alias("digest"))
+    if state_dir:  # this call's rows, then those of all calls
+        arrivals = stage(arrivals, "arrivals")
+        arrivals.write.mode("append").parquet(log)
+    else:
+        arrivals.write.parquet(log)
+        arrivals = spark.read.schema(schema).parquet(log)
     if arrivals.isEmpty():  # nothing to stream
         return arrivals.select("*", F.col("id").alias("keep_id"), F.col("locator").alias("keep_locator"),
                                F.lit(1).cast("bigint").alias("group_size"))
     stream = spark.readStream.schema(schema).parquet(log)
-    state = observe(spark, stream, state_dir or shared_dir(spark, "dedup-state"))
+    state = observe(spark, stream, f"{state_dir}/state" if state_dir else shared_dir(spark, "dedup-state"))
     decided = arrivals.join(state, "digest").select(
         "id", "locator", "digest", F.col("first.id").alias("keep_id"),
         F.col("first.locator").alias("keep_locator"), F.col("n").alias("group_size"))
@@ -94,7 +115,14 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hits = decided.where("group_size > 1").select("id", "locator", "digest", "keep_locator")
     texts = stage(content.select("locator", "body").join(hits, "locator").select(
         "id", "locator", "digest", "keep_locator", normalised(F.col("body")).alias("body")), "hits")
+    if state_dir:  # and the rows of earlier calls under these digests
+        met = hits.select("digest", "keep_locator").distinct()
+        before = stage(spark.read.schema(schema).parquet(log).join(met, "digest").join(
+            arrivals.select("locator"), "locator", "left_anti").select("id", "locator", "digest", "keep_locator"), "before")
+        bodies = at_locators(spark, before, doc_id, text).select("locator", normalised(F.col("body")).alias("body"))
+        texts = stage(texts.unionByName(before.join(bodies, "locator")), "hits-of-all")
     stays = texts.where("locator = keep_locator").select("digest", F.col("body").alias("kept_body"))
+    stays = stays.distinct() if state_dir else stays  # a row that was given twice
     differ = stage(texts.where("locator != keep_locator").join(stays, "digest")
                    .where("body != kept_body").select("digest"), "differ")
     if differ.isEmpty():
@@ -103,6 +131,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = exact.groupBy("digest", "body").agg(
         F.min(F.struct(F.col("id").isNull(), "id", "locator")).alias("own"), F.count(F.lit(1)).alias("own_n"))
     own = exact.join(groups, ["digest", "body"]).select("locator", "own", "own_n")
+    own = own.distinct() if state_dir else own
     return decided.join(own, "locator", "left").select(
         "id", "locator", "digest",
         F.when(F.col("own").isNull(), F.col("keep_id")).otherwise(F.col("own.id")).alias("keep_id"),

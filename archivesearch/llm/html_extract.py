@@ -19,7 +19,8 @@
    noise are left out, as are elements that say what they are (``nav``, ``aside``,
    ``class="comments"``, ...), which alone decide on hosts of one page. Of these, a
    named element that holds the host's text is a wrapper and stays: ``held`` is the
-   text below it on all pages, ``needed`` a multiple of what lies beside it.
+   text below it on all pages, ``needed`` a multiple of what lies beside it. A section named for reader
+   comments is one only where the main heading lies in it, whatever its length.
 
 Defined cases: null html gives an empty text; a null url is the host ``''``;
 equal page ids are separate pages; unclosed and stray tags are closed as HTML
@@ -69,6 +70,12 @@ NAMED = re.compile(
 #: only mentions such a word (``content has-sidebar``) unless it holds ``MENTIONED`` times that.
 #: A form, often one around the whole page, lies between.
 SAID, FORM, MENTIONED = 4.0, 1.0, 0.5
+#: Names of sections of reader comments. However long, such a section is furniture where the page's main heading
+#: (its first h1, else the beginning of its first article, else its first heading) lies outside.
+COMMENTS = re.compile(r"^\s*(?:comments?|commentlist|disqus|replies|respond)(?:$|[-_\s\d])", re.IGNORECASE)
+READERS = 2 * SAID  # marks them; of the text they must hold they are judged like other named elements
+#: Class names that a style compiler makes up; what follows the prefix differs from page to page.
+MADE_UP = re.compile(r"^(css|sc|jsx|jss|emotion|styled|svelte|astro|_ngcontent|_)[-_]?[A-Za-z0-9]{4,}$")
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 STOPS = frozenset("ul ol dl table select article section div body".split())
@@ -159,7 +166,7 @@ class Page:
                     name == "header" and not any(o[0] in ("article", "main") for o in self._open)):
                 holds = SAID
             elif found := [m for m in map(NAMED.search, names) if m]:
-                holds = SAID if any(m.start() == 0 for m in found) else MENTIONED
+                holds = READERS if any(map(COMMENTS.match, names)) else SAID if any(m.start() == 0 for m in found) else MENTIONED
         if inline:
             # without a path of its own, an inline element holds no page
             self._open.append((name, self._open[-1][1], furniture or bool(holds), [], 0.0))
@@ -167,7 +174,7 @@ class Page:
         mark = said.get("class", "").split()
         if not mark and LAYOUT_ID.fullmatch(said.get("id", "")):
             mark = [said["id"]]
-        sign = name + ("." + re.sub(r"\d+", "0", mark[0]).replace("/", "_") if mark else "")
+        sign = name + ("." + re.sub(r"\d+", "0", MADE_UP.sub(r"\1", mark[0])).replace("/", "_") if mark else "")
         at = self._block()
         paths, below = self._open[at][1], self._open[at][3]
         below.append(sign)
@@ -221,23 +228,40 @@ class Page:
         self._close(0)
 
 
-#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent,
-#: 4 text that a candidate for furniture holds and needs, 5 whole blocks (pages with each), 6 characters and those in links.
+#: A batch's merged elements: kind 0 instances, 1 words (pages with each), 2 styles, 3 share of the parent, 4 text that
+#: a candidate for furniture holds and needs, 5 whole blocks (pages with each), 6 characters, those in links, those not of comments.
 MERGED = "host string, path string, kind int, features array<string>, counts array<double>"
 
 
+MAIN_HEADING = [re.compile(r"/h1(?:\.[^/]*)?$"), re.compile(r"/(?:article|main)(?:[./]|$)"), re.compile(r"/h[2-6](?:\.[^/]*)?$")]
+
+
+def around_heading(page: Page) -> frozenset[str] | None:
+    """The candidates around the page's main heading; None where it has none."""
+    for kind in MAIN_HEADING:
+        for paths, furniture, _, named, _ in page.blocks:
+            if not furniture and kind.search(paths[-1]):
+                return frozenset(named)
+    return None
+
+
 def named_text(page: Page) -> dict[str, list[float]]:
     """Of each candidate's path: characters below it, and how many it needs to hold the page's text.
 
     The text beside a candidate is the rest of the page without surer furniture: for comments all of it, for a
-    wrapper that only mentions comments not the comments beside it.
+    wrapper that only mentions comments not the comments beside it. Comments that the main heading is not in hold nothing.
     """
     found: dict[str, list[float]] = {}
     blocks = [(len(text) - linked, named) for _, furniture, text, named, linked in page.blocks if not furniture]
+    heading = around_heading(page)
     for path, times in {p: t for _, named in blocks for p, t in named.items()}.items():
         held = sum(n for n, named in blocks if path in named)
         beside = sum(n for n, named in blocks if path not in named and all(
             t <= times or path.startswith(f"{p}/") for p, t in named.items()))
+        if times == READERS:
+            times = SAID
+            if heading is not None and path not in heading:
+                held, beside = 0, max(beside, 1)
         found[path] = [float(held), times * beside]
     return found
 
@@ -258,12 +282,14 @@ def merge_pages(pages: Iterator[tuple[str, str]]) -> list[tuple[str, str, int, l
                     merged[host, f"{path}/{child}", 3][""] += n / len(below)
         words: dict[str, set[str]] = defaultdict(set)
         texts: dict[str, set[str]] = defaultdict(set)
-        for paths, _, text, _, linked in page.blocks:
+        for paths, furniture, text, named, linked in page.blocks:
             words[paths[-1]].update(text.lower().split())
             if text.count(" ") >= 3 and not LABEL.search(paths[-1]):  # table cells and the like recur by chance
                 texts[f"{paths[-1]}/#text"].add(blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest())
             merged[host, f"{paths[-1]}/#text", 6]["all"] += len(text)
             merged[host, f"{paths[-1]}/#text", 6]["linked"] += linked
+            if not furniture and READERS not in named.values():
+                merged[host, f"{paths[-1]}/#text", 6]["main"] += len(text)
         for path, hashes in texts.items():
             merged[host, path, 5].update(hashes)
         for path, (held, needed) in named_text(page).items():
@@ -305,7 +331,7 @@ def site_trees(pages: DataFrame, host: str = "host", source: str = "html", batch
         F.sum(of(3, F.col("n"))).alias("share"),
         named(4, "held").alias("held"), named(4, "needed").alias("needed"),
         F.sum(of(5, F.col("n"))).alias("blocks"), F.sum(F.when((F.col("kind") == 5) & (F.col("n") > 1), F.col("n"))).alias("repeated"),
-        named(6, "all").alias("chars"), (named(6, "linked") / named(6, "all")).alias("linked")).where("instances IS NOT NULL").drop("node")
+        F.coalesce(named(6, "main"), named(6, "all") * 0).alias("chars"), (named(6, "linked") / named(6, "all")).alias("linked")).where("instances IS NOT NULL").drop("node")
 
 
 ABOVE = "transform(sequence(1, size(split(path, '/', -1))), i -> concat_ws('/', slice(split(path, '/', -1), 1, i)))"

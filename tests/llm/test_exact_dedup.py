@@ -58,3 +58,16 @@ def test_state_outlives_a_run(spark, table, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(log)
         held = observe(spark, spark.readStream.schema(schema).parquet(log), state)
     assert sorted((r.digest, r.first.id, r.n) for r in held.collect()) == [("d", 2, 2), ("e", 5, 1)]
+
+
+def test_a_second_run_over_the_same_state(spark, table):
+    """Copies across runs, and texts of earlier runs under one forced digest, are told apart by their bytes."""
+    first, second = [(5, "a b"), (6, "c"), (8, "only one")], [(7, "a\n b"), (2, "c"), (9, "new"), (None, "c"), (4, "d")]
+    for digest, state in ((None, shared_dir(spark, "runs")), (lambda text: F.lit("same"), shared_dir(spark, "clash"))):
+        options = {"state_dir": state} | ({"digest": digest} if digest else {})
+        assert result(exact_dedup(table(first), **options)) == brute(first)
+        got = {r.id: (r.keep_id, r.group_size) for r in exact_dedup(table(second), **options).collect()}
+        assert got == {7: (5, 2), 2: (2, 3), 9: (9, 1), None: (2, 3), 4: (4, 1)}
+        assert result(exact_dedup(table([]), **options)) == []
+        third = {r.id: (r.keep_id, r.group_size) for r in exact_dedup(table([(1, "only  one")]), **options).collect()}
+        assert third == {1: (1, 2)}

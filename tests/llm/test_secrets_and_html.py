@@ -112,3 +112,38 @@ def test_unnamed_menus_and_notices_go(table):
     rows.append((99, "http://one/", "<body><div><a href=x>menu item</a></div><div class=x3><p>text of a page</p></div></body>"))
     want[99] = "text of a page"
     assert {r.page_id: r.text for r in extract(table(rows, "page_id bigint, url string, html string")).collect()} == want
+
+
+def test_long_comment_sections_go(table):
+    rng = random.Random(6)
+    sentence = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n))
+    shapes = ["<body><article><p>{a}</p></article><div class='comments'><p>{c}</p></div></body>",
+              "<body><div><h1>{a}</h1></div><section id='comments-list'><h2>Readers</h2><article><p>{c}</p></article></section></body>",
+              "<body><h2>{a}</h2><ol class='commentlist'><li>{c}</li></ol></body>",
+              "<body><div class='comments-page'><h1>{a}</h1><div class='replies'><p>{c}</p></div></div></body>"]
+    rows, want = [], {}
+    for h, shape in enumerate(shapes):
+        for i in range(8 if h % 2 == 0 else 1):
+            a, c = sentence(24), sentence(240)
+            rows.append((100 * h + i, f"http://h{h}/{i}", shape.format(a=a, c=c)))
+            want[100 * h + i] = a
+    out = {r.page_id: r.text for r in extract(table(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == want
+
+
+def test_made_up_class_names_are_one_path(table):
+    rng = random.Random(7)
+    name = lambda: "css-" + "".join(rng.choices("abcdefghijkmnpqrstuvwxyz0123456789", k=6))
+    page = "<body><div class='{}'><ul class='{}'><li>menu</li></ul></div><main><p class='{}'>text {}</p></main></body>"
+    rows = [("h", page.format(name(), name(), name(), i)) for i in range(9)]
+    paths = {r.path for r in site_trees(table(rows, "host string, html string")).collect()}
+    assert len(paths) == 9 and "/body/div.css/ul.css/li" in paths
+
+
+def test_html_edge_cases(spark, table):
+    schema = "page_id bigint, url string, html string, host string, noise string, text string, path int"
+    assert extract(table([], schema)).count() == 0
+    long = " ".join(f"word{i}" for i in range(200_000))
+    rows = [(1, "http://h/1", f"<article><p>{long}</p></article>", "x", "y", "z", 3), (2, "http://h/2", None, "x", "y", "z", 3)]
+    out = {r.page_id: (r.text, r.n_chars) for r in extract(table(rows, schema)).collect()}
+    assert out == {1: (long, len(long)), 2: ("", 0)}
