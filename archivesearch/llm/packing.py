@@ -40,7 +40,7 @@ class WordIds:
     """The ids of words by a 64-bit hash of the word: a table of ``2**bits`` rows (25 bytes each, 41 for vocabularies
     beyond 65,536), in which a word takes the place of one with equal last bits of the hash."""
 
-    def __init__(self, tokenizer_path: str, bits: int = 21) -> None:
+    def __init__(self, tokenizer_path: str, bits: int = 20) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -50,12 +50,18 @@ class WordIds:
         self.size = np.zeros(1 << bits, dtype=np.int8)
         self.ids = np.zeros((1 << bits, WIDTH), dtype="<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, one after the other, and how many each has; one call over all of them."""
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.offsets))
-        to = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]))
-        return np.array(encoded.ids, dtype="<u4"), np.diff(to, prepend=0)
+    def encode(self, words: list[str], part: int = 1 << 12) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has; few calls, for the tokenizer keeps the
+        memory that its longest input took."""
+        ids, sizes = [], []
+        for at in range(0, len(words), part):
+            some = words[at:at + part]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.offsets))
+            to = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in some]))
+            ids.append(np.array(encoded.ids, dtype="<u4"))
+            sizes.append(np.diff(to, prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def of(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, one after the other, and how many each has. ``starts`` and ``ends``: the words' places in ``raw``."""
@@ -119,7 +125,7 @@ def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:
     return [flat[4 * a:4 * b] for a, b in zip(upto, upto[1:])]
 
 
-def chunks(texts: list[str], size: int = 1 << 21) -> Iterator[slice]:
+def chunks(texts: list[str], size: int = 1 << 19) -> Iterator[slice]:
     """Runs of texts of about ``size`` characters."""
     at = 0
     while at < len(texts):
