@@ -7,7 +7,8 @@ articles and other records (the pre-filter, X1, chooses tables instead of readin
 - ``postings`` (phrase, part, doc_id, tf, dl), every sub-phrase of every keyword, and ``phrases``
   (phrase, n, parts): in how many documents;
 - ``totals`` (n_docs, dl): documents with keywords and their keyword tokens;
-- ``vectors`` (doc_id, embedding) and ``texts`` (what result rows show, in order of id);
+- ``vectors`` (doc_id, embedding) and ``texts`` (what result rows show, in order of id, so that a look-up
+  of ids reads a few pages);
 - ``words`` (word, vec): the word vectors, for the queries.
 
 Keywords, postings and their counts are bucketed and sorted by what searches look up, so a search
@@ -76,8 +77,11 @@ class Collection:
             rows.write.mode("append").bucketBy(self.buckets, *keys).sortBy(*keys).format("parquet").option(
                 "path", self._place(table, articles)).saveAsTable(self._entry(table, articles))
         else:
-            rows.write.mode("append").format("parquet").option("parquet.bloom.filter.enabled#doc_id", "true").option(
-                "path", self._place(table, articles)).saveAsTable(self._entry(table, articles))
+            # small row groups and pages with bounds, and Bloom filters, on the id: a look-up reads the pages of its ids
+            rows.write.mode("append").options(
+                **{"parquet.bloom.filter.enabled#doc_id": "true", "parquet.block.size": str(8 << 20), "parquet.page.size": str(64 << 10),
+                   "parquet.page.row.count.limit": "200"}).parquet(self._place(table, articles))  # a table's own options would replace them
+            self.spark.catalog.refreshTable(self._entry(table, articles))
 
 
 def _registered(collection: Collection) -> Collection:
@@ -217,6 +221,16 @@ def search_hybrid(collection: Collection, queries: DataFrame, params: SearchPara
                          search_phrase(collection, ngrams, params, articles), params)
 
 
+def fetch_texts(collection: Collection, hits: DataFrame, articles: bool = True, look_up: int = 10_000) -> DataFrame:
+    """The stored texts of ``hits(doc_id)``. Up to ``look_up`` ids are looked up in the tables in order of id, whose
+    bounds and Bloom filters leave the pages that hold them; more ids than that are joined with the whole table."""
+    texts = collection.table("texts", articles)
+    ids = [r.doc_id for r in hits.select("doc_id").distinct().limit(look_up + 1).collect()]  # k of each query
+    if len(ids) <= look_up:
+        return texts.where(F.col("doc_id").isin(ids))
+    return texts.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
 @dataclass(frozen=True)
 class SearchResult:
     rows: DataFrame    # P7, in fused-rank order
@@ -232,5 +246,5 @@ def search(collection: Collection, queries: DataFrame, params: SearchParams = Se
     at = scratch_path(spark, "hits")
     search_hybrid(collection, cleaned, params, keyword_params, articles).write.parquet(at)  # rows and status read it
     hits = spark.read.schema("query_id bigint, doc_id bigint, vs_score double, kw_score double, score double, rank bigint").parquet(at)
-    return SearchResult(results.search_results(collection.table("texts", articles), hits, queries),
+    return SearchResult(results.search_results(fetch_texts(collection, hits, articles), hits, queries),
                         results.query_status(queries, hits))

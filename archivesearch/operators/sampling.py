@@ -51,11 +51,18 @@ def stratified_sample(members: DataFrame, params: IngestParams = IngestParams(),
             .select("zip_file", "member", "h", "in_zip_rank"))
 
 
-def all_members(members: DataFrame, seed: int = IngestParams().seed) -> DataFrame:
-    """Every member with its place in the archive's hash order: B2's input without a sample."""
-    w = Window.partitionBy("zip_file").orderBy("h", "member")
-    return (members.select("zip_file", "member").withColumn("h", hash_order(seed))
-            .withColumn("in_zip_rank", (F.row_number().over(w) - 1).cast("bigint")))
+def all_members(members: DataFrame, seed: int = IngestParams().seed, digits: int = 2) -> DataFrame:
+    """Every member with its place in the archive's hash order: B2's input without a sample.
+
+    Members are ranked within the first ``digits`` hex digits of their hash, and the counts of the smaller digits are
+    added, so a large archive is ranked by ``16**digits`` tasks."""
+    m = members.select("zip_file", "member").withColumn("h", hash_order(seed)).withColumn("slot", F.substring("h", 1, digits))
+    smaller = Window.partitionBy("zip_file").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = m.groupBy("zip_file", "slot").agg(F.count(F.lit(1)).alias("n")).select(
+        "zip_file", "slot", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("before"))
+    w = Window.partitionBy("zip_file", "slot").orderBy("h", "member")
+    return m.withColumn("own", F.row_number().over(w) - 1).join(before, ["zip_file", "slot"]).select(
+        "zip_file", "member", "h", (F.col("own") + F.col("before")).cast("bigint").alias("in_zip_rank"))
 
 
 def assign_batches(sample: DataFrame, batchsize: int) -> DataFrame:

@@ -453,7 +453,8 @@ from archivesearch.operators import results as res  # noqa: E402
 
 @register("fetch_ranked")
 def fetch_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = res.fetch_ranked(stored_collection(spark, sf_dir).table("texts"), _hybrid(spark, sf_dir))
+    hits = materialize(_hybrid(spark, sf_dir))
+    f = res.fetch_ranked(coll.fetch_texts(stored_collection(spark, sf_dir), hits), hits)
     return f.select("query_id", "rank", "doc_id", "record_title", "publisher")
 
 

@@ -138,3 +138,20 @@ def test_an_empty_collection(spark):
     assert [r.status for r in coll.search(c, queries).status.collect()] == ["NO_RESULTS"]
     coll.add_articles(c, spark.createDataFrame([], SCHEMA))
     assert coll.search(c, queries).rows.count() == 0
+
+
+def test_fetching_ids_reads_a_few_pages(spark):
+    """Rows that the scan hands on for three of 20,000 ids, from the plan's own metrics."""
+    n = 20_000
+    c = coll.create_collection(spark, buckets=2)
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("t").alias("record_title"), F.lit("p").alias("publisher"),
+                                 F.lit("d").alias("alpha_pub_date"), F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 512)).alias("full_text"))
+    c.append("texts", rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"))
+    hits = spark.createDataFrame([(0, 5), (0, 9_999), (1, 17_001), (1, 5)], "query_id bigint, doc_id bigint")
+    found = coll.fetch_texts(c, hits)
+    assert sorted(r.doc_id for r in found.collect()) == [5, 9_999, 17_001]
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    read = leaf.metrics().apply("numOutputRows").value()
+    assert 3 <= read <= 3 * 400
+    many = coll.fetch_texts(c, hits, look_up=2)
+    assert sorted(r.doc_id for r in many.collect()) == [5, 9_999, 17_001]
