@@ -200,7 +200,7 @@ def snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from archivesearch.operators import collection as coll  # noqa: E402
 from archivesearch.operators import embeddings as emb  # noqa: E402
-from archivesearch.operators import fusion, lexical  # noqa: E402
+from archivesearch.operators import fusion, lexical, wordvec  # noqa: E402
 from archivesearch.session import materialize  # noqa: E402
 
 WV_DIM = 16
@@ -372,7 +372,7 @@ def embed_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("embed_trained")
 def embed_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, _ = emb.embed_trained(_docs(spark, sf_dir), EmbeddingParams())
+    v, _ = wordvec.embed_spectral(_docs(spark, sf_dir), EmbeddingParams())
     return v.select("doc_id", F.size("embedding").cast("bigint").alias("dims"))
 
 
