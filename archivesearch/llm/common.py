@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,22 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(ARROW_ROWS, str(rows))
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept_in_worker(key: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps from task to task. Only the last operator's is kept: another key drops it."""
+    if key not in _KEPT:
+        forget_kept()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget_kept() -> None:
+    """Free what an earlier operator kept in this Python worker."""
+    _KEPT.clear()
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

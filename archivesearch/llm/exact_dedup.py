@@ -65,7 +65,9 @@ def observe(spark: SparkSession, arrivals: DataFrame, state_dir: str) -> DataFra
                   spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
                   # memory of all of an executor's state partitions together, outside its heap
                   spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
-                  spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="128"):
+                  spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="64",
+                  # states of a stream that has ended are closed this soon
+                  spark__sql__streaming__stateStore__maintenanceInterval="10s"):
         query = (held.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", state_dir).trigger(availableNow=True).start())
         query.awaitTermination()

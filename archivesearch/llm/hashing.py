@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from archivesearch.llm.common import forget_kept
+
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
 BASE = 0xD1342543DE82EF95  # an odd 64-bit base of the polynomial
@@ -65,6 +67,7 @@ def sequences(words: np.ndarray, k: int) -> np.ndarray:
 
 def shingle_sets(texts: list[str], k: int, chunk: int = 1 << 20) -> Iterator[np.ndarray]:
     """The sorted distinct ``k``-word shingles of each text; the whole sequence of a text with fewer words."""
+    forget_kept()
     at = 0
     while at < len(texts):
         to, size = at, 0

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import small_batches, stage, text_or_empty
+from archivesearch.llm.common import kept_in_worker, small_batches, stage, text_or_empty
 from archivesearch.llm.hashing import hashed_spans
 
 PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -96,15 +96,9 @@ def _expand(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
 
 
-_TOKENIZERS: dict[tuple[str, int], WordIds] = {}
-
-
 def word_ids(tokenizer_path: str) -> WordIds:
     """One table in a Python worker."""
-    key = (tokenizer_path, os.getpid())
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = WordIds(tokenizer_path)
-    return _TOKENIZERS[key]
+    return kept_in_worker(f"word ids {tokenizer_path} {os.getpid()}", lambda: WordIds(tokenizer_path))
 
 
 def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:

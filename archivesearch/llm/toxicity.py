@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import small_batches, stage, text_or_empty
+from archivesearch.llm.common import forget_kept, small_batches, stage, text_or_empty
 
 BITS = 18
 MIN_N, MAX_N = 3, 6
@@ -42,7 +42,7 @@ SAMPLE_BYTES = 64 << 20
 FOLDS = 3
 #: An n-gram counts if this many rows of the sample have it and its log-count ratio is at least TELL in size.
 LEAST, TELL = 5, 1.0
-CACHED_WORDS = 100_000
+CACHED_WORDS = 25_000
 
 
 @dataclass
@@ -85,6 +85,7 @@ class Features:
     """Feature sets of texts; n-grams of recurring words are looked up."""
 
     def __init__(self) -> None:
+        forget_kept()
         self.known: dict[str, np.ndarray] = {}
         self.last = np.zeros(1 << BITS, dtype=np.int64)
 
