@@ -35,6 +35,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from itertools import groupby
 
@@ -95,6 +96,25 @@ LAYOUT_ID = re.compile(
     r"outer|column|col|primary|secondary|article|post|entry|story|text|site|logo)(?:[-_]|\d+|$))+", re.IGNORECASE)
 
 
+@lru_cache(maxsize=1 << 14)
+def multiple_of(class_: str, id_: str) -> float:
+    """Of the text beside it, what an element of these names must hold; 0 if they do not name furniture."""
+    names = class_, id_
+    found = [m for m in map(NAMED.search, names) if m]
+    if not found:
+        return 0.0
+    return READERS if any(map(COMMENTS.match, names)) else SAID if any(m.start() == 0 for m in found) else MENTIONED
+
+
+@lru_cache(maxsize=1 << 14)
+def sign_of(name: str, class_: str, id_: str) -> str:
+    """An element's part of a path: its tag and first class, or an id that names layout."""
+    mark = class_.split()
+    if not mark and LAYOUT_ID.fullmatch(id_):
+        mark = [id_]
+    return name + ("." + re.sub(r"\d+", "0", MADE_UP.sub(r"\1", mark[0])).replace("/", "_") if mark else "")
+
+
 class Page:
     """A page's text blocks ``(paths of the elements around it, furniture, text, named, linked)`` and elements.
 
@@ -165,16 +185,13 @@ class Page:
             elif name in HOLDERS or said.get("role", "").lower() in ROLES or (
                     name == "header" and not any(o[0] in ("article", "main") for o in self._open)):
                 holds = SAID
-            elif found := [m for m in map(NAMED.search, names) if m]:
-                holds = READERS if any(map(COMMENTS.match, names)) else SAID if any(m.start() == 0 for m in found) else MENTIONED
+            else:
+                holds = multiple_of(*names)
         if inline:
             # without a path of its own, an inline element holds no page
             self._open.append((name, self._open[-1][1], furniture or bool(holds), [], 0.0))
             return
-        mark = said.get("class", "").split()
-        if not mark and LAYOUT_ID.fullmatch(said.get("id", "")):
-            mark = [said["id"]]
-        sign = name + ("." + re.sub(r"\d+", "0", MADE_UP.sub(r"\1", mark[0])).replace("/", "_") if mark else "")
+        sign = sign_of(name, said.get("class", ""), said.get("id", ""))
         at = self._block()
         paths, below = self._open[at][1], self._open[at][3]
         below.append(sign)
