@@ -22,21 +22,21 @@ Everything is computed in log space (``ln S(kw)``) because scores span many
 orders of magnitude; ranking uses ``round(ln S, 9)`` then the keyword text.
 
 Plan shape: T8 (``extract_keywords``) scores each document row by itself: its
-sentences are split in the JVM, counted and scored in Arrow batches, without a
-shuffle, join or checkpoint. T6 and T7 as tables of their own (``candidate_table``,
+sentences are split in the JVM; a slice of documents is counted and scored together
+by array operations in Arrow batches, without a shuffle, join or checkpoint. T6 and T7 as tables of their own (``candidate_table``,
 ``term_features``) are DataFrame aggregates over a keyed event stream, shuffled by
 (id, key).
 """
 
 from __future__ import annotations
 
-import heapq
-import math
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,85 +168,161 @@ def _casing(word: str, initial: bool) -> tuple[bool, bool]:
     return acronym, kinds[0] == "Lu" and not acronym and not initial
 
 
-def document_scores(sentences: list[str], params: KeywordParams, stop: frozenset[str],
-                    ) -> list[tuple[str, float, int]]:
-    """``(keyword, ln S, first sentence)`` of every candidate of one document."""
-    edges = "".join(params.context_chars)
-    tf: Counter = Counter()
-    acronyms: Counter = Counter()
-    capitals: Counter = Counter()
-    places: dict[str, list[int]] = defaultdict(list)
-    pairs: Counter = Counter()  # (term, next term)
-    found: dict[tuple[str, ...], list[int]] = {}  # candidate: count, first sentence
-    starts: dict[str, bool] = {}
-
-    def ends_well(term: str) -> bool:
-        ok = starts.get(term)
-        if ok is None:
-            ok = starts[term] = eligible(term) and term not in stop
-        return ok
-
-    def eligible(term: str) -> bool:
-        return len(term) > 1 and not (term.isascii() and term.isdigit())
-
-    low, high = params.min_ngrams, params.max_ngrams
-    for at, sentence in enumerate(sentences):
-        for chunk, part in enumerate(sentence.split(tx.CHUNK_MARK)):
-            part = part.strip(edges)
-            if not part:
-                continue
-            words = part.split(" ")
-            terms = part.lower().split(" ")
-            for i, (word, term) in enumerate(zip(words, terms)):
-                tf[term] += 1
-                places[term].append(at)
-                if word != term:
-                    acronym, capital = _casing(word, chunk == 0 and i == 0)
-                    acronyms[term] += acronym
-                    capitals[term] += capital
-            pairs.update(zip(terms, terms[1:]))
-            for i, first in enumerate(terms):
-                if not ends_well(first):
-                    continue
-                for n in range(low, min(high, len(terms) - i) + 1):
-                    if n > 1 and not ends_well(terms[i + n - 1]) or n == 3 and not eligible(terms[i + 1]):
-                        continue
-                    seen = found.setdefault(tuple(terms[i:i + n]), [0, at])
-                    seen[0] += 1
+#: Characters of documents that are scored together; a longer document is scored alone.
+SLICE_CHARS = 1 << 20
+
+
+def _tokens(sentences: pa.ListArray, context_chars) -> dict[str, np.ndarray | pa.Array]:
+    """Tokens of all documents in order: place of the document, its sentence, the chunk (numbered over all documents),
+    word code, whether it opens a sentence; and the distinct words."""
+    per_doc = pc.list_value_length(sentences).to_numpy(zero_copy_only=False).astype(np.int64)
+    doc_of = np.repeat(np.arange(len(per_doc)), per_doc)
+    number = np.arange(len(doc_of)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+    chunks = pc.split_pattern(sentences.flatten(), tx.CHUNK_MARK)
+    per_sentence = pc.list_value_length(chunks).to_numpy(zero_copy_only=False).astype(np.int64)
+    sentence_of = np.repeat(np.arange(len(per_sentence)), per_sentence)
+    opens = np.zeros(len(sentence_of), dtype=bool)
+    opens[(np.cumsum(per_sentence) - per_sentence)[per_sentence > 0]] = True
+    words = pc.split_pattern(pc.utf8_trim(chunks.flatten(), characters="".join(context_chars)), " ")
+    per_chunk = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    chunk = np.repeat(np.arange(len(per_chunk)), per_chunk)
+    first = np.zeros(len(chunk), dtype=bool)
+    first[(np.cumsum(per_chunk) - per_chunk)[per_chunk > 0]] = True
+    coded = words.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    some = np.flatnonzero(pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[code]) if len(code) else np.empty(0, np.int64)
+    chunk = chunk[some]
+    sentence = sentence_of[chunk]
+    return {"doc": doc_of[sentence], "sentence": number[sentence], "chunk": chunk, "code": code[some],
+            "initial": first[some] & opens[chunk], "per_doc": per_doc, "words": coded.dictionary.to_pylist()}
+
+
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place of each distinct key, each place's key as a dense number in order of the keys, and their counts."""
+    _, first, which, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    return first, which, count
+
+
+def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.zeros(len(a)), where=b != 0)
+
+
+def keyword_scores(sentences: pa.ListArray, params: KeywordParams, stop: frozenset[str],
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """The ``num_keywords`` best candidates of each document in order of rank: the document's place, ln S, first sentence, text.
+
+    Terms are numbers: a document's terms, pairs of neighbours and candidates are counted for all documents
+    at once by sorting their numbers, and every formula is one array expression."""
+    none = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), []
+    t = _tokens(sentences, params.context_chars)
+    doc, sentence, chunk = t["doc"], t["sentence"], t["chunk"]
+    if not len(doc):
+        return none
+    terms: dict[str, int] = {}
+    term_of_word = np.array([terms.setdefault(w.lower(), len(terms)) for w in t["words"]])
+    casing = np.array([_casing(w, False) for w in t["words"]])
+    texts = list(terms)
+    is_stop_term = np.array([x in stop for x in texts])
+    eligible = np.array([len(x) > 1 and not (x.isascii() and x.isdigit()) for x in texts])
+    term = term_of_word[t["code"]]
+
+    # terms of a document: tf, casing, sentences
+    first, own, tf = _grouped(doc * len(texts) + term)
+    size = len(tf)
+    own_doc, own_stop = doc[first], is_stop_term[term[first]]
+    acronyms = np.bincount(own, weights=casing[t["code"], 0], minlength=size)
+    capitals = np.bincount(own, weights=casing[t["code"], 1] & ~t["initial"], minlength=size)
+    order = np.argsort(own, kind="stable")
+    at = np.cumsum(tf) - tf
+    places = sentence[order]
+    middle = (places[at + (tf - 1) // 2] + places[at + tf // 2]) / 2
+    turns = np.append(True, (own[order][1:] != own[order][:-1]) | (places[1:] != places[:-1]))
+    spread = np.bincount(own[order][turns], minlength=size)
+
+    # pairs of neighbours in a chunk
+    beside = np.flatnonzero(chunk[1:] == chunk[:-1])
+    pair_first, pair, pair_n = _grouped(own[beside] * size + own[beside + 1])
+    left, right = own[beside + 1][pair_first], own[beside][pair_first]  # the terms that have it on their left, right
+    side = [_ratio(np.bincount(x, minlength=size), np.bincount(x, weights=pair_n, minlength=size)) for x in (left, right)]
+
+    # features and S(t)
+    documents = len(t["per_doc"])
+    content = ~own_stop
+    rows = np.bincount(own_doc[content], minlength=documents)
+    mean = _ratio(np.bincount(own_doc[content], weights=tf[content], minlength=documents), rows)
+    spare = (tf - mean[own_doc])[content] ** 2
+    usual = mean + np.sqrt(_ratio(np.bincount(own_doc[content], weights=spare, minlength=documents), rows))
+    top = np.zeros(documents)
+    np.maximum.at(top, own_doc, tf)
+    case = np.maximum(acronyms, capitals) / (1.0 + np.log(tf))
+    rel = 1.0 + (side[0] + side[1]) * tf / top[own_doc]
+    s = rel * np.log(np.log(3.0 + middle)) / (
+        case + _ratio(tf, usual[own_doc]) / rel + spread / t["per_doc"][own_doc] / rel)
+
+    # candidates: runs of 1..n terms that end well on both sides
+    well = eligible[term] & ~is_stop_term[term]
+    pair_at = np.full(len(term), -1)
+    pair_at[beside] = pair
+    found = []
+    key = own
+    for n in range(1, min(params.max_ngrams, len(term)) + 1):
+        last = np.arange(n - 1, len(term))
+        if n > 1:
+            _, key, _ = _grouped(key[:len(last)] * size + own[last])
+        if n < params.min_ngrams:
+            continue
+        ok = well[:len(last)] & well[last] & (chunk[:len(last)] == chunk[last])
+        if n == 3:
+            ok &= eligible[term[1:-1]]
+        starts = np.flatnonzero(ok)
+        if not len(starts):
+            continue
+        begin, _, count = _grouped(key[starts])
+        begin = starts[begin]
+        parts = s[own[begin[:, None] + np.arange(n)]]
+        q = np.zeros(len(begin))
+        if n == 3:
+            inner = is_stop_term[term[begin + 1]]
+            a, b = begin[inner], begin[inner] + 1
+            q[inner] = 1.0 - pair_n[pair_at[a]] / tf[own[a]] * (pair_n[pair_at[b]] / tf[own[b]])
+            logs, sums = np.log(parts), parts.copy()
+            logs[inner, 1] = sums[inner, 1] = 0.0
+        else:
+            logs, sums = np.log(parts), parts
+        ln = logs.sum(axis=1) + np.log(1.0 + q) - np.log(count) - np.log(1.0 + sums.sum(axis=1) - q)
+        found.append((begin, np.full(len(begin), n), ln))
     if not found:
-        return []
-    left, right, left_n, right_n = Counter(), Counter(), Counter(), Counter()
-    for (a, b), n in pairs.items():
-        right[a] += 1
-        right_n[a] += n
-        left[b] += 1
-        left_n[b] += n
-    content = [n for t, n in tf.items() if t not in stop]
-    mean = sum(content) / len(content) if content else 0.0
-    deviation = math.sqrt(sum((n - mean) ** 2 for n in content) / len(content)) if content else 0.0
-    top, total = max(tf.values()), len(sentences)
-    scores: dict[str, float] = {}
-
-    def score(term: str) -> float:
-        s = scores.get(term)
-        if s is None:
-            n, own = tf[term], places[term]
-            case = max(acronyms[term], capitals[term]) / (1.0 + math.log(n))
-            position = math.log(math.log(3.0 + (own[(n - 1) // 2] + own[n // 2]) / 2))
-            freq = n / (mean + deviation) if mean + deviation else 0.0
-            sides = (left[term] / left_n[term] if left_n[term] else 0.0) + (right[term] / right_n[term] if right_n[term] else 0.0)
-            rel = 1.0 + sides * n / top
-            s = scores[term] = rel * position / (case + freq / rel + len(set(own)) / total / rel)
-        return s
-
-    out = []
-    for words, (n, first) in found.items():
-        middle = len(words) == 3 and words[1] in stop
-        parts = [score(w) for w in (words[::2] if middle else words)]
-        q = 1.0 - pairs[words[:2]] / tf[words[0]] * (pairs[words[1:]] / tf[words[1]]) if middle else 0.0
-        ln = sum(map(math.log, parts)) + math.log(1.0 + q) - math.log(n) - math.log(1.0 + sum(parts) - q)
-        out.append((" ".join(words), ln, first))
-    return out
+        return none
+    begin, n, ln = (np.concatenate(c) for c in zip(*found))
+
+    # the best of each document; those that tie with the last one are ordered by their text
+    rounded, where = np.round(ln, RANK_DIGITS), doc[begin]
+    order = np.lexsort((rounded, where))
+    begin, n, ln, rounded, where = (c[order] for c in (begin, n, ln, rounded, where))
+    opening = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+    length = np.diff(np.append(opening, len(where)))
+    limit = rounded[opening + np.minimum(length, params.num_keywords) - 1]
+    some = np.flatnonzero(rounded <= np.repeat(limit, length))
+    names = [" ".join(texts[x] for x in term[b:b + k].tolist()) for b, k in zip(begin[some].tolist(), n[some].tolist())]
+    keys = list(zip(where[some].tolist(), rounded[some].tolist(), names))
+    best, seen = [], Counter()
+    for j in sorted(range(len(keys)), key=keys.__getitem__):
+        seen[keys[j][0]] += 1
+        if seen[keys[j][0]] <= params.num_keywords:
+            best.append(j)
+    some = some[best]
+    return where[some], ln[some], sentence[begin[some]], [names[j] for j in best]
+
+
+def _slices(sentences: pa.ListArray) -> Iterator[slice]:
+    """Runs of documents of about :data:`SLICE_CHARS` bytes."""
+    upto = np.append(0, np.cumsum(pc.binary_length(sentences.flatten()).to_numpy(zero_copy_only=False)))
+    ends = upto[np.append(0, np.cumsum(pc.list_value_length(sentences).to_numpy(zero_copy_only=False))).astype(np.int64)]
+    at = 0
+    while at < len(sentences):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_CHARS, side="right")) - 1)
+        yield slice(at, to)
+        at = to
 
 
 def extract_keywords(df: DataFrame, params: KeywordParams = KeywordParams(), *,
@@ -256,7 +332,7 @@ def extract_keywords(df: DataFrame, params: KeywordParams = KeywordParams(), *,
     ``num_keywords`` of each row by (round(ln S, 9), result).
 
     A document's score needs nothing of another document: sentences are split in the
-    JVM and each row is scored on its own in Arrow batches, with no shuffle or join.
+    JVM and scored in Arrow batches, with no shuffle or join.
     """
     stop = frozenset(stop_words)
     texts = df.where(F.col(text_col).isNotNull()).select(
@@ -266,17 +342,13 @@ def extract_keywords(df: DataFrame, params: KeywordParams = KeywordParams(), *,
 
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, cols = [], ([], [], [], [], [])
-            for key, sentences in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                best = heapq.nsmallest(params.num_keywords, document_scores(sentences, params, stop),
-                                       key=lambda c: (round(c[1], RANK_DIGITS), c[0]))
-                ids += [key] * len(best)
-                for rank, (result, ln, first) in enumerate(best, 1):
-                    for col, value in zip(cols, (result, math.exp(ln), ln, first, rank)):
-                        col.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), *(pa.array(c, t) for c, t in zip(
-                    cols, (pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.int64())))], names=schema.names)
+            ids, sentences = batch.columns
+            for part in _slices(sentences):
+                where, ln, first, result = keyword_scores(sentences[part.start:part.stop], params, stop)
+                opening = np.searchsorted(where, where)
+                columns = (pa.array(result, pa.string()), pa.array(np.exp(ln)), pa.array(ln), pa.array(first.astype(np.int32)),
+                           pa.array(np.arange(len(where)) - opening + 1))
+                yield pa.RecordBatch.from_arrays([ids[part.start:part.stop].take(pa.array(where)), *columns], names=schema.names)
 
     return texts.mapInArrow(score_rows, schema)
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections import Counter, defaultdict
+
+import pytest
 from pyspark.sql import functions as F
 
 from archivesearch.config import KeywordParams
 from archivesearch.functions.stopwords import ENGLISH_STOP_WORDS
+from archivesearch.functions.text import CHUNK_MARK, context_tokens
 from archivesearch.operators import embeddings as emb
 from archivesearch.operators import keywords as kw
 
@@ -49,3 +55,124 @@ def test_finish_unwraps_and_converts(spark):
     df = spark.createDataFrame([([[0.1, 0.2]],)], "a array<array<double>>")
     r = df.select(emb.finish(F.col("a")).alias("f")).first().f
     assert len(r) == 2 and abs(r[0] - 0.1) < 1e-6
+
+
+def scores_by_hand(sentences, params, stop):
+    """``(keyword, ln S, first sentence)`` of every candidate of one document, counted one by one."""
+    edges = "".join(params.context_chars)
+    tf: Counter = Counter()
+    acronyms: Counter = Counter()
+    capitals: Counter = Counter()
+    places: dict[str, list[int]] = defaultdict(list)
+    pairs: Counter = Counter()  # (term, next term)
+    found: dict[tuple[str, ...], list[int]] = {}  # candidate: count, first sentence
+    starts: dict[str, bool] = {}
+
+    def ends_well(term: str) -> bool:
+        ok = starts.get(term)
+        if ok is None:
+            ok = starts[term] = eligible(term) and term not in stop
+        return ok
+
+    def eligible(term: str) -> bool:
+        return len(term) > 1 and not (term.isascii() and term.isdigit())
+
+    low, high = params.min_ngrams, params.max_ngrams
+    for at, sentence in enumerate(sentences):
+        for chunk, part in enumerate(sentence.split(CHUNK_MARK)):
+            part = part.strip(edges)
+            if not part:
+                continue
+            words = part.split(" ")
+            terms = part.lower().split(" ")
+            for i, (word, term) in enumerate(zip(words, terms)):
+                tf[term] += 1
+                places[term].append(at)
+                if word != term:
+                    acronym, capital = kw._casing(word, chunk == 0 and i == 0)
+                    acronyms[term] += acronym
+                    capitals[term] += capital
+            pairs.update(zip(terms, terms[1:]))
+            for i, first in enumerate(terms):
+                if not ends_well(first):
+                    continue
+                for n in range(low, min(high, len(terms) - i) + 1):
+                    if n > 1 and not ends_well(terms[i + n - 1]) or n == 3 and not eligible(terms[i + 1]):
+                        continue
+                    seen = found.setdefault(tuple(terms[i:i + n]), [0, at])
+                    seen[0] += 1
+    if not found:
+        return []
+    left, right, left_n, right_n = Counter(), Counter(), Counter(), Counter()
+    for (a, b), n in pairs.items():
+        right[a] += 1
+        right_n[a] += n
+        left[b] += 1
+        left_n[b] += n
+    content = [n for t, n in tf.items() if t not in stop]
+    mean = sum(content) / len(content) if content else 0.0
+    deviation = math.sqrt(sum((n - mean) ** 2 for n in content) / len(content)) if content else 0.0
+    top, total = max(tf.values()), len(sentences)
+    scores: dict[str, float] = {}
+
+    def score(term: str) -> float:
+        s = scores.get(term)
+        if s is None:
+            n, own = tf[term], places[term]
+            case = max(acronyms[term], capitals[term]) / (1.0 + math.log(n))
+            position = math.log(math.log(3.0 + (own[(n - 1) // 2] + own[n // 2]) / 2))
+            freq = n / (mean + deviation) if mean + deviation else 0.0
+            sides = (left[term] / left_n[term] if left_n[term] else 0.0) + (right[term] / right_n[term] if right_n[term] else 0.0)
+            rel = 1.0 + sides * n / top
+            s = scores[term] = rel * position / (case + freq / rel + len(set(own)) / total / rel)
+        return s
+
+    out = []
+    for words, (n, first) in found.items():
+        middle = len(words) == 3 and words[1] in stop
+        parts = [score(w) for w in (words[::2] if middle else words)]
+        q = 1.0 - pairs[words[:2]] / tf[words[0]] * (pairs[words[1:]] / tf[words[1]]) if middle else 0.0
+        ln = sum(map(math.log, parts)) + math.log(1.0 + q) - math.log(n) - math.log(1.0 + sum(parts) - q)
+        out.append((" ".join(words), ln, first))
+    return out
+
+
+ODD_TEXTS = [TEXT, "", "...", "one", "the of and", "12 345 6", "NASA nasa Nasa NaSA", "(((a)))? b! c, d", "a b\n\n\nc d e",
+             "same words same words. same words", "ÉCOLE École ΣΑΣ ΣΑΣ, İstanbul", "state of the art of state",
+             "bread and butter. Bread and Butter and bread", "x1 x1 x1 y2 y2\tz3   x1", ", ".join("abcdefgh") + " ab cd ef",
+             "Data engineers use Spark for ETL on NASA data. " * 3000]
+
+
+@pytest.mark.parametrize("slice_chars", [1, 200, 1 << 20])
+@pytest.mark.parametrize("params", [KeywordParams(), KeywordParams(2, 3, 3), KeywordParams(1, 1, 1), KeywordParams(3, 3, 7)])
+def test_array_scores_equal_those_counted_one_by_one(spark, monkeypatch, slice_chars, params):
+    monkeypatch.setattr(kw, "SLICE_CHARS", slice_chars)
+    stop = frozenset(ENGLISH_STOP_WORDS)
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id bigint, text string")
+    sentences = df.select("doc_id", kw._unbroken(F.col("text"), params.context_chars).alias("s")).orderBy("doc_id").toArrow().column("s").combine_chunks()
+    got = []
+    for part in kw._slices(sentences):
+        where, ln, first, result = kw.keyword_scores(sentences[part.start:part.stop], params, stop)
+        got += [(part.start + int(w), r, round(float(x), 8), int(f)) for w, x, f, r in zip(where, ln, first, result)]
+    expected = []
+    for at, some in enumerate(sentences.to_pylist()):
+        best = heapq.nsmallest(params.num_keywords, scores_by_hand(some, params, stop), key=lambda c: (round(c[1], 9), c[0]))
+        expected += [(at, r, round(x, 8), f) for r, x, f in best]
+    assert got == expected
+
+
+def test_scores_agree_with_the_tables_of_terms_and_candidates(spark):
+    """T8 has array code of its own; T6 and T7 as DataFrames must give the same counts and term scores."""
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id bigint, text string").where("doc_id not in (10)")
+    tokens = context_tokens(df)
+    terms = {(r.doc_id, r.term): r for r in kw.term_features(tokens).collect()}
+    candidates = {(r.doc_id, r.kw): r for r in kw.candidate_table(kw.keyword_events(tokens, KeywordParams())).collect()}
+    rows = kw.extract_keywords(df, KeywordParams(num_keywords=100_000)).collect()
+    assert {(r.doc_id, r.result) for r in rows} == set(candidates)
+    for r in rows:
+        found, words = candidates[r.doc_id, r.result], r.result.split(" ")
+        assert r.sentence == found.sentence
+        if len(words) < 3 or words[1] not in ENGLISH_STOP_WORDS:
+            parts = [terms[r.doc_id, w].s_term for w in words]
+            ln = sum(map(math.log, parts)) - math.log(found.tf_kw) - math.log(1 + sum(parts))
+            assert abs(ln - r.ln_score) < 1e-9
