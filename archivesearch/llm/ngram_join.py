@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import stage, text_or_empty
+from archivesearch.llm.common import lean, stage, text_or_empty
 from archivesearch.llm.components import as_links, components
 from archivesearch.llm.hashing import ODD, U, mix, shingle_sets
 
@@ -93,7 +93,7 @@ def profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
     schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n", pa.int32()), ("name", pa.int64()),
                         ("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
-    for batch in batches:
+    for batch in lean(batches):
         sizes, names = [], []
         for tokens in shingle_sets(batch.column(2).to_pylist(), k):
             at = (tokens >> U(64 - SKETCH_BITS)).astype(np.int64)
@@ -145,7 +145,7 @@ def postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, table: np.
     schema = pa.schema([("route", pa.int64()), ("name", pa.int64()), ("n", pa.int32()), ("cls", pa.int32()),
                         ("token", pa.int64()), ("common", pa.bool_())])
     least, met = least_linkable(percent), set()
-    for batch in batches:
+    for batch in lean(batches):
         routes, names, sizes, classes, tokens_out, commons = [], [], [], [], [], []
         for tokens in shingle_sets(batch.column(0).to_pylist(), k):
             n = len(tokens)
@@ -205,7 +205,7 @@ def buckets(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     names = ["route", "name", "n", "cls", "token", "common"]
     kept: dict[str, np.ndarray] | None = None
     flowing = None  # the route of a bucket known to be frequent
-    for batch in batches:
+    for batch in lean(batches):
         rows = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
         if kept is not None:
             rows = {c: np.concatenate([kept[c], rows[c]]) for c in names}
@@ -227,7 +227,7 @@ def buckets(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 def named_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """``(name, tokens)`` of the texts whose set has the wanted name."""
-    for batch in batches:
+    for batch in lean(batches):
         for at in range(0, max(1, batch.num_rows), 512):
             part = batch.slice(at, 512)
             found = [(want, t.tobytes()) for want, t in zip(part.column(0).to_pylist(),
@@ -246,7 +246,7 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in lean(batches):
         ok = []
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)

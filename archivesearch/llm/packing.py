@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import kept_in_worker, small_batches, stage, text_or_empty
+from archivesearch.llm.common import kept_in_worker, lean, small_batches, stage, text_or_empty
 from archivesearch.llm.hashing import hashed_spans
 
 PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -134,7 +134,7 @@ def chunks(texts: list[str], size: int = 1 << 19) -> Iterator[slice]:
 def cut_pieces(batches: Iterator[pa.RecordBatch], tokenizer_path: str, capacity: int, end_id: int,
                ) -> Iterator[pa.RecordBatch]:
     end = array("I", [end_id]).tobytes()
-    for batch in batches:
+    for batch in lean(batches):
         docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for part in chunks(texts):
             rows = []

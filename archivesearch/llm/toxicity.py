@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import forget_kept, small_batches, stage, text_or_empty
+from archivesearch.llm.common import forget_kept, lean, small_batches, stage, text_or_empty
 
 BITS = 18
 MIN_N, MAX_N = 3, 6
@@ -209,7 +209,7 @@ def labelled_sample(docs: DataFrame, known: DataFrame, per_class: int, sample_by
 def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of this task that have each n-gram, by fold and class."""
     features, counts = Features(), np.zeros((2 * FOLDS, 1 << BITS), dtype=np.int32)
-    for batch in batches:
+    for batch in lean(batches):
         for at in range(0, batch.num_rows, 128):
             row, toxic, body = (c.to_pylist() for c in batch.slice(at, 128).columns)
             for r, t, grams in zip(row, toxic, features.of(body)):
@@ -251,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, doc_id
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 grams = [g[sent.value[0][g]].tobytes() for g in features.of(part.column(2).to_pylist())]
@@ -281,7 +281,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, intercept = sent.value
         features = Features()
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 bodies = part.column(part.schema.get_field_index(text)).cast(pa.string()).fill_null("").to_pylist()
