@@ -36,3 +36,17 @@ def test_terms_and_ngrams_shuffle_the_texts_once(spark):
     terms = [sorted(map(tuple, kw.term_features(t).select("doc_id", "term", "tf", F.round("s_term", 9)).collect())) for t in (
         dealt, tx.context_tokens(df))]
     assert terms[0] == terms[1] and len(terms[0]) > 20
+
+
+def test_a_block_gets_the_columns_that_it_uses(spark):
+    dim, blocks = 2, 3
+    entries = [(0, 4, 2.0), (1, 4, 1.0), (4, 0, 2.0), (4, 1, 1.0), (4, 7, 3.0), (7, 4, 3.0)]
+    matrix = spark.createDataFrame(entries, "a bigint, b bigint, value float").selectExpr(
+        "*", f"pmod(a, {blocks}) i", f"pmod(b, {blocks}) j")
+    columns = spark.createDataFrame([(c, [float(c), 1.0]) for c in (0, 1, 4, 7, 9)], "code bigint, vec array<float>")
+    used = matrix.selectExpr("b code", "i").distinct()
+    got = {r.code: r.vec for r in wordvec._times(matrix, columns, used, blocks, dim).collect()}
+    want = {}
+    for a, b, v in entries:
+        want[a] = np.add(want.get(a, [0.0, 0.0]), [v * b, v])
+    assert set(got) == set(want) and all(np.allclose(got[a], want[a]) for a in want)
