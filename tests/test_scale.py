@@ -50,3 +50,20 @@ def test_a_block_gets_the_columns_that_it_uses(spark):
     for a, b, v in entries:
         want[a] = np.add(want.get(a, [0.0, 0.0]), [v * b, v])
     assert set(got) == set(want) and all(np.allclose(got[a], want[a]) for a in want)
+def test_embeddings_of_repeated_and_null_ids_in_slices(spark):
+    rows = [(1, "a b a"), (1, "c zz"), (2, "zz"), (3, None), (None, "a"), (4, ""), (5, "b B")]
+    rows += [(10 + i, f"a w{i % 7}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    vec = {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [4.0, 4.0], **{f"w{i}": [float(i), 0.5] for i in range(7)}}
+    table = spark.createDataFrame([*vec.items(), ("b", [2.0, 3.0])], "word string, vec array<double>")  # b has two vectors
+    found = emb.embed_from_table(df, table, slice_bytes=20)
+    assert "doc_id#" not in "".join(line for line in plan(found).splitlines() if "hashpartitioning" in line and "word" in line)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.doc_id, []).append(r.embedding)
+    assert len(got[1]) == 2 and got[1][0] == got[1][1]
+    np.testing.assert_allclose(got[1][0], np.array([2.0 + 2.0 + 4.0, 0.0 + 4.0 + 4.0]) / 5)  # 2 a, b twice, c
+    np.testing.assert_allclose(got[5][0], [1.0, 2.0])
+    assert got[2] == got[3] == got[4] == got[None] == [None]
+    for i in range(40):
+        np.testing.assert_allclose(got[10 + i][0], [(1 + i % 7) / 2, 0.25])
