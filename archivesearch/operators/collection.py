@@ -109,11 +109,15 @@ def open_collection(spark: SparkSession, path: str) -> Collection:
     return _registered(Collection(spark, path, own.buckets, f"collection_{uuid.uuid4().hex}", own.part_rows))
 
 
-def _dealt(rows: DataFrame, key: str, part_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with the ``part`` of each, and the counts ``(key, n, parts)``."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "parts", F.ceil(F.col("n") / F.lit(part_rows)).cast("int"))
-    hot = counts.where("parts > 1").select(key, "parts")  # at most rows / part_rows of them
+def _dealt(rows: DataFrame, key: str, part_rows: int, staged: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the ``part`` of each, and the counts ``(key, n, parts)``. Counts and hot keys are written below
+    ``staged``: they are counted once, and the few hot keys are seen to be few, so that ``rows`` need no shuffle to meet them."""
+    spark = rows.sparkSession
+    rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "parts", F.ceil(F.col("n") / F.lit(part_rows)).cast("int")).write.parquet(f"{staged}-counts")
+    counts = spark.read.schema(f"{key} string, n bigint, parts int").parquet(f"{staged}-counts")
+    counts.where("parts > 1").select(key, "parts").coalesce(1).write.parquet(f"{staged}-hot")  # at most rows / part_rows
+    hot = spark.read.schema(f"{key} string, parts int").parquet(f"{staged}-hot")
     dealt = rows.join(hot, key, "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"), F.lit(0)))
     return dealt.drop("parts"), counts
@@ -138,7 +142,7 @@ def add_articles(collection: Collection, articles: DataFrame, word_vectors: Data
     for flag in (True, False):
         own = articles.where(F.coalesce("is_article", F.lit(False)) == F.lit(flag))
         found = every.where(F.col("is_article") == F.lit(flag)).drop("is_article")
-        dealt, counts = _dealt(found, "result", collection.part_rows)
+        dealt, counts = _dealt(found, "result", collection.part_rows, f"{staged}/results-{flag}")
         collection.append("keywords", dealt, flag)
         collection.append("results", counts, flag)
         length = F.size(F.split("result", " "))
@@ -147,7 +151,7 @@ def add_articles(collection: Collection, articles: DataFrame, word_vectors: Data
             "doc_id", "dl", "phrase").agg(F.count(F.lit(1)).alias("tf"))
         postings.write.parquet(f"{staged}/postings-{flag}")
         postings = spark.read.schema("doc_id bigint, dl bigint, phrase string, tf bigint").parquet(f"{staged}/postings-{flag}")
-        dealt, counts = _dealt(postings, "phrase", collection.part_rows)
+        dealt, counts = _dealt(postings, "phrase", collection.part_rows, f"{staged}/phrases-{flag}")
         collection.append("postings", dealt, flag)
         collection.append("phrases", counts, flag)
         collection.append("totals", of_doc.agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("dl")), flag)
@@ -179,7 +183,7 @@ def search_phrase(collection: Collection, query_ngrams: DataFrame, params: Searc
     hits = collection.table("postings", articles).join(_located(collection, q, "phrase", "phrases", articles), ["phrase", "part"])
     totals = collection.table("totals", articles)
     n_docs = totals.select(F.sum("n_docs").cast("double")).scalar()
-    avgdl = totals.select(F.sum("dl") / F.sum("n_docs")).scalar()
+    avgdl = totals.select(F.sum("dl") / F.nullif(F.sum("n_docs"), F.lit(0))).scalar()
     return lexical.bm25_top_k(hits, n_docs, avgdl, params)
 
 

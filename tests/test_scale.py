@@ -67,3 +67,13 @@ def test_embeddings_of_repeated_and_null_ids_in_slices(spark):
     assert got[2] == got[3] == got[4] == got[None] == [None]
     for i in range(40):
         np.testing.assert_allclose(got[10 + i][0], [(1 + i % 7) / 2, 0.25])
+
+
+def test_dealing_rows_to_parts_shuffles_only_counts(spark):
+    at = scratch_path(spark, "dealt")
+    rows = spark.range(60).selectExpr("id doc_id", "if(id < 40, 'hot', concat('k', id)) phrase")
+    dealt, counts = coll._dealt(rows, "phrase", 15, at)
+    assert "Exchange hashpartitioning" not in plan(dealt)
+    got = dealt.collect()
+    assert len(got) == 60 and {r.part for r in got if r.phrase == "hot"} == {0, 1, 2} and {r.part for r in got if r.phrase != "hot"} == {0}
+    assert {r.phrase: (r.n, r.parts) for r in counts.collect()} == {"hot": (40, 3), **{f"k{i}": (1, 1) for i in range(40, 60)}}
