@@ -38,8 +38,12 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
 
 
-def _block_topk(k: int, sub: int = 512):
-    """Per (block, chunk) group: exact top-k documents for every query."""
+#: Distances that a task computes at once (8 bytes each, in a few arrays).
+TILE = 1 << 21
+
+
+def _block_topk(k: int, tile: int = TILE):
+    """Per (block, chunk) group: exact top-k documents for every query, ``tile`` distances at a time."""
     out_cols = ["query_id", "doc_id", "distance"]
 
     def run(docs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
@@ -51,11 +55,16 @@ def _block_topk(k: int, sub: int = 512):
         dn = np.einsum("ij,ij->i", D, D)
         Q = _stack(qs["qvec"])
         qids = qs["query_id"].to_numpy(dtype=np.int64)
-        parts = []
+        parts = ([], [], [])
+        sub = max(1, tile // len(D))
         for s in range(0, len(Q), sub):
             Qs = Q[s:s + sub]
             qn = np.einsum("ij,ij->i", Qs, Qs)
-            approx = np.maximum(qn[:, None] + dn[None, :] - 2.0 * (Qs @ D.T), 0.0)
+            approx = Qs @ D.T
+            approx *= -2.0
+            approx += qn[:, None]
+            approx += dn
+            np.maximum(approx, 0.0, out=approx)
             kk = min(k, D.shape[0])
             kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
             # every document within float noise of the k-th distance is a candidate,
@@ -67,12 +76,10 @@ def _block_topk(k: int, sub: int = 512):
                 diff = D[cand] - Qs[qi]
                 exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
                 order = np.lexsort((ids[cand], np.round(exact, RANK_DIGITS)))[:k]
-                parts.append(pd.DataFrame({
-                    "query_id": np.full(len(order), qids[s + qi], dtype=np.int64),
-                    "doc_id": ids[cand][order],
-                    "distance": exact[order],
-                }))
-        return pd.concat(parts, ignore_index=True)
+                parts[0].append(np.full(len(order), qids[s + qi], dtype=np.int64))
+                parts[1].append(ids[cand][order])
+                parts[2].append(exact[order])
+        return pd.DataFrame({c: np.concatenate(p) for c, p in zip(out_cols, parts)})
 
     return run
 
@@ -108,8 +115,10 @@ def knn_exact(docs: DataFrame, queries: DataFrame, k: int = 5, *,
          .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
          .withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))))
     schema = "query_id bigint, doc_id bigint, distance double"
-    local = (d.groupBy("blk", "chunk")
-             .cogroup(q.groupBy("blk", "chunk"))
+    # a group's work is rows times queries, not bytes: a number of tasks of its own, which is not merged by size
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, blocks * chunks)
+    local = (d.repartition(tasks, "blk", "chunk").groupBy("blk", "chunk")
+             .cogroup(q.repartition(tasks, "blk", "chunk").groupBy("blk", "chunk"))
              .applyInPandas(_block_topk(k), schema))
     return top_k_per_query(local, k, "distance", descending=False)
 

@@ -77,3 +77,25 @@ def test_dealing_rows_to_parts_shuffles_only_counts(spark):
     got = dealt.collect()
     assert len(got) == 60 and {r.part for r in got if r.phrase == "hot"} == {0, 1, 2} and {r.part for r in got if r.phrase != "hot"} == {0}
     assert {r.phrase: (r.n, r.parts) for r in counts.collect()} == {"hot": (40, 3), **{f"k{i}": (1, 1) for i in range(40, 60)}}
+
+
+def test_knn_exact_holds_a_tile_of_distances():
+    rng = np.random.default_rng(1)
+    docs = pd.DataFrame({"doc_id": np.arange(20_000), "embedding": list(rng.normal(size=(20_000, 8)))})
+    asked = pd.DataFrame({"query_id": np.arange(512), "qvec": list(rng.normal(size=(512, 8)))})
+    tracemalloc.start()
+    found = vector._block_topk(3)(docs, asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20  # all distances at once are 82 MB, in several arrays
+    d, q = np.stack(docs["embedding"]), np.stack(asked["qvec"])
+    for k in (0, 100, 511):
+        want = np.argsort(np.sqrt(((d - q[k]) ** 2).sum(axis=1)))[:3]
+        assert found[found["query_id"] == k]["doc_id"].tolist() == want.tolist()
+
+
+def test_groups_of_knn_exact_are_not_merged_by_size(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "doc_id bigint, embedding array<double>")
+    near = vector.knn_exact(rows, rows.withColumnRenamed("doc_id", "query_id"), 1, block_rows=2, chunk_queries=2)
+    assert "REPARTITION_BY_NUM" in plan(near)
+    assert sorted((r.query_id, r.doc_id) for r in near.collect()) == [(i, i) for i in range(20)]
