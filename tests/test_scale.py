@@ -99,3 +99,14 @@ def test_groups_of_knn_exact_are_not_merged_by_size(spark):
     near = vector.knn_exact(rows, rows.withColumnRenamed("doc_id", "query_id"), 1, block_rows=2, chunk_queries=2)
     assert "REPARTITION_BY_NUM" in plan(near)
     assert sorted((r.query_id, r.doc_id) for r in near.collect()) == [(i, i) for i in range(20)]
+
+
+def test_groups_of_many_queries_are_not_merged_by_size(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "doc_id bigint, embedding array<double>")
+    index = ann.create_index(spark, buckets=2)
+    ann.give_model(index, rows.where("doc_id < 2").selectExpr("doc_id cell", "embedding centroid"),
+                   rows.where("doc_id < 20").selectExpr("int(doc_id) code", "embedding value"), 1)
+    ann.add_vectors(index, rows)
+    near = ann.search_index(index, rows.withColumnRenamed("doc_id", "query_id"), 1, scan=1.0, chunk_queries=5)
+    assert plan(near).count("REPARTITION_BY_NUM") == 2
+    assert sorted((r.query_id, r.doc_id) for r in near.collect()) == [(i, i) for i in range(20)]
