@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archivesearch.config import CONTEXT_CHARS
-from archivesearch.functions.stopwords import ENGLISH_STOP_WORDS, stop_array
+from archivesearch.functions.stopwords import ENGLISH_STOP_WORDS, is_stop
 
 SENT_MARK = "\u0001"
 
@@ -99,8 +99,7 @@ def plain_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 # ------------------------------------------------------------ T5 stop words
 
 def remove_stop_words(tokens: Column, words=ENGLISH_STOP_WORDS) -> Column:
-    stop = stop_array(words)
-    return F.filter(tokens, lambda w: ~F.array_contains(stop, w))
+    return F.filter(tokens, lambda w: ~is_stop(w, words))
 
 
 # ------------------------------------------------------------ P1 - P5
@@ -108,8 +107,7 @@ def remove_stop_words(tokens: Column, words=ENGLISH_STOP_WORDS) -> Column:
 def clean_query(q: Column, words=ENGLISH_STOP_WORDS) -> Column:
     """trim, lower, non a-z -> space, split, drop stop words, re-join."""
     letters = F.trim(F.regexp_replace(F.lower(q), "[^a-z]+", " "))
-    stop = stop_array(words)
-    kept = F.filter(F.split(letters, " "), lambda w: (w != "") & ~F.array_contains(stop, w))
+    kept = F.filter(F.split(letters, " "), lambda w: (w != "") & ~is_stop(w, words))
     return F.array_join(kept, " ")
 
 

@@ -110,3 +110,11 @@ def test_groups_of_many_queries_are_not_merged_by_size(spark):
     near = ann.search_index(index, rows.withColumnRenamed("doc_id", "query_id"), 1, scan=1.0, chunk_queries=5)
     assert plan(near).count("REPARTITION_BY_NUM") == 2
     assert sorted((r.query_id, r.doc_id) for r in near.collect()) == [(i, i) for i in range(20)]
+
+
+def test_stop_words_are_looked_up_in_a_set(spark):
+    df = spark.createDataFrame([(1, "The cat and a CAT's hat"), (2, None), (3, "the and")], "doc_id bigint, text string")
+    kept = df.select("doc_id", tx.remove_stop_words(tx.plain_token_array(F.col("text"))).alias("kept"),
+                     tx.clean_query(F.col("text")).alias("clean"))
+    assert "array_contains" not in plan(kept) and "INSET" in plan(kept)
+    assert [tuple(r) for r in kept.orderBy("doc_id").collect()] == [(1, ["cat", "cat", "hat"], "cat cat hat"), (2, None, None), (3, [], "")]
