@@ -5,7 +5,7 @@ or all words of an item with fewer.
 
 1. A window of zero common shingles has similarity 0, so windows are laid only
    around shingles that some item has: documents' shingles meet the items'
-   shingles, which are broadcast in blocks of at most ``BLOCK`` hashes.
+   shingles, which are broadcast in blocks of at most ``BLOCK`` hashes. Texts, not their words, are shuffled to the hits.
 2. Every window of an item's size (the whole text where it is shorter) that holds
    such a shingle gets a 64-bit SimHash of its shingles. Each occurrence of a shingle
    that recurs in a window or item is numbered and is a feature of its own, so that
@@ -113,7 +113,9 @@ def _of_width(docs: DataFrame, items: DataFrame, k: int, percent: int, radius: i
     starts = at_hits.select("key", "n", F.expr(
         f"array_distinct(flatten(transform(at, p -> sequence(greatest(0, least(p - (n - {k}), size - n)), "
         "greatest(0, least(p, size - n))))))").alias("starts"))
-    around = stage(texts.join(starts, "key").select("key", "id", "n", "starts", "w"), "windows")
+    # whole texts meet the starts and are split into words afterwards: arrays of words are three times as large
+    around = stage(docs.select(doc_key(doc_id, text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
+        starts, "key").select("key", "id", "n", "starts", words("text").alias("w")), "windows")
     hashed = around.dropDuplicates(["key", "n"]).select(
         "key", "n", "starts", F.expr(f"transform(sequence(0, size(w) - {k}), i -> "
                                      f"xxhash64({', '.join(f'w[i + {j}]' for j in range(k))}))").alias("hs"))

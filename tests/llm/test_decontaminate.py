@@ -102,3 +102,17 @@ def test_filter_keeps_clean_repeated_and_odd_rows(table, words):
     assert similar_windows(docs, items).count() == 2
     assert without_benchmark(docs, table([], "item_id bigint, text string", 1)).count() == 7
     assert similar_windows(table([]), items).count() == 0
+
+
+def test_texts_are_shuffled_to_the_hits_and_not_their_words(spark, monkeypatch):
+    from archivesearch.llm import decontaminate as dec
+
+    seen, whole = {}, dec.stage
+    monkeypatch.setattr(dec, "stage", lambda df, purpose: whole(seen.setdefault(purpose, df), purpose))
+    docs = spark.createDataFrame([(1, "x one two three four five six y"), (2, "none of it"), (3, None)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "one two three four five six")], "item_id bigint, text string")
+    assert [(r.id, r.item_id, r.start) for r in dec.similar_windows(docs, items).collect()] == [(1, 7, 1)]
+    plan = seen["windows"]._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    assert [c.split("#")[0] for c in plan.children().head().output().mkString(",").split(",")] == ["key", "id", "text"]
