@@ -65,8 +65,10 @@ def sequences(words: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
-def shingle_sets(texts: list[str], k: int, chunk: int = 1 << 20) -> Iterator[np.ndarray]:
-    """The sorted distinct ``k``-word shingles of each text; the whole sequence of a text with fewer words."""
+def shingle_sets(texts: list[str], k: int, chunk: int = 1 << 18) -> Iterator[np.ndarray]:
+    """The sorted distinct ``k``-word shingles of each text; the whole sequence of a text with fewer words.
+
+    Texts are hashed in parts of about ``chunk`` characters; the arrays of a part take about 40 times as many bytes."""
     forget_kept()
     at = 0
     while at < len(texts):

@@ -119,7 +119,7 @@ def encode_texts(texts: list[str], tokenizer_path: str) -> list[bytes]:
     return [flat[4 * a:4 * b] for a, b in zip(upto, upto[1:])]
 
 
-def chunks(texts: list[str], size: int = 1 << 19) -> Iterator[slice]:
+def chunks(texts: list[str], size: int = 1 << 17) -> Iterator[slice]:
     """Runs of texts of about ``size`` characters."""
     at = 0
     while at < len(texts):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -89,6 +90,16 @@ def test_hashes_do_not_depend_on_neighbours(words):
     assert len(np.unique(hashed_words([" ".join(many)])[0])) == len(many)
 
 
+def test_a_batch_of_texts_is_hashed_in_small_parts(words):
+    text = " ".join(words(400, 1))
+    texts = [text] * (4_000_000 // len(text))
+    tracemalloc.start()
+    n = sum(len(s) for s in shingle_sets(texts, 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 397 * len(texts) and peak < 20_000_000  # parts of 1 MB took 42 MB
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components_of_random_links(spark, seed):
     rng = random.Random(seed)

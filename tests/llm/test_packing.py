@@ -3,11 +3,13 @@ from __future__ import annotations
 import math
 import random
 import struct
+import tracemalloc
 import zlib
 
+import pyarrow as pa
 import pytest
 
-from archivesearch.llm.packing import best_fit, encode_texts, pack, tokenised_pieces
+from archivesearch.llm.packing import best_fit, cut_pieces, encode_texts, pack, tokenised_pieces
 from archivesearch.llm.queries import tokenizer_path
 
 
@@ -36,6 +38,18 @@ def test_word_by_word_ids_equal_whole_text_ids():
     assert encode_texts(texts, tokenizer_path()) == want
 
 
+def test_a_batch_is_tokenised_in_small_parts(words):
+    text = " ".join(words(400, 1))
+    texts = [text] * (2_000_000 // len(text))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "body"])
+    [*cut_pieces(iter([batch.slice(0, 1)]), tokenizer_path(), 4096, 1)]  # the table of words is there
+    tracemalloc.start()
+    n = sum(out.num_rows for out in cut_pieces(iter([batch]), tokenizer_path(), 4096, 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 12_000_000  # parts of 512 KB took 22 MB
+
+
 def test_pieces_and_sequences(table, words):
     from tokenizers import Tokenizer
 
