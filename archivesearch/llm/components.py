@@ -11,15 +11,16 @@ from archivesearch.llm.common import stage
 def _stars(links: DataFrame, small: bool) -> DataFrame:
     """Each node passes the smallest of its neighbours and itself to its larger (or its other) neighbours.
 
-    Minima are partial aggregates, so a node with very many neighbours is not gathered."""
-    if small:  # towards smaller neighbours only
-        near = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    else:
-        near = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
-            links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    Links lead from the larger node, ``a``, to the smaller. Minima are partial aggregates, so a node with
+    very many neighbours is not gathered."""
+    near = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if not small:  # towards larger neighbours too
+        near = links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
+                                              F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("l")).select("l.*")
     low = near.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
     up = low.where("u != low").select(F.col("u").alias("a"), F.col("low").alias("b"))
-    passed = near.join(low, "u").where("v != low" if small else "v > u AND v != low")
+    hub, other = ("a", "b") if small else ("b", "a")
+    passed = links.select(F.col(hub).alias("u"), F.col(other).alias("v")).join(low, "u").where("v != low")
     return passed.select(F.col("v").alias("a"), F.col("low").alias("b")).unionAll(up).distinct()
 
 
@@ -27,14 +28,15 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node reachable.
 
     Rounds end when the links are stars: each larger node has one link, to a node that has none.
-    Links of an earlier result, ``(node, root)``, may stand for the links it was made of."""
+    Links of an earlier result, ``(node, root)``, may stand for the links it was made of.
+    Large and small stars are written one by one, which keeps plans, and so the driver's memory, small."""
     now = stage(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     for _ in range(rounds):
         deeper = now.join(now.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
         several = now.groupBy("a").count().where("count > 1").select("a")
         if deeper.select("a").unionAll(several).isEmpty():
             break
-        now = stage(_stars(_stars(now, small=False), small=True), "stars")
+        now = stage(_stars(stage(_stars(now, small=False), "large-stars"), small=True), "stars")
     roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
     return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
 

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivesearch.llm.common import lean, stage, text_or_empty
+from archivesearch.llm.common import lean, settings, stage, text_or_empty
 from archivesearch.llm.components import as_links, components
 from archivesearch.llm.hashing import ODD, U, mix, shingle_sets
 
@@ -375,7 +375,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, doc_id: s
     counts = counter_table(seen.where("part IS NOT NULL"))
     each = seen.where("part IS NULL").select("id", "tag", "n", "name")
     sets = stage(each.where("n > 0").groupBy("name").agg(F.max("n").alias("n"), F.min("id").alias("id")), "sets")
-    roots = set_components(rows.select("id", "body"), sets, counts, k, percent)
+    # tables of links and buckets are joined on the executors; the driver would hold some fifty of them at once
+    with settings(docs.sparkSession, spark__sql__autoBroadcastJoinThreshold="-1"):
+        roots = set_components(rows.select("id", "body"), sets, counts, k, percent)
     named = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select(
         "name", "id", F.coalesce("root", "name").alias("root"))
     smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))

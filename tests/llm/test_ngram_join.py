@@ -118,3 +118,23 @@ def test_components_of_random_links(spark, seed):
     want = sorted((i, find(i)) for i in root)
     got = sorted(map(tuple, components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert got == want
+
+
+def test_the_driver_holds_no_joined_tables_and_plans_stay_small(table, spark, words, monkeypatch):
+    """Each joined table of links and each copy of the links in one plan is memory of the driver."""
+    plans, write = [], ngram_join.stage
+
+    def noted(df, purpose):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, purpose)
+
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    monkeypatch.setattr("archivesearch.llm.components.stage", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = corpus(words)
+    assert sorted(tuple(r) for r in jaccard_components(table(rows)).select("id", "n_shingles", "component_id").collect()) == brute(rows)
+    assert {"large-stars", "stars", "pairs-first", "links-first"} <= {p for p, _ in plans}
+    assert not [p for p, plan in plans if "BroadcastExchange" in plan]
+    stars = [plan.count("FileScan") for p, plan in plans if "stars" in p]
+    assert stars and max(stars) <= 4
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
