@@ -129,8 +129,8 @@ def embed_trained(df: DataFrame, params: EmbeddingParams = EmbeddingParams(), *,
 
 
 def finish(annotation: Column, as_vector: bool = False) -> Column:
-    """Unwrap ``[[...]]`` (first element) and emit float32 array or ML vector."""
+    """Unwrap ``[[...]]`` (first element) and emit float32 array or ML vector; null where there is none, which
+    ``array_to_vector`` itself does not take."""
     inner = F.when(F.size(annotation) > 0, F.element_at(annotation, 1))
-    if as_vector:
-        return array_to_vector(inner)
-    return vector_to_array(array_to_vector(inner), "float32")
+    vector = array_to_vector(inner)
+    return F.when(inner.isNotNull(), vector if as_vector else vector_to_array(vector, "float32"))

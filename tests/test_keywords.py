@@ -57,6 +57,17 @@ def test_finish_unwraps_and_converts(spark):
     assert len(r) == 2 and abs(r[0] - 0.1) < 1e-6
 
 
+def test_finish_of_documents_without_an_embedding(spark):
+    wv = spark.createDataFrame([("a", [0.1, 0.2])], "word string, vec array<double>")
+    df = spark.createDataFrame([(1, "a"), (2, "?!"), (3, None), (4, "")], "doc_id bigint, text string")
+    v = emb.embed_from_table(df, wv).select("doc_id", F.when(F.col("embedding").isNotNull(), F.array("embedding")).alias("a"))
+    got = {r.doc_id: r for r in v.select("doc_id", emb.finish(F.col("a")).alias("f"), emb.finish(F.col("a"), True).alias("v")).collect()}
+    assert [got[i].f for i in (2, 3, 4)] == [got[i].v for i in (2, 3, 4)] == [None] * 3
+    assert [round(x, 6) for x in got[1].f] == [0.1, 0.2] == got[1].v.toArray().tolist()
+    long = v.select("doc_id", F.posexplode(emb.finish(F.col("a"))).alias("dim", "value"))
+    assert sorted((r.doc_id, r.dim) for r in long.collect()) == [(1, 0), (1, 1)]
+
+
 def scores_by_hand(sentences, params, stop):
     """``(keyword, ln S, first sentence)`` of every candidate of one document, counted one by one."""
     edges = "".join(params.context_chars)
