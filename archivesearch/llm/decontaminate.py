@@ -39,6 +39,8 @@ from archivesearch.llm.common import stage
 
 #: Hashes that one broadcast holds at most (16 bytes each).
 BLOCK = 1_000_000
+#: Windows whose hashes one task counts, about.
+TASK_WINDOWS = 1 << 17
 PARTS, PART_BITS = 8, 8
 
 
@@ -113,10 +115,14 @@ def _of_width(docs: DataFrame, items: DataFrame, k: int, percent: int, radius: i
     starts = at_hits.select("key", "n", F.expr(
         f"array_distinct(flatten(transform(at, p -> sequence(greatest(0, least(p - (n - {k}), size - n)), "
         "greatest(0, least(p, size - n))))))").alias("starts"))
-    # whole texts meet the starts and are split into words afterwards: arrays of words are three times as large
+    # whole texts meet the starts, are kept and sorted, and are split into words where these are used: arrays of words
+    # take several times the memory
     around = stage(docs.select(doc_key(doc_id, text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        starts, "key").select("key", "id", "n", "starts", words("text").alias("w")), "windows")
-    hashed = around.dropDuplicates(["key", "n"]).select(
+        starts, "key").select("key", "id", "n", "starts", "text"), "windows")
+    # a window takes some 400 bytes while its hashes are counted: tasks by the number of windows, not of bytes read
+    n_windows = around.select(F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()[0]
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(n_windows / TASK_WINDOWS))
+    hashed = around.repartition(tasks, "key", "n").dropDuplicates(["key", "n"]).select("key", "n", "starts", words("text").alias("w")).select(
         "key", "n", "starts", F.expr(f"transform(sequence(0, size(w) - {k}), i -> "
                                      f"xxhash64({', '.join(f'w[i + {j}]' for j in range(k))}))").alias("hs"))
     each = hashed.select("key", "n", "hs", F.explode("starts").alias("start")).select(
@@ -144,7 +150,8 @@ def _of_width(docs: DataFrame, items: DataFrame, k: int, percent: int, radius: i
     def bag(array: str, start: str, n: str) -> Column:
         return F.expr(f"transform(sequence({start}, {start} + {n} - {k}), i -> concat_ws(' ', slice({array}, i + 1, {k})))")
 
-    pairs_of = around.drop("starts").join(by_doc, ["key", "n"]).join(items.select("item_id", "iw"), "item_id")
+    pairs_of = around.drop("starts").join(by_doc, ["key", "n"]).join(items.select("item_id", "iw"), "item_id").select(
+        "key", "id", "n", "item_id", "iw", "found", words("text").alias("w"))
     bags = pairs_of.withColumn("b", bag("iw", "0", "n")).withColumn("start", F.explode("found")).withColumn(
         "a", bag("w", "start", "least(n, size(w))"))
     distinct = "size(array_distinct(a)) = size(a) AND size(array_distinct(b)) = size(b)"

@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from archivesearch.llm import decontaminate
 from archivesearch.llm.decontaminate import block_values, fingerprint, similar_windows, without_benchmark
 
 
@@ -116,3 +117,20 @@ def test_texts_are_shuffled_to_the_hits_and_not_their_words(spark, monkeypatch):
     while plan.nodeName() != "Join":
         plan = plan.children().head()
     assert [c.split("#")[0] for c in plan.children().head().output().mkString(",").split(",")] == ["key", "id", "text"]
+
+
+def test_windows_are_dealt_by_their_number_and_kept_as_texts(spark, table, words, monkeypatch):
+    items = [(i, " ".join(words(20, i))) for i in range(5)]
+    docs = [(d, " ".join(words(30, 50 + d) + items[d % 5][1].split() + words(10, 90 + d))) for d in range(20)]
+    docs += docs[:3]
+    kept = {}
+    monkeypatch.setattr(decontaminate, "stage", lambda df, name, f=decontaminate.stage: kept.setdefault(name, f(df, name)))
+    monkeypatch.setattr(decontaminate, "TASK_WINDOWS", 10)
+    d, i = table(docs, "doc_id bigint, text string"), table(items, "item_id bigint, text string")
+    found = similar_windows(d, i)
+    assert got(found) == brute(docs, items)
+    assert not [kind for _, kind in kept["windows"].dtypes if kind == "array<string>"]
+    n = kept["windows"].select(F.sum(F.size("starts"))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n // 10))
+    assert n > 200 and re.search(rf"hashpartitioning\(key#\d+L, n#\d+, {tasks}\), REPARTITION_BY_NUM",
+                                 found._jdf.queryExecution().executedPlan().toString())
