@@ -108,3 +108,21 @@ def test_no_texts_and_rare_words(spark):
     rare = spark.createDataFrame([(1, "once upon a time"), (2, None)], "doc_id bigint, text string")
     vectors, words = wordvec.embed_spectral(rare, EmbeddingParams(vector_size=4))
     assert words.count() == 0 and [r.embedding for r in vectors.collect()] == [[0.0] * 4] * 2
+
+
+def test_no_table_of_words_or_vectors_is_sent_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def kept(df, purpose, f=wordvec._kept):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return f(df, purpose)
+
+    monkeypatch.setattr(wordvec, "_kept", kept)
+    docs = spark.createDataFrame([(d, " ".join(f"w{(d + j * j) % 12}" for j in range(30))) for d in range(40)], "doc_id bigint, text string")
+    before = [spark.conf.get(k, None) for k in wordvec.LEAN]
+    vectors, words = wordvec.embed_spectral(docs, EmbeddingParams(vector_size=4))
+    assert len(plans) > 8 and not [p for p in plans if "Broadcast" in p]
+    assert [spark.conf.get(k, None) for k in wordvec.LEAN] == before
+    double = words.withColumn("vec", F.col("vec").cast("array<double>"))  # means are of doubles either way
+    assert dict(words.dtypes)["vec"] == "array<float>"
+    assert sorted(map(str, vectors.collect())) == sorted(map(str, emb.embed_from_table(docs, double).collect()))
