@@ -136,3 +136,41 @@ def test_share_of_an_absent_document_and_order_of_results(spark):
 def test_byte_order_mark(data):
     assert arc.decode_xml(data) == "<a/>"
     assert tx.SNIPPET_CONTEXT > 0
+
+
+def test_groups_of_batches():
+    assert ingest._groups([1, 2, 3, 5, 8], {1: 4, 2: 6, 3: 1, 8: 50}, 10) == [[1, 2], [3, 5], [8]]
+    assert ingest._groups([4], {4: None}, 0) == [[4]]
+
+
+def test_batches_published_in_groups_and_nothing_kept_beside_them(spark, tmp_path):
+    for n in range(4):
+        write_zip(tmp_path / "in", f"{n}.zip", {f"{d}.xml": record(d, f"Some text of article {d} alone.") for d in range(3 * n, 3 * n + 5)})
+    write_zip(tmp_path / "in", "9.zip", {"bad.xml": "<Record><RecordID>1"})
+    wv = spark.createDataFrame([("text", [1.0, 0.5]), ("alone", [0.0, 1.0])], "word string, vec array<double>")
+    scratch = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before, found = set(os.listdir(scratch)), []
+    for group_bytes in (1, 1 << 30):
+        out = str(tmp_path / f"out{group_bytes}")
+        for no, batch in enumerate(sorted(os.listdir(tmp_path / "in"))):
+            ingest.cache_archives(spark.createDataFrame([(str(tmp_path / "in" / batch),)], "path string"), no, out)
+        assert ingest.publish(spark, out, word_vectors=wv, group_bytes=group_bytes) == [0, 1, 2, 3, 4]
+        assert ingest.publish(spark, out, word_vectors=wv, group_bytes=group_bytes) == []
+        uploaded = sinks.stages(spark, out).where("stage = 'UPLOADED'")
+        assert sorted(r.batch_no for r in uploaded.collect()) == [0, 1, 2, 3, 4]
+        assert uploaded.select("at").distinct().count() == (5 if group_bytes == 1 else 1)
+        found.append(sorted(map(str, ingest.committed_articles(spark, out).select(
+            "doc_id", "zip_file", "batch_no", "full_text", "keywords", "finished_embeddings").collect())))
+    assert found[0] == found[1] and len(found[0]) == 14
+    left = set(os.listdir(scratch)) - before
+    assert not [x for x in left if x.startswith(("parsed-", "rejects-", "places-", "word-vectors-", "new-"))]
+
+
+def test_what_a_publication_shuffles_is_freed(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ingest.sinks, "write_batch_partition", lambda df, path, f=sinks.write_batch_partition: (
+        seen.append(df.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")), f(df, path)))
+    write_zip(tmp_path / "in", "a.zip", {"1.xml": record(1, "One text.")})
+    ingest.ingest_batch(spark.createDataFrame([(str(tmp_path / "in" / "a.zip"),)], "path string"), 0, str(tmp_path / "out"))
+    assert len(seen) == 5 and set(seen) == {"true"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
