@@ -187,3 +187,15 @@ def test_scores_agree_with_the_tables_of_terms_and_candidates(spark):
             parts = [terms[r.doc_id, w].s_term for w in words]
             ln = sum(map(math.log, parts)) - math.log(found.tf_kw) - math.log(1 + sum(parts))
             assert abs(ln - r.ln_score) < 1e-9
+
+
+def test_events_are_made_without_lambdas(spark):
+    df = spark.createDataFrame([(1, "The NATO met. It met (again), Bob!"), (2, "x"), (3, None)], "doc_id bigint, text string")
+    lambdas = [d._jdf.queryExecution().analyzed().toString().count("lambdafunction") for d in (
+        context_tokens(df), kw.keyword_events(context_tokens(df), kw.KeywordParams()))]
+    assert lambdas[0] == lambdas[1]
+    events = kw.keyword_events(context_tokens(df), kw.KeywordParams())
+    assert events.where("kind IS NULL OR key IS NULL").count() == 0
+    seen = {(r.doc_id, r.key): (r.cnt, r.acr, r.cap) for r in events.where("kind = 'S'").collect() if r.key != "met"}
+    assert seen == {(1, "the"): (1, 0, 0), (1, "nato"): (1, 1, 0), (1, "it"): (1, 0, 0), (1, "again"): (1, 0, 0),
+                    (1, "bob"): (1, 0, 1), (2, "x"): (1, 0, 0)}
